@@ -3,6 +3,10 @@
 A geometry is ``struct<kind:string, pts:array<struct<lon:double,lat:double>>>`` with kind
 ``point``, ``line`` or ``polygon`` (closed: the last point repeats the first). Geometries must not
 cross the antimeridian.
+
+Arguments are column names, or SQL expressions, as text: the expressions are large, and one parsed
+text costs the driver far less than hundreds of column calls. Names that start with an underscore
+are taken by the lambda variables.
 """
 
 from __future__ import annotations
@@ -16,162 +20,148 @@ EARTH_RADIUS_M = 6_371_008.8
 METRES_PER_DEGREE = EARTH_RADIUS_M * math.pi / 180
 GEOMETRY_TYPE = "struct<kind:string,pts:array<struct<lon:double,lat:double>>>"
 
+SIDES = ("x0", "x1", "y0", "y1")
+Vertex = tuple[str, str]
+
 
-def _vertex(lon: Column, lat: Column) -> Column:
-    return F.struct(lon.cast("double").alias("lon"), lat.cast("double").alias("lat"))
+# Constructors
 
 
-def _geometry(kind: str, vertices: list[Column]) -> Column:
-    return F.struct(F.lit(kind).alias("kind"), F.array(*vertices).alias("pts"))
+def _geometry(kind: str, vertices: list[Vertex]) -> Column:
+    pts = ", ".join(f"named_struct('lon', CAST({lon} AS DOUBLE), 'lat', CAST({lat} AS DOUBLE))" for lon, lat in vertices)
+    return F.expr(f"named_struct('kind', '{kind}', 'pts', array({pts}))")
 
 
-def point(lon: Column, lat: Column) -> Column:
-    return _geometry("point", [_vertex(lon, lat)])
+def point(lon: str, lat: str) -> Column:
+    return _geometry("point", [(lon, lat)])
 
 
-def line(*vertices: tuple[Column, Column]) -> Column:
-    return _geometry("line", [_vertex(*v) for v in vertices])
+def line(*vertices: Vertex) -> Column:
+    return _geometry("line", list(vertices))
 
 
-def polygon(*vertices: tuple[Column, Column]) -> Column:
+def polygon(*vertices: Vertex) -> Column:
     """A ring; the closing vertex is added."""
-    return _geometry("polygon", [_vertex(*v) for v in (*vertices, vertices[0])])
+    return _geometry("polygon", [*vertices, vertices[0]])
 
 
-def box(min_lon: Column, min_lat: Column, max_lon: Column, max_lat: Column) -> Column:
+def box(min_lon: str, min_lat: str, max_lon: str, max_lat: str) -> Column:
     return polygon((min_lon, min_lat), (max_lon, min_lat), (max_lon, max_lat), (min_lon, max_lat))
 
 
-def bounds(geom: Column) -> dict[str, Column]:
-    """The four sides of the bounding box."""
-    lons = F.transform(geom["pts"], lambda p: p["lon"])
-    lats = F.transform(geom["pts"], lambda p: p["lat"])
-    return {"x0": F.array_min(lons), "x1": F.array_max(lons), "y0": F.array_min(lats), "y1": F.array_max(lats)}
+# Vertices and edges
+
+
+def bounds(geom: str) -> list[Column]:
+    """The four sides of the bounding box: x0, x1, y0, y1."""
+    parts = [("x0", "min", "lon"), ("x1", "max", "lon"), ("y0", "min", "lat"), ("y1", "max", "lat")]
+    return [F.expr(f"array_{pick}(transform({geom}.pts, _p -> _p.{axis}))").alias(side) for side, pick, axis in parts]
 
 
-def _edges(geom: Column) -> Column:
-    pts = geom["pts"]
-    n = F.size(pts)
-    pairs = F.zip_with(F.slice(pts, F.lit(1), n - 1), F.slice(pts, F.lit(2), n - 1), lambda a, b: F.struct(a.alias("a"), b.alias("b")))
-    # A point is an edge without length.
-    return F.when(n == 1, F.transform(pts, lambda p: F.struct(p.alias("a"), p.alias("b")))).otherwise(pairs)
+def _edges(geom: str) -> str:
+    """Edges as structs of two vertices; a point is an edge without length."""
+    pts = f"{geom}.pts"
+    pairs = f"zip_with(slice({pts}, 1, size({pts}) - 1), slice({pts}, 2, size({pts}) - 1), (_a, _b) -> named_struct('a', _a, 'b', _b))"
+    return f"IF(size({pts}) = 1, transform({pts}, _p -> named_struct('a', _p, 'b', _p)), {pairs})"
 
 
-def haversine(a: Column, b: Column) -> Column:
+def _haversine(a: str, b: str) -> str:
     """Great-circle distance between two vertices."""
-    h = F.pow(F.sin(F.radians(b["lat"] - a["lat"]) / 2), 2) + F.cos(F.radians(a["lat"])) * F.cos(F.radians(b["lat"])) * F.pow(
-        F.sin(F.radians(b["lon"] - a["lon"]) / 2), 2
-    )
-    return F.lit(2 * EARTH_RADIUS_M) * F.asin(F.sqrt(F.least(h, F.lit(1.0))))
-
-
-def _nearest_edge(vertex: Column, edges: Column) -> Column:
-    """Distance from a vertex to the nearest edge, in the plane that touches the vertex."""
-    flat = F.transform(
-        edges,
-        lambda e: F.struct(
-            ((e["a"]["lon"] - vertex["lon"]) * F.cos(F.radians(vertex["lat"]))).alias("x"),
-            (e["a"]["lat"] - vertex["lat"]).alias("y"),
-            ((e["b"]["lon"] - e["a"]["lon"]) * F.cos(F.radians(vertex["lat"]))).alias("dx"),
-            (e["b"]["lat"] - e["a"]["lat"]).alias("dy"),
-        ),
-    )
-    clamped = F.transform(
-        flat,
-        lambda s: F.struct(
-            s.alias("s"),
-            F.coalesce(
-                F.greatest(
-                    F.lit(0.0),
-                    F.least(F.lit(1.0), F.try_divide(-(s["x"] * s["dx"] + s["y"] * s["dy"]), s["dx"] * s["dx"] + s["dy"] * s["dy"])),
-                ),
-                F.lit(0.0),
-            ).alias("t"),
-        ),
-    )
-    squared = F.transform(
-        clamped,
-        lambda c: F.pow(c["s"]["x"] + c["t"] * c["s"]["dx"], 2) + F.pow(c["s"]["y"] + c["t"] * c["s"]["dy"], 2),
+    h = (
+        f"pow(sin(radians({b}.lat - {a}.lat) / 2), 2)"
+        f" + cos(radians({a}.lat)) * cos(radians({b}.lat)) * pow(sin(radians({b}.lon - {a}.lon) / 2), 2)"
     )
-    return F.sqrt(F.array_min(squared)) * F.lit(METRES_PER_DEGREE)
+    return f"{2 * EARTH_RADIUS_M!r}D * asin(sqrt(least(1D, {h})))"
 
 
-def _vertices_to(geom: Column, other: Column) -> Column:
-    return F.array_min(F.transform(geom["pts"], lambda p: _nearest_edge(p, _edges(other))))
-
+def _to_edges(geom: str, other: str) -> str:
+    """Smallest distance from a vertex of one geometry to an edge of the other, each in the plane
+    that touches the vertex."""
+    flat = (
+        f"transform({_edges(other)}, _e -> named_struct("
+        "'x', (_e.a.lon - _v.lon) * cos(radians(_v.lat)), 'y', _e.a.lat - _v.lat, "
+        "'dx', (_e.b.lon - _e.a.lon) * cos(radians(_v.lat)), 'dy', _e.b.lat - _e.a.lat))"
+    )
+    # Share of the edge at which it comes closest; an edge without length has only its start.
+    share = "coalesce(greatest(0D, least(1D, try_divide(-(_s.x * _s.dx + _s.y * _s.dy), _s.dx * _s.dx + _s.dy * _s.dy))), 0D)"
+    squared = (
+        f"transform(transform({flat}, _s -> named_struct('s', _s, 't', {share})), "
+        "_c -> pow(_c.s.x + _c.t * _c.s.dx, 2) + pow(_c.s.y + _c.t * _c.s.dy, 2))"
+    )
+    return f"array_min(transform({geom}.pts, _v -> sqrt(array_min({squared})))) * {METRES_PER_DEGREE!r}D"
 
-def _cross(o: Column, a: Column, b: Column) -> Column:
-    return (a["lon"] - o["lon"]) * (b["lat"] - o["lat"]) - (a["lat"] - o["lat"]) * (b["lon"] - o["lon"])
 
+def _turn(o: str, a: str, b: str) -> str:
+    return f"signum(({a}.lon - {o}.lon) * ({b}.lat - {o}.lat) - ({a}.lat - {o}.lat) * ({b}.lon - {o}.lon))"
 
-def _edges_meet(e: Column, f: Column) -> Column:
-    def overlap(axis: str) -> Column:
-        return (F.least(e["a"][axis], e["b"][axis]) <= F.greatest(f["a"][axis], f["b"][axis])) & (
-            F.least(f["a"][axis], f["b"][axis]) <= F.greatest(e["a"][axis], e["b"][axis])
-        )
 
-    return (
-        overlap("lon")
-        & overlap("lat")
-        & (F.signum(_cross(e["a"], e["b"], f["a"])) * F.signum(_cross(e["a"], e["b"], f["b"])) <= 0)
-        & (F.signum(_cross(f["a"], f["b"], e["a"])) * F.signum(_cross(f["a"], f["b"], e["b"])) <= 0)
-    )
+def _edges_meet() -> str:
+    """Whether edges ``_e`` and ``_f`` share a point: their boxes overlap and each straddles the other."""
+    overlap = [
+        f"least({p}.a.{axis}, {p}.b.{axis}) <= greatest({q}.a.{axis}, {q}.b.{axis})"
+        for axis in ("lon", "lat")
+        for p, q in (("_e", "_f"), ("_f", "_e"))
+    ]
+    straddle = [f"{_turn(f'{p}.a', f'{p}.b', f'{q}.a')} * {_turn(f'{p}.a', f'{p}.b', f'{q}.b')} <= 0" for p, q in (("_e", "_f"), ("_f", "_e"))]
+    return " AND ".join(overlap + straddle)
 
 
-def _inside(vertex: Column, geom: Column) -> Column:
+def _inside(vertex: str, geom: str) -> str:
     """Even-odd rule: a ray to the east leaves the ring an odd number of times."""
+    share = f"try_divide({vertex}.lat - _e.a.lat, _e.b.lat - _e.a.lat)"
+    crossed = f"(_e.a.lat > {vertex}.lat) <> (_e.b.lat > {vertex}.lat) AND {vertex}.lon < _e.a.lon + {share} * (_e.b.lon - _e.a.lon)"
+    return f"({geom}.kind = 'polygon' AND size(filter({_edges(geom)}, _e -> {crossed})) % 2 = 1)"
 
-    def crossed(e: Column) -> Column:
-        straddles = (e["a"]["lat"] > vertex["lat"]) != (e["b"]["lat"] > vertex["lat"])
-        share = F.try_divide(vertex["lat"] - e["a"]["lat"], e["b"]["lat"] - e["a"]["lat"])
-        return straddles & (vertex["lon"] < e["a"]["lon"] + share * (e["b"]["lon"] - e["a"]["lon"]))
 
-    return (geom["kind"] == "polygon") & (F.size(F.filter(_edges(geom), crossed)) % 2 == 1)
+def _intersects(a: str, b: str) -> str:
+    meet = f"exists({_edges(a)}, _e -> exists({_edges(b)}, _f -> {_edges_meet()}))"
+    return f"({meet} OR {_inside(f'{a}.pts[0]', b)} OR {_inside(f'{b}.pts[0]', a)})"
 
 
-def intersects(a: Column, b: Column) -> Column:
+def intersects(a: str, b: str) -> Column:
     """True when the two geometries share a point; a polygon includes its interior and its border."""
-    meet = F.exists(_edges(a), lambda e: F.exists(_edges(b), lambda f: _edges_meet(e, f)))
-    return meet | _inside(a["pts"][0], b) | _inside(b["pts"][0], a)
+    return F.expr(_intersects(a, b))
 
 
-def distance(a: Column, b: Column) -> Column:
+def distance(a: str, b: str) -> Column:
     """Metres between two geometries; 0 where they intersect."""
-    both_points = (a["kind"] == "point") & (b["kind"] == "point")
-    return (
-        F.when(both_points, haversine(a["pts"][0], b["pts"][0]))
-        .when((a["kind"] == "point") & (b["kind"] == "line"), _vertices_to(a, b))
-        .when((b["kind"] == "point") & (a["kind"] == "line"), _vertices_to(b, a))
-        .when(intersects(a, b), F.lit(0.0))
-        .when(a["kind"] == "point", _vertices_to(a, b))
-        .when(b["kind"] == "point", _vertices_to(b, a))
-        .otherwise(F.least(_vertices_to(a, b), _vertices_to(b, a)))
+    return F.expr(
+        f"""CASE
+        WHEN {a}.kind = 'point' AND {b}.kind = 'point' THEN {_haversine(f'{a}.pts[0]', f'{b}.pts[0]')}
+        WHEN {a}.kind = 'point' AND {b}.kind = 'line' THEN {_to_edges(a, b)}
+        WHEN {b}.kind = 'point' AND {a}.kind = 'line' THEN {_to_edges(b, a)}
+        WHEN {_intersects(a, b)} THEN 0D
+        WHEN {a}.kind = 'point' THEN {_to_edges(a, b)}
+        WHEN {b}.kind = 'point' THEN {_to_edges(b, a)}
+        ELSE least({_to_edges(a, b)}, {_to_edges(b, a)}) END"""
     )
 
 
-def box_gap(p: dict[str, Column], q: dict[str, Column]) -> Column:
+# Bounding boxes, given by the prefixes of their side columns
+
+
+def box_gap(p: str, q: str) -> Column:
     """A distance no two points of the two boxes can fall below."""
-    dlon = F.greatest(F.lit(0.0), p["x0"] - q["x1"], q["x0"] - p["x1"])
-    dlat = F.greatest(F.lit(0.0), p["y0"] - q["y1"], q["y0"] - p["y1"])
+    dlon = f"greatest(0D, {p}x0 - {q}x1, {q}x0 - {p}x1)"
+    dlat = f"greatest(0D, {p}y0 - {q}y1, {q}y0 - {p}y1)"
     # The smallest cosine is at the latitude farthest from the equator.
-    far = F.least(F.lit(90.0), F.greatest(F.abs(p["y0"]), F.abs(p["y1"]), F.abs(q["y0"]), F.abs(q["y1"])))
-    shrink = F.cos(F.radians(far))
-    sphere = F.lit(2 * EARTH_RADIUS_M) * F.asin(
-        F.sqrt(F.least(F.lit(1.0), F.pow(F.sin(F.radians(dlat) / 2), 2) + F.pow(shrink * F.sin(F.radians(dlon) / 2), 2)))
+    shrink = f"cos(radians(greatest(abs({p}y0), abs({p}y1), abs({q}y0), abs({q}y1))))"
+    sphere = (
+        f"{2 * EARTH_RADIUS_M!r}D * asin(sqrt(least(1D, pow(sin(radians({dlat}) / 2), 2) + pow({shrink} * sin(radians({dlon}) / 2), 2))))"
     )
-    plane = F.lit(METRES_PER_DEGREE) * F.sqrt(F.pow(dlat, 2) + F.pow(shrink * dlon, 2))
-    return F.least(sphere, plane) * F.lit(1 - 1e-9) - F.lit(1e-6)
+    plane = f"{METRES_PER_DEGREE!r}D * sqrt(pow({dlat}, 2) + pow({shrink} * {dlon}, 2))"
+    return F.expr(f"least({sphere}, {plane}) * {1 - 1e-9!r}D - 1e-6D")
 
 
-def box_reach(p: dict[str, Column], q: dict[str, Column]) -> Column:
+def box_reach(p: str, q: str) -> Column:
     """A distance no two points of the two boxes can exceed."""
-    dlon = F.greatest(p["x1"] - q["x0"], q["x1"] - p["x0"])
-    dlat = F.greatest(p["y1"] - q["y0"], q["y1"] - p["y0"])
-    south = F.least(p["y0"], q["y0"])
-    north = F.greatest(p["y1"], q["y1"])
-    widest = F.when((south <= 0) & (north >= 0), F.lit(1.0)).otherwise(F.cos(F.radians(F.least(F.abs(south), F.abs(north)))))
-    return F.lit(METRES_PER_DEGREE) * F.sqrt(F.pow(dlat, 2) + F.pow(widest * dlon, 2)) * F.lit(1 + 1e-9) + F.lit(1e-6)
+    dlon = f"greatest({p}x1 - {q}x0, {q}x1 - {p}x0)"
+    dlat = f"greatest({p}y1 - {q}y0, {q}y1 - {p}y0)"
+    south, north = f"least({p}y0, {q}y0)", f"greatest({p}y1, {q}y1)"
+    # The largest cosine is at the latitude nearest to the equator.
+    widest = f"IF({south} <= 0 AND {north} >= 0, 1D, cos(radians(least(abs({south}), abs({north})))))"
+    return F.expr(f"{METRES_PER_DEGREE!r}D * sqrt(pow({dlat}, 2) + pow({widest} * {dlon}, 2)) * {1 + 1e-9!r}D + 1e-6D")
 
 
-def boxes_overlap(p: dict[str, Column], q: dict[str, Column]) -> Column:
-    return (p["x0"] <= q["x1"]) & (q["x0"] <= p["x1"]) & (p["y0"] <= q["y1"]) & (q["y0"] <= p["y1"])
+def boxes_overlap(p: str, q: str) -> Column:
+    return F.expr(f"{p}x0 <= {q}x1 AND {q}x0 <= {p}x1 AND {p}y0 <= {q}y1 AND {q}y0 <= {p}y1")

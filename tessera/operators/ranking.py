@@ -49,7 +49,7 @@ def row_number(df: DataFrame, groups: list[str], order_by: list[Column], out: st
     The rows are range-partitioned by group and order, so one large group spreads over many tasks.
     """
     placed = _ranges(df, [*[F.col(g).asc_nulls_last() for g in groups], *order_by], "row-number")
-    sizes = placed.groupBy(*groups, "__part").agg(F.count("*").alias("__n"), F.min("__pos").alias("__first"))
+    sizes = placed.groupBy(*groups, "__part").agg(F.expr("count(*) AS __n"), F.expr("min(__pos) AS __first"))
     # Per group one row for each range it touches. Without groups: one row per range in all.
     before = Window.partitionBy(*groups).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select(
@@ -57,9 +57,10 @@ def row_number(df: DataFrame, groups: list[str], order_by: list[Column], out: st
         F.col("__part").alias("____part"),
         (F.coalesce(F.sum("__n").over(before), F.lit(0)) - F.col("__first")).alias("__shift"),
     )
-    starts = materialise(starts, "row-number-starts")
-    joined = sized_join(placed, starts, _match(placed, starts, [*groups, "__part"]))
-    return joined.select(*df.columns, (F.col("__pos") + F.col("__shift") + 1).cast("bigint").alias(out))
+    # There are as many starts as ranges and groups together, so only the groups need counting.
+    joined = (placed.join(F.broadcast(starts), _match(placed, starts, ["__part"])) if not groups
+              else sized_join(placed, starts, _match(placed, starts, [*groups, "__part"])))
+    return joined.select(*df.columns, F.expr(f"__pos + __shift + 1 AS {out}"))
 
 
 def rank_in(df: DataFrame, groups: list[str], order_by: list[Column], out: str) -> DataFrame:
@@ -103,56 +104,64 @@ def percent_rank(df: DataFrame, criteria: list[Criterion]) -> DataFrame:
     """
     names = {c.out: f"__v{i}" for i, c in enumerate(criteria)}
     rows = df.withColumns({names[c.out]: c.value for c in criteria})
-    kinds: dict[str, list[Criterion]] = {}
+    kinds = {c.out: _common_type(rows.schema[names[c.out]].dataType) for c in criteria}
+    rows = rows.withColumns({names[c.out]: F.col(names[c.out]).cast(kinds[c.out]) for c in criteria})
+    below, sizes = _values_below(rows, names, kinds)
     for c in criteria:
-        kinds.setdefault(_common_type(rows.schema[names[c.out]].dataType), []).append(c)
-    rows = rows.withColumns({names[c.out]: F.col(names[c.out]).cast(kind) for kind, cs in kinds.items() for c in cs})
-    for members in kinds.values():
-        below = _values_below(rows, {c.out: names[c.out] for c in members})
-        # One count per criterion.
-        sizes = {r.criterion: r["count"] for r in below.groupBy("criterion").count().collect()}
-        for c in members:
-            values = below.filter(F.col("criterion") == c.out)
-            rows = _add_percent(rows, values, c, names[c.out], sizes.get(c.out, 0) <= BROADCAST_ROWS)
+        values = below.filter(F.col("criterion") == c.out)
+        rows = _add_percent(rows, values, c, names[c.out], kinds[c.out], sizes.get(c.out, 0) <= BROADCAST_ROWS)
     return rows.drop(*names.values())
 
 
-def _values_below(rows: DataFrame, columns: dict[str, str]) -> DataFrame:
-    """For every criterion and value: its rows, the rows with smaller values, all rows, and NULL rows."""
-    pairs = F.array(*[F.struct(F.lit(out).alias("criterion"), F.col(name).alias("value")) for out, name in columns.items()])
-    counts = rows.select(F.inline(pairs)).groupBy("criterion", "value").agg(F.count("*").alias("n"))
-    keys = [F.col("criterion").asc(), F.col("value").asc_nulls_last()]
-    placed = _ranges(counts, keys, "value-counts")
-    inside = Window.partitionBy("criterion", "__part").orderBy("__pos").rowsBetween(Window.unboundedPreceding, -1)
-    running = placed.withColumn("__below", F.coalesce(F.sum("n").over(inside), F.lit(0)))
-    # One row per criterion and range.
+def _values_below(rows: DataFrame, names: dict[str, str], kinds: dict[str, str]) -> tuple[DataFrame, dict[str, int]]:
+    """For every criterion and value: its rows, the rows with smaller values, all rows, and NULL rows;
+    and for every criterion the number of its values.
+
+    A value stands in the column of its type; the columns of the other types are NULL.
+    """
+    slots = {kind: _slot(kind) for kind in sorted(set(kinds.values()))}
+
+    def value(out: str, kind: str) -> str:
+        return f"{names[out] if kinds[out] == kind else f'CAST(NULL AS {kind})'} AS {slots[kind]}"
+
+    pairs = [f"struct('{out}' AS criterion, {', '.join(value(out, k) for k in slots)})" for out in names]
+    counts = rows.selectExpr(f"inline(array({', '.join(pairs)}))").groupBy("criterion", *slots.values()).agg(F.expr("count(*) AS n"))
+    placed = _ranges(counts, [F.expr(c).asc_nulls_last() for c in ("criterion", *slots.values())], "value-counts")
+    unknown = " AND ".join(f"{s} IS NULL" for s in slots.values())
+    inside = "PARTITION BY criterion, __part ORDER BY __pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
+    running = placed.selectExpr("*", f"coalesce(sum(n) OVER ({inside}), 0L) AS __inside")
     sums = placed.groupBy("criterion", "__part").agg(
-        F.sum("n").alias("__n"), F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("n"))), F.lit(0)).alias("__nulls")
+        F.expr("sum(n) AS __n"), F.expr(f"sum(IF({unknown}, n, 0L)) AS __nulls"), F.expr("count(*) AS __values")
     )
-    whole = Window.partitionBy("criterion")
-    before = whole.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sums.select(
+    before = "PARTITION BY criterion ORDER BY __part ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
+    offsets = sums.selectExpr(
         "criterion",
         "__part",
-        F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__offset"),
-        F.sum("__n").over(whole).alias("total"),
-        F.sum("__nulls").over(whole).alias("nulls"),
+        f"coalesce(sum(__n) OVER ({before}), 0L) AS __offset",
+        "sum(__n) OVER (PARTITION BY criterion) AS total",
+        "sum(__nulls) OVER (PARTITION BY criterion) AS nulls",
     )
-    offsets = materialise(offsets, "value-offsets")
-    joined = sized_join(running, offsets, ["criterion", "__part"])
-    result = joined.select("criterion", "value", "n", (F.col("__below") + F.col("__offset")).alias("below"), "total", "nulls")
-    return materialise(result, "values-below")
+    # One row per range and one more per criterion, however many values there are.
+    below = running.join(F.broadcast(offsets), ["criterion", "__part"]).selectExpr(
+        "criterion", *slots.values(), "n", "__inside + __offset AS below", "total", "nulls"
+    )
+    sizes = {r.criterion: r.n for r in sums.groupBy("criterion").agg(F.expr("sum(__values) AS n")).collect()}
+    return below, sizes
+
 
+def _slot(kind: str) -> str:
+    return "value_" + "".join(ch if ch.isalnum() else "_" for ch in kind)
 
-def _add_percent(rows: DataFrame, values: DataFrame, criterion: Criterion, column: str, few_values: bool) -> DataFrame:
-    known = F.col("total") - F.col("nulls")
-    ahead = known - F.col("below") - F.col("n") if criterion.descending else F.col("below")
+
+def _add_percent(rows: DataFrame, values: DataFrame, criterion: Criterion, column: str, kind: str, few_values: bool) -> DataFrame:
+    value, known = _slot(kind), "(total - nulls)"
+    ahead = f"{known} - below - n" if criterion.descending else "below"
     if criterion.nulls_last:
-        ranked = F.when(F.col("value").isNull(), known).otherwise(ahead)
+        ranked = f"IF({value} IS NULL, {known}, {ahead})"
     else:
-        ranked = F.when(F.col("value").isNull(), F.lit(0)).otherwise(ahead + F.col("nulls"))
-    percent = F.when(F.col("total") > 1, ranked.cast("double") / (F.col("total") - 1)).otherwise(F.lit(0.0))
-    table = values.select(F.col("value").alias("__value"), percent.alias(criterion.out), "n", "total")
+        ranked = f"IF({value} IS NULL, 0L, {ahead} + nulls)"
+    percent = f"IF(total > 1, CAST({ranked} AS DOUBLE) / (total - 1), 0D) AS {criterion.out}"
+    table = values.selectExpr(f"{value} AS __value", percent, "n", "total")
     if few_values:
         lookup = F.broadcast(table.drop("n", "total"))
         return rows.join(lookup, F.col(column).eqNullSafe(F.col("__value")), "left").drop("__value")
@@ -178,11 +187,10 @@ def spaced_second(
     second pick is an aggregate, so no group is gathered in one place.
     """
     first = df.filter(F.col(rank) == 1)
-    anchor = materialise(
-        first.select(F.col(group).alias("__group"), F.col(line).alias("__line"), F.col(position).alias("__position")), "anchors"
-    )
-    others = sized_join(df.filter(F.col(rank) > 1), anchor, F.col(group) == F.col("__group"))
+    anchor = first.select(F.col(group).alias("__group"), F.col(line).alias("__line"), F.col(position).alias("__position"))
+    few_groups = is_small(anchor)
+    small = F.broadcast if few_groups else lambda d: d
+    others = df.filter(F.col(rank) > 1).join(small(anchor), F.col(group) == F.col("__group"))
     apart = (F.col(line) != F.col("__line")) | (F.abs(F.col(position) - F.col("__position")) >= F.lit(gap))
     chosen = others.filter(apart).groupBy(group).agg(F.min(rank).alias(rank))
-    second = df.join(F.broadcast(chosen) if is_small(anchor) else chosen, [group, rank], "left_semi")
-    return first.unionByName(second)
+    return first.unionByName(df.join(small(chosen), [group, rank], "left_semi"))

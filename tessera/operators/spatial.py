@@ -13,7 +13,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions import geometry as G
@@ -22,60 +22,51 @@ from tessera.session import BROADCAST_ROWS, materialise
 _STEP = 2  # halvings of each side from level to level
 _MAX_LEVEL = 26
 _CROWDED = 16  # shapes in a cell that make another level worth while
-_SIDES = ("x0", "x1", "y0", "y1")
+_SIDES = ", ".join(G.SIDES)
 
 
 @dataclass(frozen=True)
 class ShapeIndex:
     cells: DataFrame  # key, level, ix, iy, sides of the box, weight
-    shapes: DataFrame  # key, ix, iy at the last level, shape, weight
+    shapes: DataFrame  # key, ix and iy at the last level, shape, weight, sides
     depth: int
     cell_counts: dict[int, int]
     shape_count: int
 
 
-def _sides(prefix: str) -> dict[str, Column]:
-    return {s: F.col(prefix + s) for s in _SIDES}
-
-
 def build_index(items: DataFrame, geom: str, key: str | None = None) -> ShapeIndex | None:
     """Index of the distinct shapes per key; None when there are none."""
-    keyed = items.select((F.col(key) if key else F.lit(0)).alias("key"), F.col(geom).alias("shape")).dropna()
-    distinct = keyed.groupBy("key", "shape").agg(F.count("*").alias("weight"))
-    boxed = materialise(distinct.select("*", *[c.alias(s) for s, c in G.bounds(F.col("shape")).items()]), "shapes")
-    lon, lat = (F.col("x0") + F.col("x1")) / 2, (F.col("y0") + F.col("y1")) / 2
-    extent = boxed.agg(
-        F.count("*").alias("n"), F.min(lon).alias("west"), F.max(lon).alias("east"), F.min(lat).alias("south"), F.max(lat).alias("north")
+    keyed = items.selectExpr(f"{key or 0} AS key", f"{geom} AS shape").dropna()
+    distinct = keyed.groupBy("key", "shape").agg(F.expr("count(*) AS weight"))
+    boxed = materialise(distinct.select("*", *G.bounds("shape")), "shapes")
+    lon, lat = "(x0 + x1) / 2", "(y0 + y1) / 2"
+    extent = boxed.selectExpr(
+        "count(*) AS n", f"min({lon}) AS west", f"max({lon}) AS east", f"min({lat}) AS south", f"max({lat}) AS north"
     ).first()
     if not extent.n:
         return None
     # Enough levels for evenly spread shapes, and some more for clustered ones.
     levels = max(0, math.ceil(math.log(max(extent.n / 8, 1), 4))) + 6
     levels = min(_MAX_LEVEL, levels + levels % _STEP)
+    last = (1 << levels) - 1
 
-    def cell(centre: Column, low: float, high: float) -> Column:
-        share = (centre - F.lit(low)) / F.lit(max(high - low, 1e-12))
-        return F.least(F.floor(share * F.lit(float(1 << levels))), F.lit((1 << levels) - 1)).cast("bigint")
-
-    placed = boxed.withColumns({"ix": cell(lon, extent.west, extent.east), "iy": cell(lat, extent.south, extent.north)})
-    level = F.explode(F.array(*[F.lit(v) for v in range(0, levels + 1, _STEP)])).alias("level")
-    spread = placed.select("key", level, "ix", "iy", "weight", *_SIDES).select(
-        "key",
-        "level",
-        *[F.expr(f"shiftright({axis}, {levels} - level)").alias(axis) for axis in ("ix", "iy")],
-        "weight",
-        *_SIDES,
-    )
-    cells = spread.groupBy("key", "level", "ix", "iy").agg(
-        F.sum("weight").alias("weight"),
-        F.count("*").alias("shapes"),
-        *[(F.min if s.endswith("0") else F.max)(s).alias(s) for s in _SIDES],
+    def cell(centre: str, low: float, high: float, name: str) -> str:
+        share = f"({centre} - {low!r}D) / {max(high - low, 1e-12)!r}D"
+        return f"least(CAST(floor({share} * {1 << levels}D) AS BIGINT), {last}L) AS {name}"
+
+    placed = boxed.selectExpr("*", cell(lon, extent.west, extent.east, "ix"), cell(lat, extent.south, extent.north, "iy"))
+    up = ", ".join(str(v) for v in range(0, levels + 1, _STEP))
+    spread = placed.selectExpr("key", "ix", "iy", "weight", *G.SIDES, f"explode(array({up})) AS level").selectExpr(
+        "key", "level", f"shiftright(ix, {levels} - level) AS ix", f"shiftright(iy, {levels} - level) AS iy", "weight", *G.SIDES
     )
+    box = [F.expr(f"{'min' if s.endswith('0') else 'max'}({s}) AS {s}") for s in G.SIDES]
+    cells = spread.groupBy("key", "level", "ix", "iy").agg(F.expr("sum(weight) AS weight"), F.expr("count(*) AS shapes"), *box)
     cells = materialise(cells, "cells")
-    stats = cells.groupBy("level").agg(F.count("*").alias("n"), F.max("shapes").alias("crowd")).orderBy("level").collect()
+    # One row per level.
+    stats = sorted(cells.groupBy("level").agg(F.expr("count(*) AS n"), F.expr("max(shapes) AS crowd")).collect())
     depth = next((r.level for r in stats if r.crowd <= _CROWDED), levels)
-    leaves = placed.select(
-        "key", *[F.shiftright(axis, levels - depth).alias(axis) for axis in ("ix", "iy")], "shape", "weight", *_SIDES
+    leaves = placed.selectExpr(
+        "key", f"shiftright(ix, {levels - depth}) AS ix", f"shiftright(iy, {levels - depth}) AS iy", "shape", "weight", *G.SIDES
     )
     return ShapeIndex(cells, leaves, depth, {r.level: r.n for r in stats}, extent.n)
 
@@ -84,58 +75,44 @@ def _sized(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
 
+_BOX = [f"{s} AS c_{s}" for s in G.SIDES]
+
+
 def _cells_at(index: ShapeIndex, level: int) -> DataFrame:
     """Cells of a level, named by the cell above them."""
     up = _STEP if level else 0
-    table = index.cells.filter(F.col("level") == level).select(
-        F.col("key").alias("c_key"),
-        F.shiftright("ix", up).alias("c_up_x"),
-        F.shiftright("iy", up).alias("c_up_y"),
-        F.col("ix").alias("c_ix"),
-        F.col("iy").alias("c_iy"),
-        F.col("weight").alias("c_weight"),
-        *[F.col(s).alias("c_" + s) for s in _SIDES],
+    table = index.cells.filter(F.expr(f"level = {level}")).selectExpr(
+        "key AS c_key", f"shiftright(ix, {up}) AS c_up_x", f"shiftright(iy, {up}) AS c_up_y", "ix AS c_ix", "iy AS c_iy", "weight AS c_weight", *_BOX
     )
     return _sized(table, index.cell_counts[level])
 
 
 def _shapes_at_leaves(index: ShapeIndex) -> DataFrame:
-    table = index.shapes.select(
-        F.col("key").alias("c_key"),
-        F.col("ix").alias("c_up_x"),
-        F.col("iy").alias("c_up_y"),
-        F.col("shape").alias("c_shape"),
-        F.col("weight").alias("c_weight"),
-        *[F.col(s).alias("c_" + s) for s in _SIDES],
-    )
+    table = index.shapes.selectExpr("key AS c_key", "ix AS c_up_x", "iy AS c_up_y", "shape AS c_shape", "weight AS c_weight", *_BOX)
     return _sized(table, index.shape_count)
 
 
 def _below() -> Column:
-    return (F.col("key") == F.col("c_key")) & (F.col("ix") == F.col("c_up_x")) & (F.col("iy") == F.col("c_up_y"))
+    return F.expr("key = c_key AND ix = c_up_x AND iy = c_up_y")
 
 
 def _probes(df: DataFrame, geom: str, key: str | None) -> DataFrame:
     """Distinct shapes to search for, each with an id, at the top cell."""
-    shapes = df.select((F.col(key) if key else F.lit(0)).alias("key"), F.col(geom).alias("probe")).dropna().distinct()
-    return shapes.select(
-        F.xxhash64("key", "probe").alias("pid"),
-        "key",
-        "probe",
-        *[c.alias(s) for s, c in G.bounds(F.col("probe")).items()],
-        F.lit(0).cast("bigint").alias("ix"),
-        F.lit(0).cast("bigint").alias("iy"),
-    )
+    shapes = df.selectExpr(f"{key or 0} AS key", f"{geom} AS probe").dropna().distinct()
+    return shapes.select(F.expr("xxhash64(key, probe) AS pid"), "key", "probe", *G.bounds("probe"), F.expr("0L AS ix"), F.expr("0L AS iy"))
+
+
+def _same(geom: str, key: str | None) -> Column:
+    return F.expr(f"{geom} = __probe AND {key or 0} = __key")
 
 
 def _back(df: DataFrame, found: DataFrame, geom: str, key: str | None) -> DataFrame:
     """Search results, which are per distinct shape, put back on the rows."""
-    result = found.select(F.col("key").alias("__key"), F.col("probe").alias("__probe"), *found.columns[2:])
-    on = (F.col(geom) == F.col("__probe")) & ((F.col(key) if key else F.lit(0)) == F.col("__key"))
-    return df.join(result, on, "left").drop("__key", "__probe")
+    result = found.withColumnsRenamed({"key": "__key", "probe": "__probe"})
+    return df.join(result, _same(geom, key), "left").drop("__key", "__probe")
 
 
-_CARRY = ("pid", "key", "probe", *_SIDES)
+_CARRY = ("pid", "key", "probe", *G.SIDES)
 
 
 def count_within(df: DataFrame, index: ShapeIndex | None, geom: str, metres: float, out: str, key: str | None = None) -> DataFrame:
@@ -144,49 +121,42 @@ def count_within(df: DataFrame, index: ShapeIndex | None, geom: str, metres: flo
     With ``key``, the column that goes with the key of the index, only items of the same key count.
     """
     if index is None:
-        return df.withColumn(out, F.lit(0).cast("bigint"))
-    near = F.lit(float(metres))
+        return df.withColumn(out, F.expr("0L"))
+    near = f"{float(metres)!r}D"
     # ``settled`` is the weight of a cell counted as a whole; such a row goes on without a cell. Its
     # cell number is negative, different for each probe, so those rows spread evenly in a shuffle.
-    rows = _probes(df, geom, key).withColumn("settled", F.lit(None).cast("bigint"))
+    rows = _probes(df, geom, key).withColumn("settled", F.expr("CAST(NULL AS BIGINT)"))
+    parked = f"-1 - pmod(pid, {1 << 20})"
     for level in range(0, index.depth + 1, _STEP):
         joined = rows.join(_cells_at(index, level), _below(), "left")
-        gap, reach = G.box_gap(_sides(""), _sides("c_")), G.box_reach(_sides(""), _sides("c_"))
-        # What is left is settled before, inside the radius, or cut by it.
-        joined = joined.filter(F.col("settled").isNotNull() | (gap < near))
-        whole = F.col("settled").isNull() & (reach < near)
-        parked = -1 - F.pmod(F.col("pid"), F.lit(1 << 20))
-        rows = joined.withColumn("__whole", whole).select(
+        joined = joined.select("*", G.box_gap("", "c_").alias("gap"), G.box_reach("", "c_").alias("reach"))
+        # What stays is settled before, inside the radius, or cut by it.
+        kept = joined.filter(F.expr(f"settled IS NOT NULL OR gap < {near}"))
+        rows = kept.selectExpr(
             *_CARRY,
-            *[
-                F.when(F.col("__whole") | F.col("settled").isNotNull(), parked).otherwise(F.col(f"c_{axis}")).alias(axis)
-                for axis in ("ix", "iy")
-            ],
-            F.when(F.col("__whole"), F.col("c_weight")).otherwise(F.col("settled")).alias("settled"),
+            *[f"IF(settled IS NOT NULL OR reach < {near}, {parked}, c_{axis}) AS {axis}" for axis in ("ix", "iy")],
+            f"coalesce(settled, IF(reach < {near}, c_weight, NULL)) AS settled",
         )
     joined = rows.join(_shapes_at_leaves(index), _below(), "left")
-    exact = F.when(G.distance(F.col("probe"), F.col("c_shape")) < near, F.col("c_weight"))
-    counted = F.when(F.col("settled").isNotNull(), F.col("settled")).otherwise(exact)
-    found = joined.groupBy("key", "probe").agg(F.sum(counted).alias("__n"))
-    return _back(df, found, geom, key).withColumn(out, F.coalesce("__n", F.lit(0).cast("bigint"))).drop("__n")
+    measured = joined.select("key", "probe", "settled", "c_weight", G.distance("probe", "c_shape").alias("metres"))
+    found = measured.groupBy("key", "probe").agg(F.expr(f"sum(coalesce(settled, IF(metres < {near}, c_weight, 0L))) AS __n"))
+    return _back(df, found, geom, key).withColumn(out, F.expr("coalesce(__n, 0L)")).drop("__n")
 
 
 def nearest(df: DataFrame, index: ShapeIndex | None, geom: str, out: str, key: str | None = None) -> DataFrame:
     """``df`` with the distance to the nearest indexed item in metres; NULL when there is no item."""
     if index is None:
-        return df.withColumn(out, F.lit(None).cast("double"))
+        return df.withColumn(out, F.expr("CAST(NULL AS DOUBLE)"))
     rows = _probes(df, geom, key)
-    # Per probe the cells in the running: a few around the best one, whatever the number of items.
-    probe = Window.partitionBy("pid", "key", "probe")
     for level in range(0, index.depth + 1, _STEP):
-        joined = rows.join(_cells_at(index, level), _below(), "inner").withColumns(
-            {"__gap": G.box_gap(_sides(""), _sides("c_")), "__reach": G.box_reach(_sides(""), _sides("c_"))}
-        )
-        best = joined.withColumn("__best", F.min("__reach").over(probe)).filter(F.col("__gap") <= F.col("__best"))
-        rows = best.select(*_CARRY, F.col("c_ix").alias("ix"), F.col("c_iy").alias("iy"))
+        joined = rows.join(_cells_at(index, level), _below(), "inner")
+        joined = joined.select(*_CARRY, "c_ix", "c_iy", G.box_gap("", "c_").alias("gap"), G.box_reach("", "c_").alias("reach"))
+        # Per probe the cells in the running: a few around the best one, whatever the number of items.
+        best = joined.selectExpr("*", "min(reach) OVER (PARTITION BY pid, key, probe) AS best").filter(F.expr("gap <= best"))
+        rows = best.selectExpr(*_CARRY, "c_ix AS ix", "c_iy AS iy")
     joined = rows.join(_shapes_at_leaves(index), _below(), "inner")
-    found = joined.groupBy("key", "probe").agg(F.min(G.distance(F.col("probe"), F.col("c_shape"))).alias(out))
-    return _back(df, found, geom, key)
+    measured = joined.select("key", "probe", G.distance("probe", "c_shape").alias("metres"))
+    return _back(df, measured.groupBy("key", "probe").agg(F.expr(f"min(metres) AS {out}")), geom, key)
 
 
 def intersecting(df: DataFrame, index: ShapeIndex | None, geom: str, key: str | None = None) -> DataFrame:
@@ -194,12 +164,11 @@ def intersecting(df: DataFrame, index: ShapeIndex | None, geom: str, key: str |
     if index is None:
         return df.limit(0)
     rows = _probes(df, geom, key)
-    touch = G.boxes_overlap(_sides(""), _sides("c_"))
+    touch = G.boxes_overlap("", "c_")
     for level in range(0, index.depth + 1, _STEP):
         joined = rows.join(_cells_at(index, level), _below() & touch, "inner")
-        rows = joined.select(*_CARRY, F.col("c_ix").alias("ix"), F.col("c_iy").alias("iy"))
+        rows = joined.selectExpr(*_CARRY, "c_ix AS ix", "c_iy AS iy")
     # A semi join stops at the first hit.
-    hits = rows.join(_shapes_at_leaves(index), _below() & touch & G.intersects(F.col("probe"), F.col("c_shape")), "left_semi")
-    found = hits.select(F.col("key").alias("__key"), F.col("probe").alias("__probe")).distinct()
-    on = (F.col(geom) == F.col("__probe")) & ((F.col(key) if key else F.lit(0)) == F.col("__key"))
-    return df.join(found, on, "left_semi")
+    hits = rows.join(_shapes_at_leaves(index), _below() & touch & G.intersects("probe", "c_shape"), "left_semi")
+    found = hits.selectExpr("key AS __key", "probe AS __probe").distinct()
+    return df.join(found, _same(geom, key), "left_semi")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -88,32 +89,41 @@ def base(t: SiteTables) -> DataFrame:
     return joined.withColumn("corridor", corridor)
 
 
-def excluded(t: SiteTables) -> DataFrame:
-    """Segments that touch a protected area."""
-    return spatial.intersecting(t.road_segments, spatial.build_index(t.env_constraints, "geom"), "geom").select("segment_id")
+def _indexes(t: SiteTables, *names: str) -> list[spatial.ShapeIndex | None]:
+    """Indexes of several tables, built by jobs that run side by side."""
+    keys = {"interchanges": "interstate"}
+    with ThreadPoolExecutor(len(names)) as pool:
+        return list(pool.map(lambda n: spatial.build_index(getattr(t, n), "geom", keys.get(n)), names))
+
+
+def _outside(segments: DataFrame, roads: DataFrame, areas: spatial.ShapeIndex | None) -> DataFrame:
+    return anti(segments, spatial.intersecting(roads, areas, "geom"), "segment_id")
 
 
-def _near_power(segments: DataFrame, power_infra: DataFrame) -> DataFrame:
-    index = spatial.build_index(power_infra, "geom")
-    closest = spatial.nearest(segments, index, "geom", "min_power_dist_m")
-    counted = spatial.count_within(segments, index, "geom", POWER_RADIUS_M, "power_assets_30km")
+def _near_power(segments: DataFrame, power: spatial.ShapeIndex | None) -> DataFrame:
+    closest = spatial.nearest(segments, power, "geom", "min_power_dist_m")
+    counted = spatial.count_within(segments, power, "geom", POWER_RADIUS_M, "power_assets_30km")
     return closest.select("segment_id", "min_power_dist_m").join(counted.select("segment_id", "power_assets_30km"), "segment_id")
 
 
-def _near_interchanges(segments: DataFrame, interchanges: DataFrame) -> DataFrame:
-    index = spatial.build_index(interchanges, "geom", key="interstate")
-    counted = spatial.count_within(segments, index, "geom", INTERCHANGE_RADIUS_M, "interchange_count", key="interstate")
+def _near_interchanges(segments: DataFrame, interchanges: spatial.ShapeIndex | None) -> DataFrame:
+    counted = spatial.count_within(segments, interchanges, "geom", INTERCHANGE_RADIUS_M, "interchange_count", key="interstate")
     return counted.select("segment_id", "interchange_count")
 
 
+def excluded(t: SiteTables) -> DataFrame:
+    """Segments that touch a protected area."""
+    return spatial.intersecting(t.road_segments, *_indexes(t, "env_constraints"), "geom").select("segment_id")
+
+
 def power_proximity(t: SiteTables) -> DataFrame:
     """Per segment the distance to the nearest power asset and the number of assets in reach."""
-    return _near_power(t.road_segments, t.power_infra)
+    return _near_power(t.road_segments, *_indexes(t, "power_infra"))
 
 
 def interchange_density(t: SiteTables) -> DataFrame:
     """Per segment the number of interchanges of its own interstate close by."""
-    return _near_interchanges(t.road_segments, t.interchanges)
+    return _near_interchanges(t.road_segments, *_indexes(t, "interchanges"))
 
 
 def eligible(t: SiteTables) -> DataFrame:
@@ -121,9 +131,11 @@ def eligible(t: SiteTables) -> DataFrame:
 
     Both conditions come first, so distances are worked out for eligible segments only.
     """
-    kept = materialise(anti(base(t).filter(F.col("lanes") >= MIN_LANES), excluded(t), "segment_id"), "eligible")
-    near = kept.join(_near_power(kept, t.power_infra), "segment_id")
-    return near.join(_near_interchanges(kept, t.interchanges), "segment_id").drop("geom")
+    areas, power, interchanges = _indexes(t, "env_constraints", "power_infra", "interchanges")
+    wide = base(t).filter(F.col("lanes") >= MIN_LANES)
+    roads = t.road_segments.filter(F.col("lanes") >= MIN_LANES)
+    kept = materialise(_outside(wide, roads, areas), "eligible")
+    return kept.join(_near_power(kept, power), "segment_id").join(_near_interchanges(kept, interchanges), "segment_id").drop("geom")
 
 
 def scored(t: SiteTables, intent: bool = False) -> DataFrame:
@@ -187,13 +199,11 @@ def site_selection(t: SiteTables, intent: bool = False) -> DataFrame:
 
 def with_geometry(segments: DataFrame, power: DataFrame, interchanges: DataFrame, areas: DataFrame) -> dict[str, DataFrame]:
     """Geometry columns from plain coordinates: end points, points, and box sides."""
-    ends = ("lon0", "lat0", "lon1", "lat1")
+    ends = (("lon0", "lat0"), ("lon1", "lat1"))
     sides = ("min_lon", "min_lat", "max_lon", "max_lat")
-    lon0, lat0, lon1, lat1 = (F.col(c) for c in ends)
-    spot = G.point(F.col("lon"), F.col("lat"))
     return {
-        "road_segments": segments.withColumn("geom", G.line((lon0, lat0), (lon1, lat1))).drop(*ends),
-        "power_infra": power.withColumn("geom", spot).drop("lon", "lat"),
-        "interchanges": interchanges.withColumn("geom", spot).drop("lon", "lat"),
-        "env_constraints": areas.withColumn("geom", G.box(*[F.col(c) for c in sides])).drop(*sides),
+        "road_segments": segments.withColumn("geom", G.line(*ends)).drop(*ends[0], *ends[1]),
+        "power_infra": power.withColumn("geom", G.point("lon", "lat")).drop("lon", "lat"),
+        "interchanges": interchanges.withColumn("geom", G.point("lon", "lat")).drop("lon", "lat"),
+        "env_constraints": areas.withColumn("geom", G.box(*sides)).drop(*sides),
     }

@@ -393,20 +393,21 @@ def fn_arrays_zip(lineitem: DataFrame) -> DataFrame:
 @_over("road_segments", "interchanges")
 def fn_st_distance(segments: DataFrame, interchanges: DataFrame) -> DataFrame:
     pairs = segments.drop("interstate").join(interchanges, segments.segment_id == interchanges.interchange_id)
-    spot = G.point(F.col("lon"), F.col("lat"))
-    road = G.line((F.col("lon0"), F.col("lat0")), (F.col("lon1"), F.col("lat1")))
-    start = G.point(F.col("lon0"), F.col("lat0"))
-    return pairs.select(
-        "segment_id", F.round(G.distance(road, spot), 2).alias("to_road_m"), F.round(G.distance(spot, start), 2).alias("to_start_m")
-    )
+    shapes = {
+        "spot": G.point("lon", "lat"),
+        "start": G.point("lon0", "lat0"),
+        "road": G.line(("lon0", "lat0"), ("lon1", "lat1")),
+    }
+    metres = [F.round(G.distance(a, b), 2).alias(n) for n, a, b in (("to_road_m", "road", "spot"), ("to_start_m", "spot", "start"))]
+    return pairs.withColumns(shapes).select("segment_id", *metres)
 
 
 @_over("road_segments", "env_constraints")
 def fn_st_intersects(segments: DataFrame, areas: DataFrame) -> DataFrame:
-    pairs = segments.join(areas, F.col("segment_id") % 25 == F.col("area_id"))
-    road = G.line((F.col("lon0"), F.col("lat0")), (F.col("lon1"), F.col("lat1")))
-    area = G.box(F.col("min_lon"), F.col("min_lat"), F.col("max_lon"), F.col("max_lat"))
-    return pairs.select("segment_id", "area_id", G.intersects(road, area).alias("meets"))
+    roads = segments.select("segment_id", G.line(("lon0", "lat0"), ("lon1", "lat1")).alias("road"))
+    boxes = areas.select("area_id", G.box("min_lon", "min_lat", "max_lon", "max_lat").alias("area"))
+    pairs = roads.join(boxes, F.col("segment_id") % 25 == F.col("area_id"))
+    return pairs.select("segment_id", "area_id", G.intersects("road", "area").alias("meets"))
 
 
 # Data quality, documents, weather -------------------------------------------------------------

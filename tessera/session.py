@@ -31,6 +31,8 @@ def get_session(cpus: int | str = 8, app: str = "tessera", **conf: str) -> Spark
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", str(cpus))
+        # Recording the call site of every column costs more than small queries take.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
     for key, value in {**RUNTIME_CONF, **conf}.items():
@@ -87,6 +89,6 @@ def is_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
 def sized_join(left: DataFrame, right: DataFrame, on, how: str = "inner") -> DataFrame:
     """Join with the right side broadcast when a count proves it small, shuffled otherwise.
 
-    ``right`` should be materialised, because it is counted first.
+    ``right`` is counted first, so it should be cheap to compute.
     """
     return left.join(F.broadcast(right) if is_small(right) else right, on, how)

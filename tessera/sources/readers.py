@@ -6,11 +6,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from tessera.session import prepare
+from tessera.sources.schemas import TABLES
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Scan one of the Parquet tables by name."""
-    return prepare(spark).read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Scan one of the Parquet tables by name; the schema of an undeclared table is inferred."""
+    reader = prepare(spark).read
+    if name in TABLES:
+        reader = reader.schema(TABLES[name])
+    return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
