@@ -9,9 +9,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.session import materialise, sized_join
+
 
 def _keys(df: DataFrame, on: list[str]) -> DataFrame:
     """Distinct join keys. Partial aggregation reduces a hot key to one row per task, and the join
@@ -32,16 +34,23 @@ def chain(first: DataFrame, *steps: tuple[DataFrame, str | list[str]]) -> DataFr
     return reduce(lambda acc, step: inner(acc, *step), steps, first)
 
 
-def anti(left: DataFrame, right: DataFrame, on: str | list[str]) -> DataFrame:
-    """Rows of ``left`` without a partner."""
-    on = _list(on)
-    return left.join(_keys(right, on), on, "left_anti")
+def _tested(left: DataFrame, right: DataFrame, on: list[str], how: str, hot_left: bool) -> DataFrame:
+    keys = _keys(right, on)
+    return sized_join(left, materialise(keys, "keys"), on, how) if hot_left else left.join(keys, on, how)
 
 
-def semi(left: DataFrame, right: DataFrame, on: str | list[str]) -> DataFrame:
-    """Rows of ``left`` with a partner, each once."""
-    on = _list(on)
-    return left.join(_keys(right, on), on, "left_semi")
+def anti(left: DataFrame, right: DataFrame, on: str | list[str], hot_left: bool = False) -> DataFrame:
+    """Rows of ``left`` without a partner.
+
+    Say ``hot_left`` where the left side is not unique by the key and a key may have very many rows:
+    the tested keys are then written first, and a join of two plain shuffles can be split.
+    """
+    return _tested(left, right, _list(on), "left_anti", hot_left)
+
+
+def semi(left: DataFrame, right: DataFrame, on: str | list[str], hot_left: bool = False) -> DataFrame:
+    """Rows of ``left`` with a partner, each once; ``hot_left`` as for ``anti``."""
+    return _tested(left, right, _list(on), "left_semi", hot_left)
 
 
 def has_all(left: DataFrame, rights: list[DataFrame], on: str | list[str]) -> DataFrame:
@@ -71,8 +80,9 @@ def exists_flag(left: DataFrame, right: DataFrame, on: str | list[str], name: st
 
 
 def attach(detail: DataFrame, aggregate: DataFrame, on: str | list[str]) -> DataFrame:
-    """Detail rows with the values of their group; the aggregate has one row per key."""
-    return detail.join(aggregate, _list(on), "inner")
+    """Detail rows with the values of their group; the aggregate has one row per key. It is written
+    first, so that it can be broadcast if it is small and a hot group can be split if it is not."""
+    return sized_join(detail, materialise(aggregate, "aggregate"), _list(on))
 
 
 def counts_per_key(base: DataFrame, on: str, **tables: tuple[DataFrame, str]) -> DataFrame:
@@ -85,7 +95,3 @@ def counts_per_key(base: DataFrame, on: str, **tables: tuple[DataFrame, str]) ->
         counts = table.groupBy(on).agg(F.count_distinct(identifier).alias(name))
         result = result.join(counts, on, "left").withColumn(name, F.coalesce(name, F.lit(0).cast("bigint")))
     return result
-
-
-def condition(*pairs: tuple[Column, Column]) -> Column:
-    return reduce(lambda a, b: a & b, [x == y for x, y in pairs])

@@ -35,8 +35,11 @@ def order(column: str | Column, direction: str = "asc", nulls: str = "last") ->
     return getattr(col, f"{direction}_nulls_{nulls}")()
 
 
-def sort(df: DataFrame, *keys: tuple | str | Column) -> DataFrame:
-    return df.orderBy(*[order(*k) if isinstance(k, tuple) else order(k) for k in keys])
+def sort(df: DataFrame, *keys: tuple | str | Column, split_ties: bool = False) -> DataFrame:
+    """Global order. Rows that tie on all keys end up in one task; ``split_ties`` spreads them over
+    several, in the order they come in."""
+    columns = [order(*k) if isinstance(k, tuple) else order(k) for k in keys]
+    return df.orderBy(*columns, *([F.monotonically_increasing_id()] if split_ties else []))
 
 
 def top_k(df: DataFrame, k: int, *keys: tuple | str | Column) -> DataFrame:

@@ -96,37 +96,33 @@ def _below() -> Column:
     return F.expr("key = c_key AND ix = c_up_x AND iy = c_up_y")
 
 
-def _probes(df: DataFrame, geom: str, key: str | None) -> DataFrame:
-    """Distinct shapes to search for, each with an id, at the top cell."""
-    shapes = df.selectExpr(f"{key or 0} AS key", f"{geom} AS probe").dropna().distinct()
-    return shapes.select(F.expr("xxhash64(key, probe) AS pid"), "key", "probe", *G.bounds("probe"), F.expr("0L AS ix"), F.expr("0L AS iy"))
+def _probes(df: DataFrame, identifier: str, geom: str, key: str | None) -> DataFrame:
+    """Shapes to search for, at the top cell."""
+    shapes = df.selectExpr(f"{identifier} AS id", f"{key or 0} AS key", f"{geom} AS probe")
+    # The number of the top cell is 0. A literal would turn the equi-join with it into a nested loop.
+    return shapes.select("*", *G.bounds("probe"), F.expr("pmod(xxhash64(id), 1) AS ix"), F.expr("pmod(xxhash64(id), 1) AS iy"))
 
 
-def _same(geom: str, key: str | None) -> Column:
-    return F.expr(f"{geom} = __probe AND {key or 0} = __key")
+_CARRY = ("id", "key", "probe", *G.SIDES)
+# Cell number of a row that is done: no cell has it, and it differs from row to row, so that such
+# rows spread evenly in a shuffle.
+_PARKED = f"-1 - pmod(xxhash64(id), {1 << 20})"
 
 
-def _back(df: DataFrame, found: DataFrame, geom: str, key: str | None) -> DataFrame:
-    """Search results, which are per distinct shape, put back on the rows."""
-    result = found.withColumnsRenamed({"key": "__key", "probe": "__probe"})
-    return df.join(result, _same(geom, key), "left").drop("__key", "__probe")
-
-
-_CARRY = ("pid", "key", "probe", *G.SIDES)
-
-
-def count_within(df: DataFrame, index: ShapeIndex | None, geom: str, metres: float, out: str, key: str | None = None) -> DataFrame:
-    """``df`` with the number of indexed items nearer than ``metres``, 0 where there are none.
+def count_within(
+    df: DataFrame, index: ShapeIndex | None, identifier: str, geom: str, metres: float, out: str, key: str | None = None
+) -> DataFrame:
+    """For every id of ``df`` the number of indexed items nearer than ``metres``, 0 without any.
 
     With ``key``, the column that goes with the key of the index, only items of the same key count.
     """
     if index is None:
-        return df.withColumn(out, F.expr("0L"))
+        return df.selectExpr(f"{identifier} AS {identifier}", f"0L AS {out}").distinct()
     near = f"{float(metres)!r}D"
-    # ``settled`` is the weight of a cell counted as a whole; such a row goes on without a cell. Its
-    # cell number is negative, different for each probe, so those rows spread evenly in a shuffle.
-    rows = _probes(df, geom, key).withColumn("settled", F.expr("CAST(NULL AS BIGINT)"))
-    parked = f"-1 - pmod(pid, {1 << 20})"
+    # ``settled`` is the weight of a cell counted as a whole; such a row goes on without a cell. One
+    # of weight 0 keeps every id in the result.
+    start = _probes(df, identifier, geom, key).selectExpr(*_CARRY, "ix", "iy", "explode(array(NULL, 0L)) AS settled")
+    rows = start.selectExpr(*_CARRY, *[f"IF(settled IS NULL, {axis}, {_PARKED}) AS {axis}" for axis in ("ix", "iy")], "settled")
     for level in range(0, index.depth + 1, _STEP):
         joined = rows.join(_cells_at(index, level), _below(), "left")
         joined = joined.select("*", G.box_gap("", "c_").alias("gap"), G.box_reach("", "c_").alias("reach"))
@@ -134,41 +130,39 @@ def count_within(df: DataFrame, index: ShapeIndex | None, geom: str, metres: flo
         kept = joined.filter(F.expr(f"settled IS NOT NULL OR gap < {near}"))
         rows = kept.selectExpr(
             *_CARRY,
-            *[f"IF(settled IS NOT NULL OR reach < {near}, {parked}, c_{axis}) AS {axis}" for axis in ("ix", "iy")],
+            *[f"IF(settled IS NOT NULL OR reach < {near}, {_PARKED}, c_{axis}) AS {axis}" for axis in ("ix", "iy")],
             f"coalesce(settled, IF(reach < {near}, c_weight, NULL)) AS settled",
         )
     joined = rows.join(_shapes_at_leaves(index), _below(), "left")
-    measured = joined.select("key", "probe", "settled", "c_weight", G.distance("probe", "c_shape").alias("metres"))
-    found = measured.groupBy("key", "probe").agg(F.expr(f"sum(coalesce(settled, IF(metres < {near}, c_weight, 0L))) AS __n"))
-    return _back(df, found, geom, key).withColumn(out, F.expr("coalesce(__n, 0L)")).drop("__n")
+    measured = joined.select("id", "settled", "c_weight", G.distance("probe", "c_shape").alias("metres"))
+    return measured.groupBy(F.col("id").alias(identifier)).agg(F.expr(f"sum(coalesce(settled, IF(metres < {near}, c_weight, 0L))) AS {out}"))
 
 
-def nearest(df: DataFrame, index: ShapeIndex | None, geom: str, out: str, key: str | None = None) -> DataFrame:
-    """``df`` with the distance to the nearest indexed item in metres; NULL when there is no item."""
+def nearest(df: DataFrame, index: ShapeIndex | None, identifier: str, geom: str, out: str, key: str | None = None) -> DataFrame:
+    """For every id of ``df`` the distance to the nearest indexed item in metres, NULL without any."""
     if index is None:
-        return df.withColumn(out, F.expr("CAST(NULL AS DOUBLE)"))
-    rows = _probes(df, geom, key)
+        return df.selectExpr(f"{identifier} AS {identifier}", f"CAST(NULL AS DOUBLE) AS {out}").distinct()
+    rows = _probes(df, identifier, geom, key)
     for level in range(0, index.depth + 1, _STEP):
-        joined = rows.join(_cells_at(index, level), _below(), "inner")
+        joined = rows.join(_cells_at(index, level), _below(), "left")
         joined = joined.select(*_CARRY, "c_ix", "c_iy", G.box_gap("", "c_").alias("gap"), G.box_reach("", "c_").alias("reach"))
-        # Per probe the cells in the running: a few around the best one, whatever the number of items.
-        best = joined.selectExpr("*", "min(reach) OVER (PARTITION BY pid, key, probe) AS best").filter(F.expr("gap <= best"))
-        rows = best.selectExpr(*_CARRY, "c_ix AS ix", "c_iy AS iy")
-    joined = rows.join(_shapes_at_leaves(index), _below(), "inner")
-    measured = joined.select("key", "probe", G.distance("probe", "c_shape").alias("metres"))
-    return _back(df, measured.groupBy("key", "probe").agg(F.expr(f"min(metres) AS {out}")), geom, key)
+        # Per id the cells in the running: a few around the best one, whatever the number of items.
+        best = joined.selectExpr("*", "min(reach) OVER (PARTITION BY id) AS best").filter(F.expr("best IS NULL OR gap <= best"))
+        rows = best.selectExpr(*_CARRY, *[f"coalesce(c_{axis}, {_PARKED}) AS {axis}" for axis in ("ix", "iy")])
+    joined = rows.join(_shapes_at_leaves(index), _below(), "left")
+    measured = joined.select("id", G.distance("probe", "c_shape").alias("metres"))
+    return measured.groupBy(F.col("id").alias(identifier)).agg(F.expr(f"min(metres) AS {out}"))
 
 
-def intersecting(df: DataFrame, index: ShapeIndex | None, geom: str, key: str | None = None) -> DataFrame:
-    """Rows of ``df`` that intersect at least one indexed item, each once."""
+def intersecting(df: DataFrame, index: ShapeIndex | None, identifier: str, geom: str, key: str | None = None) -> DataFrame:
+    """The ids of ``df`` whose shape meets at least one indexed item."""
     if index is None:
-        return df.limit(0)
-    rows = _probes(df, geom, key)
+        return df.select(identifier).limit(0)
+    rows = _probes(df, identifier, geom, key)
     touch = G.boxes_overlap("", "c_")
     for level in range(0, index.depth + 1, _STEP):
         joined = rows.join(_cells_at(index, level), _below() & touch, "inner")
         rows = joined.selectExpr(*_CARRY, "c_ix AS ix", "c_iy AS iy")
     # A semi join stops at the first hit.
     hits = rows.join(_shapes_at_leaves(index), _below() & touch & G.intersects("probe", "c_shape"), "left_semi")
-    found = hits.selectExpr("key AS __key", "probe AS __probe").distinct()
-    return df.join(found, _same(geom, key), "left_semi")
+    return hits.select(F.col("id").alias(identifier)).distinct()

@@ -85,6 +85,11 @@ _add(
     "batches deviations",
     "SELECT b.batch_id FROM batches b LEFT JOIN deviations d ON b.batch_id = d.batch_id WHERE d.deviation_id IS NULL",
 )
+_add(
+    "join_anti_detail",
+    "quality_tests deviations",
+    "SELECT * FROM quality_tests q WHERE NOT EXISTS (SELECT 1 FROM deviations d WHERE d.batch_id = q.batch_id)",
+)
 _add(
     "join_flag",
     "retail_orders retail_returns",
@@ -171,6 +176,13 @@ subcells AS (
   SELECT tile, su, subcell, avg(reading) AS a, stddev_samp(reading) AS sd, count(reading) AS n FROM cells GROUP BY ALL
 )"""
 
+ORACLES["join_attach"] = (
+    with_views("scan")
+    + _GRID
+    + """, sus AS (SELECT tile, su, avg(a) AS sa FROM subcells GROUP BY ALL)
+SELECT tile, su, subcell, round(a, 6) AS avg_reading, round(sa, 6) AS su_avg FROM subcells JOIN sus USING (tile, su)"""
+)
+
 # Aggregation, windows, sorting, sets
 _add("group_sum_count", "hospitals_like", "SELECT city, count(name) AS num_hospitals, CAST(sum(beds) AS BIGINT) AS total_beds FROM hospitals_like GROUP BY city")
 ORACLES["layered_avg"] = (

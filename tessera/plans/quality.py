@@ -73,7 +73,7 @@ def rule_cases(cases: DataFrame, rules: dict[str, Callable[[Column], Column]] =
     actual = reduce(lambda chain, r: chain.when(F.col("test_name") == r, rules[r](value)), rules, F)
     judged = cases.withColumn("actual", actual).withColumn("match", F.col("actual") == F.col("expected"))
     columns = judged.select("test_name", "input_value", "actual", "expected", "match")
-    return sort(columns, "test_name", "match", ("input_value", "asc", "first"))
+    return sort(columns, "test_name", "match", ("input_value", "asc", "first"), split_ties=True)
 
 
 @dataclass(frozen=True)

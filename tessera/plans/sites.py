@@ -96,24 +96,18 @@ def _indexes(t: SiteTables, *names: str) -> list[spatial.ShapeIndex | None]:
         return list(pool.map(lambda n: spatial.build_index(getattr(t, n), "geom", keys.get(n)), names))
 
 
-def _outside(segments: DataFrame, roads: DataFrame, areas: spatial.ShapeIndex | None) -> DataFrame:
-    return anti(segments, spatial.intersecting(roads, areas, "geom"), "segment_id")
-
-
 def _near_power(segments: DataFrame, power: spatial.ShapeIndex | None) -> DataFrame:
-    closest = spatial.nearest(segments, power, "geom", "min_power_dist_m")
-    counted = spatial.count_within(segments, power, "geom", POWER_RADIUS_M, "power_assets_30km")
-    return closest.select("segment_id", "min_power_dist_m").join(counted.select("segment_id", "power_assets_30km"), "segment_id")
+    closest = spatial.nearest(segments, power, "segment_id", "geom", "min_power_dist_m")
+    return closest.join(spatial.count_within(segments, power, "segment_id", "geom", POWER_RADIUS_M, "power_assets_30km"), "segment_id")
 
 
 def _near_interchanges(segments: DataFrame, interchanges: spatial.ShapeIndex | None) -> DataFrame:
-    counted = spatial.count_within(segments, interchanges, "geom", INTERCHANGE_RADIUS_M, "interchange_count", key="interstate")
-    return counted.select("segment_id", "interchange_count")
+    return spatial.count_within(segments, interchanges, "segment_id", "geom", INTERCHANGE_RADIUS_M, "interchange_count", key="interstate")
 
 
 def excluded(t: SiteTables) -> DataFrame:
     """Segments that touch a protected area."""
-    return spatial.intersecting(t.road_segments, *_indexes(t, "env_constraints"), "geom").select("segment_id")
+    return spatial.intersecting(t.road_segments, *_indexes(t, "env_constraints"), "segment_id", "geom")
 
 
 def power_proximity(t: SiteTables) -> DataFrame:
@@ -133,8 +127,8 @@ def eligible(t: SiteTables) -> DataFrame:
     """
     areas, power, interchanges = _indexes(t, "env_constraints", "power_infra", "interchanges")
     wide = base(t).filter(F.col("lanes") >= MIN_LANES)
-    roads = t.road_segments.filter(F.col("lanes") >= MIN_LANES)
-    kept = materialise(_outside(wide, roads, areas), "eligible")
+    outside = anti(wide, spatial.intersecting(wide, areas, "segment_id", "geom"), "segment_id")
+    kept = materialise(outside, "eligible")
     return kept.join(_near_power(kept, power), "segment_id").join(_near_interchanges(kept, interchanges), "segment_id").drop("geom")
 
 

@@ -204,6 +204,21 @@ def join_flag(orders: DataFrame, returns: DataFrame) -> DataFrame:
     return J.exists_flag(orders, returns, "order_id", "was_returned")
 
 
+@_over("scan")
+def join_attach(scan: DataFrame) -> DataFrame:
+    """Subcells with the average of their survey unit."""
+    cells = grid_survey.subcell_averages(scan)
+    units = A.group_avg(cells, ["tile", "su"], "avg_reading", "su_avg")
+    attached = J.attach(cells, units, ["tile", "su"])
+    return attached.select("tile", "su", "subcell", *[F.round(c, 6).alias(c) for c in ("avg_reading", "su_avg")])
+
+
+@_over("quality_tests", "deviations")
+def join_anti_detail(tests: DataFrame, deviations: DataFrame) -> DataFrame:
+    """Tests of batches without a deviation; a batch may have any number of tests."""
+    return J.anti(tests, deviations, "batch_id", hot_left=True)
+
+
 @_over("batches", "quality_tests", "deviations")
 def join_semi_both(batches: DataFrame, tests: DataFrame, deviations: DataFrame) -> DataFrame:
     return J.has_all(batches, [tests.filter(F.col("result_type") == "Pass"), deviations], "batch_id")
