@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions import geometry as G
-from tessera.session import BROADCAST_ROWS, materialise
+from tessera.session import BROADCAST_ROWS, materialise, spread
 
 _STEP = 2  # halvings of each side from level to level
 _MAX_LEVEL = 26
@@ -98,7 +98,7 @@ def _below() -> Column:
 
 def _probes(df: DataFrame, identifier: str, geom: str, key: str | None) -> DataFrame:
     """Shapes to search for, at the top cell."""
-    shapes = df.selectExpr(f"{identifier} AS id", f"{key or 0} AS key", f"{geom} AS probe")
+    shapes = spread(df.selectExpr(f"{identifier} AS id", f"{key or 0} AS key", f"{geom} AS probe"))
     # The number of the top cell is 0. A literal would turn the equi-join with it into a nested loop.
     return shapes.select("*", *G.bounds("probe"), F.expr("pmod(xxhash64(id), 1) AS ix"), F.expr("pmod(xxhash64(id), 1) AS iy"))
 
@@ -134,8 +134,12 @@ def count_within(
             f"coalesce(settled, IF(reach < {near}, c_weight, NULL)) AS settled",
         )
     joined = rows.join(_shapes_at_leaves(index), _below(), "left")
-    measured = joined.select("id", "settled", "c_weight", G.distance("probe", "c_shape").alias("metres"))
-    return measured.groupBy(F.col("id").alias(identifier)).agg(F.expr(f"sum(coalesce(settled, IF(metres < {near}, c_weight, 0L))) AS {out}"))
+    # The exact distance is worked out only where the boxes leave it open.
+    joined = joined.select("id", "settled", "c_weight", "probe", "c_shape", G.box_gap("", "c_").alias("gap"), G.box_reach("", "c_").alias("reach"))
+    open_ = F.expr(f"reach >= {near} AND gap < {near}")
+    measured = joined.select("id", "settled", "c_weight", "reach", F.when(open_, G.distance("probe", "c_shape")).alias("metres"))
+    hit = f"IF(reach < {near} OR metres < {near}, c_weight, 0L)"
+    return measured.groupBy(F.col("id").alias(identifier)).agg(F.expr(f"sum(coalesce(settled, {hit})) AS {out}"))
 
 
 def nearest(df: DataFrame, index: ShapeIndex | None, identifier: str, geom: str, out: str, key: str | None = None) -> DataFrame:
@@ -144,16 +148,21 @@ def nearest(df: DataFrame, index: ShapeIndex | None, identifier: str, geom: str,
         return df.selectExpr(f"{identifier} AS {identifier}", f"CAST(NULL AS DOUBLE) AS {out}").distinct()
     rows = _probes(df, identifier, geom, key)
     for level in range(0, index.depth + 1, _STEP):
-        joined = rows.join(_cells_at(index, level), _below(), "left")
-        joined = joined.select(*_CARRY, "c_ix", "c_iy", G.box_gap("", "c_").alias("gap"), G.box_reach("", "c_").alias("reach"))
-        # Per id the cells in the running: a few around the best one, whatever the number of items.
-        best = joined.selectExpr("*", "min(reach) OVER (PARTITION BY id) AS best").filter(F.expr("best IS NULL OR gap <= best"))
+        best = _in_the_running(rows.join(_cells_at(index, level), _below(), "left"))
         rows = best.selectExpr(*_CARRY, *[f"coalesce(c_{axis}, {_PARKED}) AS {axis}" for axis in ("ix", "iy")])
-    joined = rows.join(_shapes_at_leaves(index), _below(), "left")
-    measured = joined.select("id", G.distance("probe", "c_shape").alias("metres"))
+    best = _in_the_running(rows.join(_shapes_at_leaves(index), _below(), "left"))
+    measured = best.select("id", G.distance("probe", "c_shape").alias("metres"))
     return measured.groupBy(F.col("id").alias(identifier)).agg(F.expr(f"min(metres) AS {out}"))
 
 
+def _in_the_running(joined: DataFrame) -> DataFrame:
+    """Rows whose box may hold the nearest item: per id a few around the best one, whatever the
+    number of items."""
+    reached = joined.withColumns({"gap": G.box_gap("", "c_"), "reach": G.box_reach("", "c_")})
+    best = reached.selectExpr("*", "min(reach) OVER (PARTITION BY id) AS best")
+    return best.filter(F.expr("best IS NULL OR gap <= best")).drop("gap", "reach", "best")
+
+
 def intersecting(df: DataFrame, index: ShapeIndex | None, identifier: str, geom: str, key: str | None = None) -> DataFrame:
     """The ids of ``df`` whose shape meets at least one indexed item."""
     if index is None:

@@ -18,7 +18,7 @@ from tessera.operators.nested import flatten
 from tessera.operators.ranking import Criterion, percent_rank, top_per_group
 from tessera.plans import costs, grid_survey, models, quality, rates, sites, star, weather
 from tessera.plans.join_suite import QUESTIONS
-from tessera.session import prepare, scratch_path
+from tessera.session import prepare, scratch_path, spread
 from tessera.sources import readers, writers
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -78,7 +78,7 @@ def json_lines_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def json_document_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents written as JSON arrays over many lines, read back whole and flattened."""
     path = scratch_path(spark, "json-documents")
-    writers.write_json_documents(rates.documents_from_lines(view(prepare(spark), sf_dir, "rate_lines")), path)
+    writers.write_json_documents(rates.documents_from_lines(spread(view(prepare(spark), sf_dir, "rate_lines"))), path)
     return rates.flatten_rates(readers.read_json_documents(spark, path, rates.DOCUMENT))
 
 
@@ -455,7 +455,7 @@ def constraint_violations(
 @_over("rate_lines")
 def flatten_rates(lines: DataFrame) -> DataFrame:
     """Nested documents held as JSON text in a column, decoded and flattened."""
-    documents = rates.documents_from_lines(lines).select(F.to_json(F.struct("out_of_network")).alias("document"))
+    documents = rates.documents_from_lines(spread(lines)).select(F.to_json(F.struct("out_of_network")).alias("document"))
     decoded = documents.select(F.from_json("document", rates.DOCUMENT).alias("d")).select("d.out_of_network")
     return rates.flatten_rates(decoded)
 

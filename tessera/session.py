@@ -29,6 +29,7 @@ def get_session(cpus: int | str = 8, app: str = "tessera", **conf: str) -> Spark
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", str(cpus))
         # Recording the call site of every column costs more than small queries take.
@@ -81,6 +82,13 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows over all cores where a scan has fewer splits than there are cores, for work that is heavy
+    per row. A large table has more splits than cores and stays as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def is_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
     """True when ``df`` has at most ``rows`` rows; counting stops there."""
     return df.limit(rows + 1).count() <= rows
