@@ -21,6 +21,7 @@ _POSITION_MASK = (1 << _POSITION_BITS) - 1
 
 # A value with more than one row in this many is joined by broadcast, so there are at most as many such values.
 _HEAVY_SHARE = 1_000
+_SALTS = 1 << 20
 
 
 def _match(left: DataFrame, right: DataFrame, names: list[str]) -> Column:
@@ -171,7 +172,7 @@ def _add_percent(rows: DataFrame, values: DataFrame, criterion: Criterion, colum
     heavy = table.filter(frequent).select(F.col("__value").alias("__heavy"), F.col(criterion.out).alias("__found"))
     light = table.filter(~frequent).select("__value", F.lit(0).alias("__salt"), F.col(criterion.out).alias("__rest"))
     tagged = rows.join(F.broadcast(heavy), F.col(column).eqNullSafe(F.col("__heavy")), "left").withColumn(
-        "__key", F.when(F.col("__found").isNull(), F.lit(0)).otherwise(1 + F.pmod(F.xxhash64(*rows.columns), F.lit(BROADCAST_ROWS)))
+        "__key", F.when(F.col("__found").isNull(), F.lit(0)).otherwise(1 + F.pmod(F.xxhash64(*rows.columns), F.lit(_SALTS)))
     )
     on = F.col(column).eqNullSafe(F.col("__value")) & (F.col("__key") == F.col("__salt"))
     joined = tagged.join(light, on, "left")
