@@ -52,3 +52,18 @@ def written(df: DataFrame, name: str) -> DataFrame:
 def word_count(text: Column) -> Column:
     """Number of words; 0 for NULL."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("bigint")
+
+
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+_URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
+
+
+def url_host(url: Column) -> Column:
+    """What stands between the first ``://`` and the next ``/``, ``?``, ``#`` or the end, A-Z in lower case;
+    empty for NULL or without ``://``."""
+    return F.coalesce(F.translate(F.regexp_extract(url, _URL, 1), _UPPER, _UPPER.lower()), F.lit(""))
+
+
+def url_path(url: Column) -> Column:
+    """What follows the host up to ``?``, ``#`` or the end; empty where the host is."""
+    return F.coalesce(F.regexp_extract(url, _URL, 2), F.lit(""))

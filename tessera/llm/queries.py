@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import quality_rules, simhash
-from tessera.llm.common import table
+from tessera.llm import decontaminate, line_dedup, mixing, quality_rules, simhash
+from tessera.llm.common import table, url_host, word_count, written
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -20,6 +20,56 @@ def query(function: Query) -> Query:
     return function
 
 
+def label_weight(docs: DataFrame, labels: DataFrame, identifier: str = "doc_id") -> DataFrame:
+    """``id`` and ``weight`` of labelled documents: good ones are drawn twice as early as others, bad ones half."""
+    marks = labels.groupBy(F.col(identifier).alias("id")).agg(F.max("quality").alias("quality"))
+    return marks.select("id", F.when(F.col("quality") == 1, 2.0).otherwise(0.5).alias("weight"))
+
+
+@query
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mix of all documents by source weights 5, 2, 1, with the words taken from each."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", word_count(F.col("text")).alias("n_words"))
+    marks = label_weight(docs, table(spark, sf_dir, "labels"))
+    weighed = docs.join(marks, docs["doc_id"] == marks["id"], "left")
+    plan = mixing.mix(weighed, F.col("doc_id"), F.col("source"), F.col("n_words"), F.coalesce("weight", F.lit(1.0)))
+    return plan.select(F.col("id").alias("doc_id"), "source", "size", "source_size", "target", "taken")
+
+
+ORACLES["op1_mixing"] = """
+WITH sized AS (
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
+         coalesce((SELECT CASE WHEN max(quality) = 1 THEN 2.0::DOUBLE ELSE 0.5::DOUBLE END FROM labels l WHERE l.doc_id = d.doc_id HAVING count(*) > 0), 1.0::DOUBLE) AS weight
+  FROM documents d),
+keyed AS (
+  SELECT *, -ln((('0x' || substr(sha256('mix-1:' || doc_id), 1, 13))::BIGINT + 0.5::DOUBLE) / 4503599627370496::DOUBLE) / weight AS key FROM sized),
+sources AS (SELECT source, sum(size)::BIGINT AS source_size FROM keyed GROUP BY source),
+weighted AS (
+  SELECT *, [5, 2, 1][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INT] AS w, 3 * source_size AS most FROM sources),
+placed AS (
+  SELECT *, sum(source_size) OVER () AS total, sum(w) OVER () AS ws, row_number() OVER (ORDER BY most::DOUBLE / w, source NULLS LAST) AS place FROM weighted),
+limits AS (
+  SELECT *, most * (ws - coalesce(sum(w) OVER (ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+         <= (total - coalesce(sum(most) OVER (ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) * w AS limited FROM placed),
+targets AS (
+  SELECT source, source_size, CASE WHEN limited THEN most::DOUBLE
+         ELSE (w * (total - coalesce(sum(CASE WHEN limited THEN most ELSE 0 END) OVER (), 0)))::DOUBLE
+              / (sum(CASE WHEN limited THEN 0 ELSE w END) OVER ())::DOUBLE END AS target FROM limits),
+summed AS (
+  SELECT k.*, t.source_size, t.target, sum(k.size) OVER (PARTITION BY k.source ORDER BY k.key, k.doc_id, k.size ROWS UNBOUNDED PRECEDING) AS reached,
+         CASE WHEN t.source_size > 0 THEN floor(t.target / t.source_size)::BIGINT ELSE 0 END AS epochs
+  FROM keyed k JOIN targets t ON k.source IS NOT DISTINCT FROM t.source)
+SELECT doc_id, source, size, source_size, target,
+       (size * (epochs + CASE WHEN 2 * reached - size <= 2 * (target - epochs * source_size) AND target > epochs * source_size THEN 1 ELSE 0 END))::BIGINT AS taken
+FROM summed"""
+
+
+@query
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every benchmark item that a document contains, with its best score and overlaps."""
+    return decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Measurements, base verdict and the verdict of the current policy for every document."""
@@ -32,6 +82,63 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+ORACLES["op5_quality_rules"] = """
+WITH texts AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+counted AS (
+  SELECT doc_id, words, len(words) AS n_words, length(array_to_string(words, '')) AS word_chars,
+         length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+         list_filter(string_split(text, chr(10)), l -> regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines,
+         length(regexp_replace(text, '[^A-Z]', '', 'g')) AS n_upper
+  FROM texts),
+windows AS (
+  SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, run) AS n
+  FROM (SELECT doc_id, i, array_to_string(list_slice(words, i, i + 7), ' ') AS run
+        FROM (SELECT doc_id, words, unnest(range(1, len(words) - 6)) AS i FROM counted WHERE len(words) >= 8))),
+repeated AS (SELECT doc_id, count(DISTINCT i + j) AS n_repeat_words FROM windows, range(8) t(j) WHERE n > 1 GROUP BY doc_id),
+echoes AS (
+  SELECT doc_id, count(*) AS n_echoes FROM (SELECT doc_id, words, unnest(range(1, len(words))) AS i FROM counted) WHERE words[i] = words[i + 1] GROUP BY doc_id),
+measured AS (
+  SELECT c.doc_id, n_words, word_chars, n_symbols, len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
+         len(lines) AS n_lines, n_upper, coalesce(n_echoes, 0) AS n_echoes
+  FROM counted c LEFT JOIN repeated r USING (doc_id) LEFT JOIN echoes e USING (doc_id)),
+judged AS (
+  SELECT *, (CASE WHEN n_words < 20 THEN 1 ELSE 0 END) + (CASE WHEN 100 * n_repeat_words > 30 * n_words THEN 2 ELSE 0 END)
+         + (CASE WHEN 10 * n_symbols > n_words THEN 4 ELSE 0 END) + (CASE WHEN n_lines >= 4 AND 100 * n_dup_lines > 30 * n_lines THEN 8 ELSE 0 END)
+         + (CASE WHEN 100 * n_upper > 30 * word_chars THEN 16 ELSE 0 END) + (CASE WHEN 100 * n_echoes > 20 * n_words THEN 32 ELSE 0 END)
+         + (CASE WHEN word_chars < 2 * n_words OR word_chars > 15 * n_words THEN 64 ELSE 0 END) AS failure_bits
+  FROM measured)
+SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols, n_dup_lines::BIGINT AS n_dup_lines,
+       n_repeat_words::BIGINT AS n_repeat_words, failure_bits & 3 <> 0 AS base_failed, failure_bits = 0 AS kept, failure_bits::BIGINT AS failure_bits
+FROM judged"""
+
+
+@query
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The text of every page, without the lines that are boilerplate of its host."""
+    pages = table(spark, sf_dir, "pages").select("page_id", url_host(F.col("url")).alias("host"), line_dedup.html_text(F.col("html")).alias("text"))
+    clean = line_dedup.drop_boilerplate(written(pages, "page-text"), F.col("host"), dropped="n_dropped")
+    return clean.select("page_id", "host", "n_dropped", "text")
+
+
+ORACLES["op6_line_dedup"] = """
+WITH texts AS (
+  SELECT page_id, lower(regexp_extract(url, '^.*?://([^/?#]*)', 1)) AS host,
+         regexp_replace(regexp_replace(regexp_replace(html, '(?is)<(?:script|style)[^>]*>.*?</(?:script|style)>', '', 'g'),
+           '(?i)</?(?:html|head|body|title|nav|header|footer|main|article|section|aside|div|p|ul|ol|li|h[1-6]|table|tr|td|th|br)(?:\\s[^>]*)?/?>', chr(10), 'g'),
+           '<[^>]*>', '', 'g') AS text
+  FROM pages),
+lines AS (
+  SELECT page_id, host, i, parts[i] AS line, trim(parts[i], ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS trimmed
+  FROM (SELECT page_id, host, parts, unnest(range(1, len(parts) + 1)) AS i FROM (SELECT page_id, host, string_split(text, chr(10)) AS parts FROM texts))),
+totals AS (SELECT host, count(*) AS total FROM texts GROUP BY host),
+frequent AS (
+  SELECT host, trimmed FROM (SELECT host, trimmed, count(DISTINCT page_id) AS n FROM lines WHERE trimmed <> '' GROUP BY host, trimmed)
+  JOIN totals USING (host) WHERE n >= 5 AND n > 0.1::DOUBLE * total),
+marked AS (SELECT l.*, f.trimmed IS NOT NULL AS dropped FROM lines l LEFT JOIN frequent f USING (host, trimmed))
+SELECT page_id, host, count(*) FILTER (dropped) AS n_dropped, coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT dropped), '') AS text
+FROM marked GROUP BY page_id, host"""
+
+
 @query
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document: 3-word shingles, links at 3 differing bits or fewer."""
