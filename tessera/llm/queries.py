@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import decontaminate, line_dedup, mixing, quality_rules, simhash
+from tessera.llm import decontaminate, line_dedup, mixing, quality_classifier, quality_rules, secret_scan, simhash, suffix_dedup, unit_dedup, url_filter
 from tessera.llm.common import table, url_host, word_count, written
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -64,12 +64,28 @@ SELECT doc_id, source, size, source_size, target,
 FROM summed"""
 
 
+@query
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What stays of every document without the 50-byte strings that an earlier document has."""
+    return suffix_dedup.report(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 @query
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every benchmark item that a document contains, with its best score and overlaps."""
     return decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+RULES = [url_filter.Rule(*r.split()) for r in ("allow com/", "block example.com/en/", "allow www.example.com/en/", "block net/es/", "block net/fr/")]
+
+
+@query
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host, path, rule and verdict of every page."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return url_filter.judge(pages, RULES, url_filter.labelled_urls(spark)).select("page_id", "host", "path", "rule", "verdict")
+
+
 @query
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Measurements, base verdict and the verdict of the current policy for every document."""
@@ -87,9 +103,11 @@ WITH texts AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coa
 counted AS (
   SELECT doc_id, words, len(words) AS n_words, length(array_to_string(words, '')) AS word_chars,
          length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
-         list_filter(string_split(text, chr(10)), l -> regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines,
          length(regexp_replace(text, '[^A-Z]', '', 'g')) AS n_upper
   FROM texts),
+lines AS (
+  SELECT doc_id, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup_lines
+  FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM texts) WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id),
 windows AS (
   SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, run) AS n
   FROM (SELECT doc_id, i, array_to_string(list_slice(words, i, i + 7), ' ') AS run
@@ -98,9 +116,9 @@ repeated AS (SELECT doc_id, count(DISTINCT i + j) AS n_repeat_words FROM windows
 echoes AS (
   SELECT doc_id, count(*) AS n_echoes FROM (SELECT doc_id, words, unnest(range(1, len(words))) AS i FROM counted) WHERE words[i] = words[i + 1] GROUP BY doc_id),
 measured AS (
-  SELECT c.doc_id, n_words, word_chars, n_symbols, len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
-         len(lines) AS n_lines, n_upper, coalesce(n_echoes, 0) AS n_echoes
-  FROM counted c LEFT JOIN repeated r USING (doc_id) LEFT JOIN echoes e USING (doc_id)),
+  SELECT c.doc_id, n_words, word_chars, n_symbols, coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
+         coalesce(n_lines, 0) AS n_lines, n_upper, coalesce(n_echoes, 0) AS n_echoes
+  FROM counted c LEFT JOIN repeated r USING (doc_id) LEFT JOIN echoes e USING (doc_id) LEFT JOIN lines l USING (doc_id)),
 judged AS (
   SELECT *, (CASE WHEN n_words < 20 THEN 1 ELSE 0 END) + (CASE WHEN 100 * n_repeat_words > 30 * n_words THEN 2 ELSE 0 END)
          + (CASE WHEN 10 * n_symbols > n_words THEN 4 ELSE 0 END) + (CASE WHEN n_lines >= 4 AND 100 * n_dup_lines > 30 * n_lines THEN 8 ELSE 0 END)
@@ -108,7 +126,7 @@ judged AS (
          + (CASE WHEN word_chars < 2 * n_words OR word_chars > 15 * n_words THEN 64 ELSE 0 END) AS failure_bits
   FROM measured)
 SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols, n_dup_lines::BIGINT AS n_dup_lines,
-       n_repeat_words::BIGINT AS n_repeat_words, failure_bits & 3 <> 0 AS base_failed, failure_bits = 0 AS kept, failure_bits::BIGINT AS failure_bits
+       n_repeat_words::BIGINT AS n_repeat_words, (failure_bits & 3) <> 0 AS base_failed, failure_bits = 0 AS kept, failure_bits::BIGINT AS failure_bits
 FROM judged"""
 
 
@@ -139,8 +157,44 @@ SELECT page_id, host, count(*) FILTER (dropped) AS n_dropped, coalesce(string_ag
 FROM marked GROUP BY page_id, host"""
 
 
+@query
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document; labels of held-out documents are never learned from."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    remainder = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(3))
+    labels = table(spark, sf_dir, "labels").filter(remainder != 1)
+    model = quality_classifier.train(docs, labels, label="quality")
+    scored = docs.select("doc_id", (remainder == 1).alias("held_out"), quality_classifier.score("text", model).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+@query
+def op8_unit_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stretches of every document that repeat a unit of an earlier one, as ``start-end`` in characters."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = unit_dedup.spans(docs, "doc_id", unit="sentence").withColumnRenamed("rank", "of")
+    listed = F.array_join(F.transform("spans", lambda s: F.concat_ws("-", s["start"], s["end"])), ",")
+    removed = F.aggregate("spans", F.lit(0).cast("bigint"), lambda total, s: total + s["end"] - s["start"])
+    told = docs.select("doc_id", F.length("text").alias("n")).join(found, F.col("doc_id").eqNullSafe(F.col("of")), "left")
+    return told.select(
+        "doc_id",
+        F.coalesce("n", F.lit(0)).cast("bigint").alias("n_chars"),
+        F.coalesce("n_units", F.lit(0)).alias("n_removed_units"),
+        F.coalesce(removed, F.lit(0)).alias("n_removed_chars"),
+        F.coalesce(listed, F.lit("")).alias("removed"),
+    )
+
+
 @query
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document: 3-word shingles, links at 3 differing bits or fewer."""
     found = simhash.groups(table(spark, sf_dir, "documents").select("doc_id", "text"), shingle=3, radius=3)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every credential candidate of every document with the forest's verdict; the candidate itself is masked."""
+    found = secret_scan.scan(table(spark, sf_dir, "documents"), secret_scan.labelled_findings(spark))
+    masked = F.concat(F.substring("candidate", 1, 4), F.lit("..."))
+    return found.select("doc_id", "position", masked.alias("finding"), F.length("candidate").alias("n_chars"), "score", "is_secret")
