@@ -14,6 +14,10 @@ from tessera.sources.readers import load
 
 INTERSTATE = "CASE {key} % 5 WHEN 0 THEN 'I-70' WHEN 1 THEN 'I-55' WHEN 2 THEN 'I-64' WHEN 3 THEN 'I-80' ELSE 'I-57' END"
 
+# A small offset of its own for every key, so that no two rows lie in one place.
+_OWN_LON = "CAST(p_partkey % 1009 AS DOUBLE) * CAST(0.0001 AS DOUBLE)"
+_OWN_LAT = "CAST(p_partkey % 1013 AS DOUBLE) * CAST(0.0001 AS DOUBLE)"
+
 VIEWS: dict[str, str] = {
     "scan": """
 SELECT l_orderkey AS reading_id,
@@ -26,10 +30,10 @@ SELECT p_partkey AS segment_id, {INTERSTATE.format(key='p_partkey')} AS intersta
        CAST(floor(p_partkey / 5.0) AS BIGINT) % 40 * 10 AS start_mile,
        CAST(floor(p_partkey / 5.0) AS BIGINT) % 40 * 10 + 10 AS end_mile,
        2 + 2 * (p_size % 3) AS lanes, 55 + 5 * (p_size % 4) AS speed_limit,
-       CAST(-95 AS DOUBLE) + CAST(CAST(floor(p_partkey / 5.0) AS BIGINT) % 40 AS DOUBLE) * CAST(0.15 AS DOUBLE) AS lon0,
-       CAST(37.5 AS DOUBLE) + CAST(p_partkey % 5 AS DOUBLE) * CAST(0.8 AS DOUBLE) AS lat0,
-       CAST(-95 AS DOUBLE) + CAST(CAST(floor(p_partkey / 5.0) AS BIGINT) % 40 + 1 AS DOUBLE) * CAST(0.15 AS DOUBLE) AS lon1,
-       CAST(37.53 AS DOUBLE) + CAST(p_partkey % 5 AS DOUBLE) * CAST(0.8 AS DOUBLE) AS lat1
+       CAST(-95 AS DOUBLE) + CAST(CAST(floor(p_partkey / 5.0) AS BIGINT) % 40 AS DOUBLE) * CAST(0.15 AS DOUBLE) + {_OWN_LON} AS lon0,
+       CAST(37.5 AS DOUBLE) + CAST(p_partkey % 5 AS DOUBLE) * CAST(0.8 AS DOUBLE) + {_OWN_LAT} AS lat0,
+       CAST(-95 AS DOUBLE) + CAST(CAST(floor(p_partkey / 5.0) AS BIGINT) % 40 + 1 AS DOUBLE) * CAST(0.15 AS DOUBLE) + {_OWN_LON} AS lon1,
+       CAST(37.53 AS DOUBLE) + CAST(p_partkey % 5 AS DOUBLE) * CAST(0.8 AS DOUBLE) + {_OWN_LAT} AS lat1
 FROM {{part}}""",
     "traffic_counts": """
 SELECT p_partkey AS segment_id, 20000 + (p_partkey * 7919) % 60000 AS aadt_total,
@@ -42,14 +46,14 @@ SELECT p_partkey AS segment_id, CAST((p_partkey * 31) % 101 AS DOUBLE) / 100 AS
 SELECT p_partkey AS segment_id, CAST((p_partkey * 17) % 307 AS DOUBLE) / 100 AS crash_rate,
        CAST((p_partkey * 19) % 503 AS DOUBLE) / 100 AS incident_rate
 FROM {part}""",
-    "power_infra": """
-SELECT s_suppkey AS asset_id, CAST(-95 AS DOUBLE) + CAST(s_suppkey * 37 % 100 AS DOUBLE) * CAST(0.06 AS DOUBLE) AS lon,
-       CAST(37.5 AS DOUBLE) + CAST(s_suppkey * 53 % 100 AS DOUBLE) * CAST(0.032 AS DOUBLE) AS lat
-FROM {supplier}""",
+    "power_infra": f"""
+SELECT s_suppkey AS asset_id, CAST(-95 AS DOUBLE) + CAST(s_suppkey * 37 % 100 AS DOUBLE) * CAST(0.06 AS DOUBLE) + {_OWN_LON.replace('p_partkey', 's_suppkey')} AS lon,
+       CAST(37.5 AS DOUBLE) + CAST(s_suppkey * 53 % 100 AS DOUBLE) * CAST(0.032 AS DOUBLE) + {_OWN_LAT.replace('p_partkey', 's_suppkey')} AS lat
+FROM {{supplier}}""",
     "interchanges": f"""
 SELECT c_custkey AS interchange_id, {INTERSTATE.format(key='c_custkey')} AS interstate,
-       CAST(-95 AS DOUBLE) + CAST(c_custkey * 41 % 600 AS DOUBLE) * CAST(0.01 AS DOUBLE) AS lon,
-       CAST(37.51 AS DOUBLE) + CAST(c_custkey % 5 AS DOUBLE) * CAST(0.8 AS DOUBLE) AS lat
+       CAST(-95 AS DOUBLE) + CAST(c_custkey * 41 % 600 AS DOUBLE) * CAST(0.01 AS DOUBLE) + {_OWN_LON.replace('p_partkey', 'c_custkey')} AS lon,
+       CAST(37.51 AS DOUBLE) + CAST(c_custkey % 5 AS DOUBLE) * CAST(0.8 AS DOUBLE) + {_OWN_LAT.replace('p_partkey', 'c_custkey')} AS lat
 FROM {{customer}}""",
     "env_constraints": """
 SELECT n_nationkey AS area_id, CAST(-95 AS DOUBLE) + CAST(n_nationkey AS DOUBLE) * CAST(0.24 AS DOUBLE) AS min_lon,
@@ -88,9 +92,12 @@ SELECT 'dq_invalid_zip', zip, CASE WHEN donation_id % 6 = 0 AND donation_id % 13
 UNION ALL
 SELECT 'dq_missing_category', category, CASE WHEN donation_id % 7 IN (0, 1) THEN 1 ELSE 0 END FROM {donations}""",
     "retail_customers": "SELECT c_custkey AS customer_id, c_name AS name FROM {customer}",
+    # Every order; two thirds of the customers have none.
     "retail_orders": """
-SELECT o_orderkey AS order_id, o_custkey AS customer_id, o_totalprice AS amount
-FROM {orders} WHERE o_orderpriority = '1-URGENT' AND o_orderstatus = 'F'""",
+SELECT o_orderkey AS order_id, o_custkey - o_custkey % 3 AS customer_id, o_totalprice AS amount FROM {orders}""",
+    # Texts with line breaks, and remarks that are empty or missing.
+    "notes": """
+SELECT doc_id, text, CASE doc_id % 3 WHEN 0 THEN NULL WHEN 1 THEN '' ELSE lang END AS remark FROM {documents}""",
     "retail_returns": """
 SELECT l_orderkey AS order_id, CAST(l_shipdate AS DATE) AS return_date
 FROM {lineitem} WHERE l_returnflag = 'R'""",
@@ -149,17 +156,35 @@ SELECT s_suppkey AS facility_id, s_name AS facility_name,
 FROM {supplier}""",
     "cost_products": """
 SELECT p_partkey AS product_id, p_name AS product_name, p_type AS dosage_form, p_brand AS product_line FROM {part}""",
+    "facility_rows": """
+SELECT s_suppkey AS facility_id, s_name AS facility_name, concat('City', s_nationkey) AS city,
+       CASE WHEN s_nationkey % 2 = 0 THEN 'MO' ELSE 'IL' END AS state,
+       CAST(CAST(s_nationkey AS DECIMAL(10,2)) / 10 AS DECIMAL(10,2)) AS overhead_rate, s_nationkey % 2 = 0 AS is_sterile
+FROM {supplier}""",
+    "product_rows": """
+SELECT p_partkey AS product_id, p_name AS product_name, p_type AS dosage_form, p_brand AS product_line,
+       concat('v', p_size % 4 + 1) AS formulation_version, CAST(p_size * 100 AS INT) AS target_batch_size
+FROM {part}""",
+    "batch_rows": """
+SELECT o_orderkey AS batch_id, o_custkey % 10 AS facility_id, o_orderstatus AS batch_status,
+       CAST(60 + o_orderkey % 500 AS INT) AS planned_quantity, CAST(50 + o_orderkey % 500 AS INT) AS actual_quantity,
+       CAST(o_custkey % 8 AS INT) AS qa_hold_days,
+       CASE WHEN o_custkey % 4 > 0 THEN CAST(CAST(o_custkey % 50 AS DECIMAL(10,2)) / 4 AS DECIMAL(10,2)) END AS rework_hours
+FROM {orders}""",
     "hospitals_like": "SELECT c_mktsegment AS city, c_name AS name, c_nationkey AS beds FROM {customer}",
-    "weather_daily": """
-SELECT user_id % 10 AS place_id, CAST(ts AS DATE) AS day, min(value) - 8 AS tmin, max(value) / 40 AS snowfall
+    # The days of ten stations; every place has one of them and is colder than it by up to six degrees.
+    "station_days": """
+SELECT user_id % 10 AS station, CAST(ts AS DATE) AS day, min(value) - 8 AS tmin, max(value) / 40 AS snowfall
 FROM {events} GROUP BY user_id % 10, CAST(ts AS DATE)""",
+    "weather_daily": """
+SELECT page_id AS place_id, day, tmin - page_id % 7 AS tmin, snowfall FROM {pages} JOIN {station_days} ON page_id % 10 = station""",
     # A crawled page of any length, with its figures somewhere after the body text.
     "fact_pages": """
 SELECT page_id AS place_id, concat(html, '<div class="fact"><p class="num">12</p><p class="label">Campus halls</p></div>',
-       '<div class="fact"><p class="num"> ',
-       CASE WHEN page_id % 4 = 0 THEN 'n/a' ELSE concat(1 + page_id % 9, ',', lpad(CAST(page_id % 1000 AS STRING), 3, '0')) END,
-       ' </p>
-<p class="label"><b>Traditional</b> students</p></div><div class="fact"><p class="num">99</p><p class="label">Labs</p></div>') AS html
+       '<div class=', chr(39), 'wide fact', chr(39), '><div class="inner"><p class="num"> ',
+       CASE WHEN page_id % 4 = 0 THEN 'n/a' ELSE concat(1 + page_id % 9, ',<b>', lpad(CAST(page_id % 1000 AS STRING), 3, '0'), '</b>') END,
+       ' </p></div>
+<p class="label"><b>Traditional</b>&nbsp;students &amp; others</p></div><div class="fact"><p class="num">99</p><p class="label">Labs</p></div>') AS html
 FROM {pages}""",
     "places": """
 SELECT page_id AS place_id, concat('Place ', page_id) AS name, CASE page_id % 2 WHEN 0 THEN 'Missouri' ELSE 'Illinois' END AS state

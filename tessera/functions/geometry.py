@@ -1,8 +1,8 @@
 """Geometry as a plain column, with distances in metres.
 
 A geometry is ``struct<kind:string, pts:array<struct<lon:double,lat:double>>>`` with kind
-``point``, ``line`` or ``polygon`` (closed: the last point repeats the first). Geometries must not
-cross the antimeridian.
+``point``, ``line`` or ``polygon`` (closed: the last point repeats the first). Distances are taken the
+short way round, also across the antimeridian; shapes themselves must not cross it.
 
 Arguments are column names, or SQL expressions, as text: the expressions are large, and one parsed
 text costs the driver far less than hundreds of column calls. Names that start with an underscore
@@ -74,12 +74,17 @@ def _haversine(a: str, b: str) -> str:
     return f"{2 * EARTH_RADIUS_M!r}D * asin(sqrt(least(1D, {h})))"
 
 
+def _short(degrees: str) -> str:
+    """A difference of longitudes the short way round; one below 180 degrees stays as it is, to the last bit."""
+    return f"(({degrees}) - 360D * round(({degrees}) / 360D))"
+
+
 def _to_edges(geom: str, other: str) -> str:
     """Smallest distance from a vertex of one geometry to an edge of the other, each in the plane
     that touches the vertex."""
     flat = (
         f"transform({_edges(other)}, _e -> named_struct("
-        "'x', (_e.a.lon - _v.lon) * cos(radians(_v.lat)), 'y', _e.a.lat - _v.lat, "
+        f"'x', {_short('_e.a.lon - _v.lon')} * cos(radians(_v.lat)), 'y', _e.a.lat - _v.lat, "
         "'dx', (_e.b.lon - _e.a.lon) * cos(radians(_v.lat)), 'dy', _e.b.lat - _e.a.lat))"
     )
     # Share of the edge at which it comes closest; an edge without length has only its start.
@@ -142,7 +147,9 @@ def distance(a: str, b: str) -> Column:
 
 def box_gap(p: str, q: str) -> Column:
     """A distance no two points of the two boxes can fall below."""
-    dlon = f"greatest(0D, {p}x0 - {q}x1, {q}x0 - {p}x1)"
+    # Either way round: between the near sides, or across the antimeridian between the far ones.
+    widest = f"greatest({p}x1 - {q}x0, {q}x1 - {p}x0)"
+    dlon = f"greatest(0D, least(greatest({p}x0 - {q}x1, {q}x0 - {p}x1), 360D - {widest}))"
     dlat = f"greatest(0D, {p}y0 - {q}y1, {q}y0 - {p}y1)"
     # The smallest cosine is at the latitude farthest from the equator.
     shrink = f"cos(radians(greatest(abs({p}y0), abs({p}y1), abs({q}y0), abs({q}y1))))"

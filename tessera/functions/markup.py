@@ -11,13 +11,22 @@ from tessera.functions.scalar import clean_number
 
 
 def _element(tag: str, css_class: str) -> str:
-    return rf'<{tag}\b[^>]*\bclass="(?:[^"]* )?{re.escape(css_class)}(?: [^"]*)?"[^>]*>'
+    """Pattern of an opening tag that has the class, in quotes of either kind."""
+    name = re.escape(css_class)
+    quoted = "|".join(f"{q}(?:[^{q}]*\\s)?{name}(?:\\s[^{q}]*)?{q}" for q in ('"', "'"))
+    return rf"<{tag}\b[^>]*\bclass\s*=\s*(?:{quoted})[^>]*>"
 
 
-def plain_text(markup: Column) -> Column:
-    """Text of an element: tags dropped, runs of white space made one space."""
-    spaced = F.regexp_replace(F.regexp_replace(markup, "<[^>]*>", " "), r"\s+", " ")
-    return F.trim(spaced)
+# The entities that figures and their labels use.
+_ENTITIES = {"&nbsp;": " ", "&#160;": " ", "&#44;": ",", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&amp;": "&"}
+
+
+def plain_text(markup: Column, between: str = " ") -> Column:
+    """Text of an element: tags replaced by ``between``, entities decoded, runs of white space made one space."""
+    text = F.regexp_replace(markup, "<[^>]*>", between)
+    for entity, character in _ENTITIES.items():
+        text = F.replace(text, F.lit(entity), F.lit(character))
+    return F.trim(F.regexp_replace(text, r"[\s\u00A0]+", " "))
 
 
 def labeled_number(
@@ -26,17 +35,18 @@ def labeled_number(
     """First whole number on the page whose label contains ``keyword``; NULL when there is none.
 
     A figure is a ``div`` of class ``item`` that holds a ``p`` of class ``number`` and one of class
-    ``label``. The whole page is searched.
+    ``label``, at any depth; it reaches to the next such ``div``. The digits of a number may be spread over
+    elements. The whole page is searched.
     """
-    blocks = F.regexp_extract_all(html, F.lit(rf"(?s){_element('div', item)}(.*?)</div>"), F.lit(1))
+    blocks = F.split(html, rf"(?i){_element('div', item)}")
     figures = F.transform(
-        blocks,
+        F.slice(blocks, 2, F.greatest(F.size(blocks), F.lit(1))),
         lambda b: F.struct(
-            F.regexp_extract(b, rf"(?s){_element('p', number)}(.*?)</p>", 1).alias("number"),
-            F.regexp_extract(b, rf"(?s){_element('p', label)}(.*?)</p>", 1).alias("label"),
+            F.regexp_extract(b, rf"(?is){_element('p', number)}(.*?)</p>", 1).alias("number"),
+            F.regexp_extract(b, rf"(?is){_element('p', label)}(.*?)</p>", 1).alias("label"),
         ),
     )
     values = F.transform(
-        figures, lambda f: F.when(plain_text(f["label"]).contains(keyword), clean_number(plain_text(f["number"])))
+        figures, lambda f: F.when(plain_text(f["label"]).contains(keyword), clean_number(plain_text(f["number"], "")))
     )
     return F.get(F.filter(values, lambda v: v.isNotNull()), F.lit(0))

@@ -1,8 +1,8 @@
 """Joins that stay balanced when one key holds a large share of the rows.
 
-Inner joins are left to the optimizer: it broadcasts a side it knows to be small, and adaptive
-execution splits an oversized partition of either side. It cannot split the optional side of an
-outer join, nor the tested side of an anti join, so those two are written differently here.
+Joins are left to the optimizer: it broadcasts a side it knows to be small, and adaptive execution splits
+an oversized partition. It cannot split the optional side of an outer join, nor the tested side of an anti
+join; the caller says where one of those is hot.
 """
 
 from __future__ import annotations
@@ -57,26 +57,30 @@ def has_all(left: DataFrame, rights: list[DataFrame], on: str | list[str]) -> Da
     return reduce(lambda acc, right: semi(acc, right, on), rights, left)
 
 
-def keep_left(left: DataFrame, right: DataFrame, on: str | list[str]) -> DataFrame:
-    """Left outer join whose right side may have hot keys: the matches as an inner join, which can
-    be split, and the rows without a partner as an anti join."""
+def keep_left(left: DataFrame, right: DataFrame, on: str | list[str], hot_right: bool = False) -> DataFrame:
+    """Left outer join on shared column names, each kept once, then the other columns of either side.
+
+    Say ``hot_right`` where a key may have very many rows on the right: a partition of the optional side cannot
+    be split, so the matches then come from an inner join, which can be, and the rest from an anti join.
+    """
     on = _list(on)
-    matched = left.join(right, on, "inner")
-    alone = anti(left, right, on)
-    optional = [f for f in right.schema.fields if f.name not in on]
-    padded = alone.select(*left.columns, *[F.lit(None).cast(f.dataType).alias(f.name) for f in optional])
-    return matched.select(*padded.columns).unionByName(padded)
+    joined = left.join(right, on, "inner" if hot_right else "left")
+    matched = joined.select(*[left[c] for c in left.columns], *[right[c] for c in right.columns if c not in on])
+    if not hot_right:
+        return matched
+    padding = [F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema.fields if f.name not in on]
+    return matched.union(anti(left, right, on).select(*left.columns, *padding))
 
 
-def keep_right(left: DataFrame, right: DataFrame, on: str | list[str]) -> DataFrame:
-    return keep_left(right, left, on)
+def keep_right(left: DataFrame, right: DataFrame, on: str | list[str], hot_left: bool = False) -> DataFrame:
+    return keep_left(right, left, on, hot_left)
 
 
 def exists_flag(left: DataFrame, right: DataFrame, on: str | list[str], name: str) -> DataFrame:
     """Left rows with a flag for a partner. A row with several partners appears once for each."""
     on = _list(on)
-    found = left.join(right.select(*on), on, "inner").select(*left.columns, F.lit(True).alias(name))
-    return found.unionByName(anti(left, right, on).withColumn(name, F.lit(False)))
+    found = left.join(right.select(*on, F.lit(True).alias(name)), on, "left")
+    return found.select(*[left[c] for c in left.columns], F.coalesce(found[name], F.lit(False)).alias(name))
 
 
 def attach(detail: DataFrame, aggregate: DataFrame, on: str | list[str]) -> DataFrame:

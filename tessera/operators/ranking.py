@@ -8,6 +8,7 @@ ranges before it hold.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -19,10 +20,6 @@ from tessera.session import BROADCAST_ROWS, is_small, materialise, sized_join
 _POSITION_BITS = 33
 _POSITION_MASK = (1 << _POSITION_BITS) - 1
 
-# A value with more than one row in this many is joined by broadcast, so there are at most as many such values.
-_HEAVY_SHARE = 1_000
-_SALTS = 1 << 20
-
 
 def _match(left: DataFrame, right: DataFrame, names: list[str]) -> Column:
     condition = F.lit(True)
@@ -101,17 +98,23 @@ def percent_rank(df: DataFrame, criteria: list[Criterion]) -> DataFrame:
     """PERCENT_RANK over all rows for every criterion.
 
     The rows are reduced to (criterion, value, count) first; only those counts are range-partitioned
-    and summed up in value order, and the ranks are joined back by value.
+    and summed up in value order. Criteria with few values get their ranks by broadcast joins. For the
+    others the rows are numbered, narrow rows (number, criterion, value) fetch the ranks, and the wide
+    rows are joined with them once, however many criteria there are.
     """
     names = {c.out: f"__v{i}" for i, c in enumerate(criteria)}
     rows = df.withColumns({names[c.out]: c.value for c in criteria})
     kinds = {c.out: _common_type(rows.schema[names[c.out]].dataType) for c in criteria}
     rows = rows.withColumns({names[c.out]: F.col(names[c.out]).cast(kinds[c.out]) for c in criteria})
     below, sizes = _values_below(rows, names, kinds)
-    for c in criteria:
-        values = below.filter(F.col("criterion") == c.out)
-        rows = _add_percent(rows, values, c, names[c.out], kinds[c.out], sizes.get(c.out, 0) <= BROADCAST_ROWS)
-    return rows.drop(*names.values())
+    few = [c for c in criteria if sizes.get(c.out, 0) <= BROADCAST_ROWS]
+    many = [c for c in criteria if c not in few]
+    for c in few:
+        lookup = _percents(below.filter(F.col("criterion") == c.out), c, kinds[c.out]).selectExpr(f"{_slot(kinds[c.out])} AS __value", c.out)
+        rows = rows.join(F.broadcast(lookup), F.col(names[c.out]).eqNullSafe(F.col("__value")), "left").drop("__value")
+    if many:
+        rows = _fetched(rows, below, many, names, kinds)
+    return rows.select(*df.columns, *names)
 
 
 def _values_below(rows: DataFrame, names: dict[str, str], kinds: dict[str, str]) -> tuple[DataFrame, dict[str, int]]:
@@ -154,29 +157,34 @@ def _slot(kind: str) -> str:
     return "value_" + "".join(ch if ch.isalnum() else "_" for ch in kind)
 
 
-def _add_percent(rows: DataFrame, values: DataFrame, criterion: Criterion, column: str, kind: str, few_values: bool) -> DataFrame:
-    value, known = _slot(kind), "(total - nulls)"
+def _percents(values: DataFrame, criterion: Criterion, kind: str) -> DataFrame:
+    """The values of one criterion with their percent rank."""
+    known = "(total - nulls)"
     ahead = f"{known} - below - n" if criterion.descending else "below"
     if criterion.nulls_last:
-        ranked = f"IF({value} IS NULL, {known}, {ahead})"
+        ranked = f"IF({_slot(kind)} IS NULL, {known}, {ahead})"
     else:
-        ranked = f"IF({value} IS NULL, 0L, {ahead} + nulls)"
-    percent = f"IF(total > 1, CAST({ranked} AS DOUBLE) / (total - 1), 0D) AS {criterion.out}"
-    table = values.selectExpr(f"{value} AS __value", percent, "n", "total")
-    if few_values:
-        lookup = F.broadcast(table.drop("n", "total"))
-        return rows.join(lookup, F.col(column).eqNullSafe(F.col("__value")), "left").drop("__value")
-    # Too many values to broadcast them all: broadcast the few frequent ones, shuffle the rest. A
-    # row whose value is already found gets a key of its own kind, spread over many partitions.
-    frequent = F.col("n") * _HEAVY_SHARE > F.col("total")
-    heavy = table.filter(frequent).select(F.col("__value").alias("__heavy"), F.col(criterion.out).alias("__found"))
-    light = table.filter(~frequent).select("__value", F.lit(0).alias("__salt"), F.col(criterion.out).alias("__rest"))
-    tagged = rows.join(F.broadcast(heavy), F.col(column).eqNullSafe(F.col("__heavy")), "left").withColumn(
-        "__key", F.when(F.col("__found").isNull(), F.lit(0)).otherwise(1 + F.pmod(F.xxhash64(*rows.columns), F.lit(_SALTS)))
-    )
-    on = F.col(column).eqNullSafe(F.col("__value")) & (F.col("__key") == F.col("__salt"))
-    joined = tagged.join(light, on, "left")
-    return joined.select(*rows.columns, F.coalesce("__found", "__rest").alias(criterion.out))
+        ranked = f"IF({_slot(kind)} IS NULL, 0L, {ahead} + nulls)"
+    return values.selectExpr("*", f"IF(total > 1, CAST({ranked} AS DOUBLE) / (total - 1), 0D) AS {criterion.out}")
+
+
+def _fetched(rows: DataFrame, below: DataFrame, many: list[Criterion], names: dict[str, str], kinds: dict[str, str]) -> DataFrame:
+    slots = {kind: _slot(kind) for kind in sorted({kinds[c.out] for c in many})}
+    ranked = [
+        _percents(below.filter(F.col("criterion") == c.out), c, kinds[c.out]).selectExpr("criterion", *slots.values(), f"{c.out} AS percent") for c in many
+    ]
+    table = reduce(DataFrame.unionByName, ranked).selectExpr("criterion AS __criterion", *[f"{s} AS __{s}" for s in slots.values()], "percent")
+    numbered = materialise(rows.withColumn("__row", F.monotonically_increasing_id()), "numbered")
+
+    def value(out: str, kind: str) -> str:
+        return f"{names[out] if kinds[out] == kind else f'CAST(NULL AS {kind})'} AS {slots[kind]}"
+
+    pairs = [f"struct('{c.out}' AS criterion, {', '.join(value(c.out, k) for k in slots)})" for c in many]
+    narrow = numbered.selectExpr("__row", f"inline(array({', '.join(pairs)}))")
+    # A frequent value is split by adaptive execution: both sides of the join are plain shuffles.
+    found = narrow.join(table, _match(narrow, table, ["criterion", *slots.values()]))
+    gathered = found.groupBy("__row").agg(*[F.expr(f"max(IF(criterion = '{c.out}', percent, NULL)) AS {c.out}") for c in many])
+    return numbered.join(gathered, "__row")
 
 
 def spaced_second(

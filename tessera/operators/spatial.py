@@ -1,112 +1,108 @@
 """Distance and intersection joins over a hierarchy of boxes.
 
-Shapes to be found are placed into the cells of a grid over their extent, with every cell cut in
-sixteen from level to level. A cell is known by the box around its shapes and by their number.
-Searching starts from the one cell at the top and follows only the cells that can matter, by an
-equi-join from cell to cells below. So no pair of shapes is formed outside the last level, a crowded
-cell is cut down to small ones, and a cell that lies inside the search radius as a whole is counted
-without looking at its shapes.
+Shapes to be found are grouped into cells. A cell with more than a few shapes is cut in sixteen along the extent of
+its own centres, whatever that extent is, so a dense cluster in a wide area costs as few levels as an even spread; only
+shapes with one and the same centre stay together. A cell is known by the box around its shapes and by their number.
+Searching starts from the one cell at the top and follows only the cells that can matter, by an equi-join from cell
+to cells below. So no pair of shapes is formed outside the last cells, a crowded cell is cut down to small ones, and a
+cell that lies inside the search radius as a whole is counted without looking at its shapes. Sides are broadcast where
+the optimizer knows their size in bytes to be small.
 """
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions import geometry as G
-from tessera.session import BROADCAST_ROWS, materialise, spread
+from tessera.session import materialise, spread
 
-_STEP = 2  # halvings of each side from level to level
-_MAX_LEVEL = 26
-_CROWDED = 16  # shapes in a cell that make another level worth while
-_SIDES = ", ".join(G.SIDES)
+_CROWDED = 16  # shapes in a cell that make cutting it worth while
+_CUTS = 4  # along each side
+_ABOVE = -1  # what stands above the top cell
+_TOP = 0
+_CENTRE = {"lon": "(x0 + x1) / 2", "lat": "(y0 + y1) / 2"}
 
 
 @dataclass(frozen=True)
 class ShapeIndex:
-    cells: DataFrame  # key, level, ix, iy, sides of the box, weight
-    shapes: DataFrame  # key, ix and iy at the last level, shape, weight, sides
-    depth: int
-    cell_counts: dict[int, int]
-    shape_count: int
+    levels: list[DataFrame]  # key, parent, cell, weight, shapes, sides of the box, leaf
+    leaves: DataFrame  # key, cell, shape, weight, sides
+
+    @property
+    def depth(self) -> int:
+        return len(self.levels) - 1
 
 
 def build_index(items: DataFrame, geom: str, key: str | None = None) -> ShapeIndex | None:
     """Index of the distinct shapes per key; None when there are none."""
     keyed = items.selectExpr(f"{key or 0} AS key", f"{geom} AS shape").dropna()
     distinct = keyed.groupBy("key", "shape").agg(F.expr("count(*) AS weight"))
-    boxed = materialise(distinct.select("*", *G.bounds("shape")), "shapes")
-    lon, lat = "(x0 + x1) / 2", "(y0 + y1) / 2"
-    extent = boxed.selectExpr(
-        "count(*) AS n", f"min({lon}) AS west", f"max({lon}) AS east", f"min({lat}) AS south", f"max({lat}) AS north"
-    ).first()
-    if not extent.n:
+    placed = distinct.select("*", *G.bounds("shape")).selectExpr("*", f"{_ABOVE}L AS parent", f"{_TOP}L AS cell")
+    placed = materialise(placed, "shapes")
+    if placed.isEmpty():
         return None
-    # Enough levels for evenly spread shapes, and some more for clustered ones.
-    levels = max(0, math.ceil(math.log(max(extent.n / 8, 1), 4))) + 6
-    levels = min(_MAX_LEVEL, levels + levels % _STEP)
-    last = (1 << levels) - 1
-
-    def cell(centre: str, low: float, high: float, name: str) -> str:
-        share = f"({centre} - {low!r}D) / {max(high - low, 1e-12)!r}D"
-        return f"least(CAST(floor({share} * {1 << levels}D) AS BIGINT), {last}L) AS {name}"
-
-    placed = boxed.selectExpr("*", cell(lon, extent.west, extent.east, "ix"), cell(lat, extent.south, extent.north, "iy"))
-    up = ", ".join(str(v) for v in range(0, levels + 1, _STEP))
-    spread = placed.selectExpr("key", "ix", "iy", "weight", *G.SIDES, f"explode(array({up})) AS level").selectExpr(
-        "key", "level", f"shiftright(ix, {levels} - level) AS ix", f"shiftright(iy, {levels} - level) AS iy", "weight", *G.SIDES
-    )
     box = [F.expr(f"{'min' if s.endswith('0') else 'max'}({s}) AS {s}") for s in G.SIDES]
-    cells = spread.groupBy("key", "level", "ix", "iy").agg(F.expr("sum(weight) AS weight"), F.expr("count(*) AS shapes"), *box)
-    cells = materialise(cells, "cells")
-    # One row per level.
-    stats = sorted(cells.groupBy("level").agg(F.expr("count(*) AS n"), F.expr("max(shapes) AS crowd")).collect())
-    depth = next((r.level for r in stats if r.crowd <= _CROWDED), levels)
-    leaves = placed.selectExpr(
-        "key", f"shiftright(ix, {levels - depth}) AS ix", f"shiftright(iy, {levels - depth}) AS iy", "shape", "weight", *G.SIDES
-    )
-    return ShapeIndex(cells, leaves, depth, {r.level: r.n for r in stats}, extent.n)
-
-
-def _sized(df: DataFrame, rows: int) -> DataFrame:
-    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+    extent = [F.expr(f"{pick}({centre}) AS {pick}_{axis}") for axis, centre in _CENTRE.items() for pick in ("min", "max")]
+    levels, leaves = [], None
+    while True:
+        cells = placed.groupBy("key", "parent", "cell").agg(F.expr("sum(weight) AS weight"), F.expr("count(*) AS shapes"), *box, *extent)
+        leaf = f"shapes <= {_CROWDED} OR (min_lon = max_lon AND min_lat = max_lat)"
+        cells = materialise(cells.selectExpr("*", f"{leaf} AS leaf"), "cells")
+        levels.append(cells)
+        crowded = cells.filter("NOT leaf").select("key", "cell", *[f"{p}_{a}" for a in _CENTRE for p in ("min", "max")])
+        ended = crowded.isEmpty()
+        here = placed if ended else placed.join(crowded.select("key", "cell"), ["key", "cell"], "left_anti")
+        here = here.select("key", "cell", "shape", "weight", *G.SIDES)
+        leaves = here if leaves is None else leaves.unionByName(here)
+        if ended:
+            return ShapeIndex(levels, leaves)
+        share = {a: f"coalesce(try_divide({c} - min_{a}, max_{a} - min_{a}), 0D)" for a, c in _CENTRE.items()}
+        slot = " + ".join(f"{n} * least(CAST(floor({share[a]} * {_CUTS}) AS INT), {_CUTS - 1})" for n, a in ((1, "lon"), (_CUTS, "lat")))
+        below = placed.join(crowded, ["key", "cell"]).selectExpr(
+            "key", "shape", "weight", *G.SIDES, "cell AS parent", f"xxhash64(cell, {slot}) AS cell"
+        )
+        placed = materialise(below, "shapes")
 
 
 _BOX = [f"{s} AS c_{s}" for s in G.SIDES]
 
 
-def _cells_at(index: ShapeIndex, level: int) -> DataFrame:
+def _children(cells: DataFrame) -> DataFrame:
     """Cells of a level, named by the cell above them."""
-    up = _STEP if level else 0
-    table = index.cells.filter(F.expr(f"level = {level}")).selectExpr(
-        "key AS c_key", f"shiftright(ix, {up}) AS c_up_x", f"shiftright(iy, {up}) AS c_up_y", "ix AS c_ix", "iy AS c_iy", "weight AS c_weight", *_BOX
-    )
-    return _sized(table, index.cell_counts[level])
+    return cells.selectExpr("key AS c_key", "parent AS c_at", "cell AS c_cell", "leaf AS c_leaf", "weight AS c_weight", *_BOX)
 
 
-def _shapes_at_leaves(index: ShapeIndex) -> DataFrame:
-    table = index.shapes.selectExpr("key AS c_key", "ix AS c_up_x", "iy AS c_up_y", "shape AS c_shape", "weight AS c_weight", *_BOX)
-    return _sized(table, index.shape_count)
+def _shapes(index: ShapeIndex) -> DataFrame:
+    return index.leaves.selectExpr("key AS c_key", "cell AS c_at", "shape AS c_shape", "weight AS c_weight", *_BOX)
 
 
 def _below() -> Column:
-    return F.expr("key = c_key AND ix = c_up_x AND iy = c_up_y")
+    return F.expr("key = c_key AND cell = c_at")
+
+
+def _bounds() -> list[Column]:
+    return [G.box_gap("", "c_").alias("gap"), G.box_reach("", "c_").alias("reach")]
 
 
 def _probes(df: DataFrame, identifier: str, geom: str, key: str | None) -> DataFrame:
-    """Shapes to search for, at the top cell."""
-    shapes = spread(df.selectExpr(f"{identifier} AS id", f"{key or 0} AS key", f"{geom} AS probe"))
-    # The number of the top cell is 0. A literal would turn the equi-join with it into a nested loop.
-    return shapes.select("*", *G.bounds("probe"), F.expr("pmod(xxhash64(id), 1) AS ix"), F.expr("pmod(xxhash64(id), 1) AS iy"))
+    """Shapes to search for, above the top cell; rows without a shape are not searched for."""
+    shapes = spread(df.selectExpr(f"{identifier} AS id", f"{key or 0} AS key", f"{geom} AS probe").filter("probe IS NOT NULL"))
+    # A literal would turn the equi-join with the top cell into a nested loop.
+    return shapes.select("*", *G.bounds("probe"), F.expr(f"pmod(xxhash64(id), 1) + {_ABOVE}L AS cell"), F.expr("false AS done"))
+
+
+def _every(df: DataFrame, identifier: str, value: str) -> DataFrame:
+    """All ids, so that those without a hit or a shape are in the result."""
+    return df.selectExpr(f"{identifier} AS id", value)
 
 
 _CARRY = ("id", "key", "probe", *G.SIDES)
-# Cell number of a row that is done: no cell has it, and it differs from row to row, so that such
-# rows spread evenly in a shuffle.
-_PARKED = f"-1 - pmod(xxhash64(id), {1 << 20})"
+# Cell of a row whose answer is known: no cell has it, and it differs from row to row, so that such rows spread
+# evenly in a shuffle.
+_PARKED = f"-2 - pmod(xxhash64(id), {1 << 20})"
 
 
 def count_within(
@@ -119,59 +115,68 @@ def count_within(
     if index is None:
         return df.selectExpr(f"{identifier} AS {identifier}", f"0L AS {out}").distinct()
     near = f"{float(metres)!r}D"
-    # ``settled`` is the weight of a cell counted as a whole; such a row goes on without a cell. One
-    # of weight 0 keeps every id in the result.
-    start = _probes(df, identifier, geom, key).selectExpr(*_CARRY, "ix", "iy", "explode(array(NULL, 0L)) AS settled")
-    rows = start.selectExpr(*_CARRY, *[f"IF(settled IS NULL, {axis}, {_PARKED}) AS {axis}" for axis in ("ix", "iy")], "settled")
-    for level in range(0, index.depth + 1, _STEP):
-        joined = rows.join(_cells_at(index, level), _below(), "left")
-        joined = joined.select("*", G.box_gap("", "c_").alias("gap"), G.box_reach("", "c_").alias("reach"))
-        # What stays is settled before, inside the radius, or cut by it.
-        kept = joined.filter(F.expr(f"settled IS NOT NULL OR gap < {near}"))
+    # ``settled`` is the weight of a cell counted as a whole; such a row goes on without its shape.
+    rows = _probes(df, identifier, geom, key).selectExpr("*", "CAST(NULL AS BIGINT) AS settled")
+    for cells in index.levels:
+        joined = rows.join(_children(cells), _below(), "left").select("*", *_bounds())
+        open_ = "(settled IS NULL AND NOT done)"
+        kept = joined.filter(F.expr(f"NOT {open_} OR gap < {near}"))
+        inside = f"({open_} AND reach < {near})"
+        light = f"(settled IS NOT NULL OR {inside})"
         rows = kept.selectExpr(
-            *_CARRY,
-            *[f"IF(settled IS NOT NULL OR reach < {near}, {_PARKED}, c_{axis}) AS {axis}" for axis in ("ix", "iy")],
-            f"coalesce(settled, IF(reach < {near}, c_weight, NULL)) AS settled",
+            "id",
+            "key",
+            *[f"IF({light}, NULL, {c}) AS {c}" for c in ("probe", *G.SIDES)],
+            f"CASE WHEN {light} THEN {_PARKED} WHEN done THEN cell ELSE c_cell END AS cell",
+            "IF(done, done, coalesce(c_leaf, false)) AS done",
+            f"IF({inside}, c_weight, settled) AS settled",
         )
-    joined = rows.join(_shapes_at_leaves(index), _below(), "left")
+    joined = rows.join(_shapes(index), _below(), "left").select("id", "settled", "c_weight", "probe", "c_shape", *_bounds())
     # The exact distance is worked out only where the boxes leave it open.
-    joined = joined.select("id", "settled", "c_weight", "probe", "c_shape", G.box_gap("", "c_").alias("gap"), G.box_reach("", "c_").alias("reach"))
-    open_ = F.expr(f"reach >= {near} AND gap < {near}")
+    open_ = F.expr(f"settled IS NULL AND reach >= {near} AND gap < {near}")
     measured = joined.select("id", "settled", "c_weight", "reach", F.when(open_, G.distance("probe", "c_shape")).alias("metres"))
-    hit = f"IF(reach < {near} OR metres < {near}, c_weight, 0L)"
-    return measured.groupBy(F.col("id").alias(identifier)).agg(F.expr(f"sum(coalesce(settled, {hit})) AS {out}"))
+    hits = measured.selectExpr("id", f"coalesce(settled, IF(reach < {near} OR metres < {near}, c_weight, 0L)) AS hits")
+    counted = hits.unionByName(_every(df, identifier, "0L AS hits"))
+    return counted.groupBy(F.col("id").alias(identifier)).agg(F.expr(f"sum(hits) AS {out}"))
 
 
 def nearest(df: DataFrame, index: ShapeIndex | None, identifier: str, geom: str, out: str, key: str | None = None) -> DataFrame:
-    """For every id of ``df`` the distance to the nearest indexed item in metres, NULL without any."""
+    """For every id of ``df`` the distance to the nearest indexed item in metres, NULL without any.
+
+    First every id follows the one cell that promises most down to a leaf; the nearest item there bounds the answer.
+    Then all cells within that bound are searched.
+    """
     if index is None:
         return df.selectExpr(f"{identifier} AS {identifier}", f"CAST(NULL AS DOUBLE) AS {out}").distinct()
-    rows = _probes(df, identifier, geom, key)
-    for level in range(0, index.depth + 1, _STEP):
-        best = _in_the_running(rows.join(_cells_at(index, level), _below(), "left"))
-        rows = best.selectExpr(*_CARRY, *[f"coalesce(c_{axis}, {_PARKED}) AS {axis}" for axis in ("ix", "iy")])
-    best = _in_the_running(rows.join(_shapes_at_leaves(index), _below(), "left"))
-    measured = best.select("id", G.distance("probe", "c_shape").alias("metres"))
+    probes = _probes(df, identifier, geom, key)
+    rows = probes
+    for cells in index.levels:
+        joined = rows.join(_children(cells), _below(), "left").select("*", *_bounds())
+        step = joined.selectExpr(*_CARRY, "coalesce(c_cell, cell) AS cell", "coalesce(c_leaf, done) AS done", "reach")
+        best = step.groupBy("id").agg(F.min_by(F.struct(*_CARRY[1:], "cell", "done"), F.coalesce("reach", F.lit(0.0))).alias("best"))
+        rows = best.select("id", "best.*")
+    first = rows.join(_shapes(index), _below()).select("id", G.distance("probe", "c_shape").alias("metres"))
+    limits = first.groupBy(F.col("id").alias("of")).agg(F.min("metres").alias("most"))
+    rows = probes.join(limits, F.col("id") == F.col("of")).drop("of")
+    for cells in index.levels:
+        joined = rows.join(_children(cells), _below(), "left").select("*", *_bounds())
+        kept = joined.filter("done OR gap <= most")
+        rows = kept.selectExpr(*_CARRY, "most", "IF(done, cell, c_cell) AS cell", "IF(done, done, c_leaf) AS done")
+    joined = rows.join(_shapes(index), _below()).select("*", *_bounds()).filter("gap <= most")
+    measured = joined.select("id", G.distance("probe", "c_shape").alias("metres"))
+    measured = measured.unionByName(_every(df, identifier, "CAST(NULL AS DOUBLE) AS metres"))
     return measured.groupBy(F.col("id").alias(identifier)).agg(F.expr(f"min(metres) AS {out}"))
 
 
-def _in_the_running(joined: DataFrame) -> DataFrame:
-    """Rows whose box may hold the nearest item: per id a few around the best one, whatever the
-    number of items."""
-    reached = joined.withColumns({"gap": G.box_gap("", "c_"), "reach": G.box_reach("", "c_")})
-    best = reached.selectExpr("*", "min(reach) OVER (PARTITION BY id) AS best")
-    return best.filter(F.expr("best IS NULL OR gap <= best")).drop("gap", "reach", "best")
-
-
 def intersecting(df: DataFrame, index: ShapeIndex | None, identifier: str, geom: str, key: str | None = None) -> DataFrame:
     """The ids of ``df`` whose shape meets at least one indexed item."""
     if index is None:
         return df.select(identifier).limit(0)
     rows = _probes(df, identifier, geom, key)
     touch = G.boxes_overlap("", "c_")
-    for level in range(0, index.depth + 1, _STEP):
-        joined = rows.join(_cells_at(index, level), _below() & touch, "inner")
-        rows = joined.selectExpr(*_CARRY, "c_ix AS ix", "c_iy AS iy")
+    for cells in index.levels:
+        joined = rows.join(_children(cells), _below() & touch, "left").filter("done OR c_cell IS NOT NULL")
+        rows = joined.selectExpr(*_CARRY, "IF(done, cell, c_cell) AS cell", "IF(done, done, c_leaf) AS done")
     # A semi join stops at the first hit.
-    hits = rows.join(_shapes_at_leaves(index), _below() & touch & G.intersects("probe", "c_shape"), "left_semi")
+    hits = rows.join(_shapes(index), _below() & touch & G.intersects("probe", "c_shape"), "left_semi")
     return hits.select(F.col("id").alias(identifier)).distinct()

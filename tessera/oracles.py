@@ -13,7 +13,7 @@ def _add(name: str, views: str, body: str) -> None:
 
 # Sources and sinks
 _add("scan_table", "", "SELECT * FROM customer")
-_add("csv_roundtrip", "retail_orders", "SELECT order_id, customer_id, amount FROM retail_orders")
+_add("csv_roundtrip", "notes", "SELECT doc_id, text, remark FROM notes")
 _add(
     "json_lines_scan",
     "readings",
@@ -248,10 +248,11 @@ _add("fn_trim", "donations", "SELECT donation_id, trim(zip) AS trimmed, trim(cat
 _add("fn_cast_text", "", "SELECT p_partkey, CAST(p_partkey AS VARCHAR) AS key_text, CAST(p_size AS VARCHAR) AS size_text FROM part")
 _add(
     "fn_date_parts",
-    "retail_returns",
+    "",
     """
-SELECT order_id, CAST(year(return_date) AS INTEGER) AS y, CAST(month(return_date) AS INTEGER) AS m, CAST(day(return_date) AS INTEGER) AS d
-FROM retail_returns""",
+SELECT l_orderkey, l_linenumber, CAST(year(l_shipdate) AS INTEGER) AS y, CAST(month(l_shipdate) AS INTEGER) AS m,
+       CAST(day(l_shipdate) AS INTEGER) AS d
+FROM lineitem""",
 )
 # A two-digit year must be told from a four-digit one by its length; a year after 2026 is a century too late.
 _BORN = """CASE WHEN regexp_matches(date_of_birth, '^[0-9]+/[0-9]+/[0-9]{4}$') THEN CAST(try_strptime(date_of_birth, '%m/%d/%Y') AS DATE)
@@ -359,7 +360,7 @@ _add(
     "fn_st_distance",
     "road_segments interchanges",
     f"""
-, pairs AS (SELECT s.*, i.lon, i.lat FROM road_segments s JOIN interchanges i ON s.segment_id = i.interchange_id)
+, pairs AS (SELECT s.*, i.lon, i.lat FROM road_segments s JOIN interchanges i ON s.segment_id % 100 = i.interchange_id)
 SELECT segment_id, round({_TO_LINE}, 2) AS to_road_m,
        round(2 * 6371008.8 * asin(sqrt(pow(sin(radians(lat0 - lat) / 2), 2)
              + cos(radians(lat)) * cos(radians(lat0)) * pow(sin(radians(lon0 - lon) / 2), 2))), 2) AS to_start_m
@@ -651,8 +652,14 @@ _add(
     + _DETECTOR
     + _DATE
     + """
-SELECT 'dim_location' AS table_name, count(*) AS n_rows FROM locations UNION ALL SELECT 'dim_detector', count(*) FROM units
-UNION ALL SELECT 'dim_date', count(*) FROM days UNION ALL SELECT 'fact_radiation_readings', count(*) FROM readings""",
+SELECT 'dim_location' AS table_name, location_key AS row_key, gps_unit_number AS detail, calibration_timestamp AS moment, gps_lat AS measure FROM locations
+UNION ALL SELECT 'dim_detector', detector_key, detector_type, calibration_timestamp, calibration_precision FROM units
+UNION ALL SELECT 'dim_date', CAST(date_actual AS VARCHAR), NULL, CAST(date_actual AS TIMESTAMP), CAST(year(date_actual) AS DOUBLE) FROM days
+UNION ALL SELECT 'fact_radiation_readings', sha256(concat_ws('|', gps_unit_number, """
+    + _STAMP.format(_CALIBRATED)
+    + """)),
+       concat_ws('|', substr(collection_timestamp, 1, 10), sha256(concat_ws('|', cesium_137_unit, 'CESIUM_137'))),
+       CAST(collection_timestamp AS TIMESTAMP), cesium_137_level FROM readings""",
 )
 
 # Costs. Money stays in whole cents; half a cent and half a hundredth of a percent round away from zero.
@@ -680,7 +687,7 @@ _add(
     "batch_costs",
     _COST
     + f"""
-SELECT row_number() OVER (ORDER BY date_id, product_id, batch_id, facility_id, cost_category_id) AS material_cost_id,
+SELECT sha256(concat_ws('|', date_id, product_id, batch_id, facility_id, cost_category_id)) AS material_cost_id,
        date_id, product_id, batch_id, facility_id, cost_category_id, {_money('ac')} AS actual_cost, {_money('sc')} AS standard_cost,
        {_money('ac - sc')} AS cost_variance, {_PERCENT} AS variance_percent, units_produced,
        CAST(NULL AS DECIMAL(10,2)) AS labor_hours, CAST(NULL AS DECIMAL(10,2)) AS line_hours
@@ -720,3 +727,23 @@ SELECT batch_id, batch_status, actual_quantity, CAST(year AS INTEGER) AS year, C
        {_PERCENT} > 15 AS exceeds_15_percent
 FROM wide JOIN cost_batches USING (batch_id) JOIN cost_facilities USING (facility_id) JOIN cost_products USING (product_id)""",
 )
+_add(
+    "cost_dim_date",
+    "batch_costs",
+    """
+SELECT DISTINCT CAST(strftime(full_date, '%Y%m%d') AS INTEGER) AS date_id, full_date, CAST(year(full_date) AS INTEGER) AS year,
+       CAST(quarter(full_date) AS INTEGER) AS quarter, CAST(month(full_date) AS INTEGER) AS month, monthname(full_date) AS month_name,
+       CAST(dayofweek(full_date) + 1 AS INTEGER) AS day_of_week
+FROM batch_costs""",
+)
+_add("cost_dim_facility", "facility_rows", "SELECT * FROM facility_rows")
+_add("cost_dim_product", "product_rows", "SELECT * FROM product_rows")
+_add("cost_dim_batch", "batch_rows", "SELECT * FROM batch_rows")
+_add(
+    "cost_dim_category",
+    "batch_costs",
+    """
+SELECT DISTINCT CASE cost_category WHEN 'Material' THEN 1 WHEN 'Labor' THEN 2 WHEN 'Overhead' THEN 3 ELSE 4 END AS cost_category_id,
+       cost_category AS cost_category_name, CASE WHEN cost_category IN ('Material', 'Labor') THEN 'Direct' ELSE 'Indirect' END AS cost_type
+FROM batch_costs""",
+)

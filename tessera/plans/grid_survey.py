@@ -54,8 +54,9 @@ def _stability(spread: Column) -> Column:
     return F.round(1.0 / (1.0 + F.coalesce(spread, F.lit(0.0))), 4)
 
 
-def subcell_averages(scan: DataFrame, grid: Grid = Grid()) -> DataFrame:
-    return sort(_subcells(scan, grid), *_CELL)
+def subcell_averages(scan: DataFrame, grid: Grid = Grid(), ordered: bool = True) -> DataFrame:
+    cells = _subcells(scan, grid)
+    return sort(cells, *_CELL) if ordered else cells
 
 
 def tile_status_rollup(scan: DataFrame, grid: Grid = Grid()) -> DataFrame:

@@ -107,8 +107,14 @@ def scd2_intervals(versions: DataFrame, keys: list[str], since: str) -> DataFram
     number, so one key with very many versions spreads over many tasks. ``since`` is unique per key.
     """
     numbered = materialise(row_number(versions, keys, [order(since)], "__version"), "versions")
-    following = numbered.select(*keys, (F.col("__version") - 1).alias("__version"), F.col(since).alias("effective_to"))
-    joined = numbered.join(following, [*keys, "__version"], "left")
+    following = numbered.select(
+        *[F.col(k).alias(f"__{k}") for k in keys], (F.col("__version") - 1).alias("__before"), F.col(since).alias("effective_to")
+    )
+    # A missing key is a key like any other.
+    same = F.col("__version") == F.col("__before")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"__{k}"))
+    joined = numbered.join(following, same, "left")
     return joined.select(
         *versions.columns, F.col(since).alias("effective_from"), "effective_to", F.col("effective_to").isNull().alias("is_current")
     )

@@ -60,7 +60,8 @@ def scan_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    source = view(prepare(spark), sf_dir, "retail_orders")
+    """Texts with line breaks, empty values and missing ones, written as CSV and read back."""
+    source = view(prepare(spark), sf_dir, "notes")
     path = scratch_path(spark, "csv")
     writers.write_csv(source, path)
     return readers.read_csv(spark, path, source.schema)
@@ -94,13 +95,25 @@ def model_view(source: DataFrame) -> DataFrame:
 
 @_over("readings")
 def scd2_write(readings: DataFrame) -> DataFrame:
-    """Rows of the four tables after they were written twice: the second write replaces the first."""
+    """The rows of the four tables after they were written twice: the second write replaces the first."""
     spark = readings.sparkSession
     database = writers.scratch_database(spark)
     star.write_star(readings.filter(F.col("gamma_level") > 1), database)
     written = star.write_star(readings, database)
-    counts = [t.agg(F.count("*").alias("n_rows")).withColumn("table_name", F.lit(n)) for n, t in written.items()]
-    return R.union_all(*counts)
+    return R.union_all(*[t.select(F.lit(n).alias("table_name"), *_star_row(n)) for n, t in written.items()])
+
+
+# Per table: its key, other keys, a time and a number.
+_STAR_ROWS = {
+    "dim_location": ("location_key", "gps_unit_number", "calibration_timestamp", "gps_lat"),
+    "dim_detector": ("detector_key", "detector_type", "calibration_timestamp", "calibration_precision"),
+    "dim_date": ("date_key", "CAST(NULL AS STRING)", "CAST(date_actual AS TIMESTAMP)", "CAST(year AS DOUBLE)"),
+    "fact_radiation_readings": ("location_key", "concat_ws('|', date_key, cesium_detector_key)", "collection_timestamp", "cesium_137_level"),
+}
+
+
+def _star_row(name: str) -> list[Column]:
+    return [F.expr(e).alias(c) for e, c in zip(_STAR_ROWS[name], ("row_key", "detail", "moment", "measure"))]
 
 
 # Projections, filters ------------------------------------------------------------------------
@@ -207,7 +220,7 @@ def join_flag(orders: DataFrame, returns: DataFrame) -> DataFrame:
 @_over("scan")
 def join_attach(scan: DataFrame) -> DataFrame:
     """Subcells with the average of their survey unit."""
-    cells = grid_survey.subcell_averages(scan)
+    cells = grid_survey.subcell_averages(scan, ordered=False)
     units = A.group_avg(cells, ["tile", "su"], "avg_reading", "su_avg")
     attached = J.attach(cells, units, ["tile", "su"])
     return attached.select("tile", "su", "subcell", *[F.round(c, 6).alias(c) for c in ("avg_reading", "su_avg")])
@@ -329,8 +342,8 @@ _scalar("fn_regexp_replace", "documents", "doc_id", digits=lambda: S.digits(F.co
 _scalar("fn_trim", "donations", "donation_id", trimmed=lambda: F.trim("zip"), blank=lambda: F.trim("category") == "")
 _scalar("fn_cast_text", "part", "p_partkey", key_text=lambda: F.col("p_partkey").cast("string"), size_text=lambda: F.col("p_size").cast("string"))
 _scalar(
-    "fn_date_parts", "retail_returns", "order_id",
-    y=lambda: F.year("return_date"), m=lambda: F.month("return_date"), d=lambda: F.dayofmonth("return_date"),
+    "fn_date_parts", "lineitem", ["l_orderkey", "l_linenumber"],
+    y=lambda: F.year("l_shipdate"), m=lambda: F.month("l_shipdate"), d=lambda: F.dayofmonth("l_shipdate"),
 )
 _scalar(
     "fn_as_of_date", "donations", "donation_id",
@@ -407,7 +420,8 @@ def fn_arrays_zip(lineitem: DataFrame) -> DataFrame:
 
 @_over("road_segments", "interchanges")
 def fn_st_distance(segments: DataFrame, interchanges: DataFrame) -> DataFrame:
-    pairs = segments.drop("interstate").join(interchanges, segments.segment_id == interchanges.interchange_id)
+    """Every segment with one interchange of its own; there are at least a hundred of them."""
+    pairs = segments.drop("interstate").join(interchanges, segments.segment_id % 100 == interchanges.interchange_id)
     shapes = {
         "spot": G.point("lon", "lat"),
         "start": G.point("lon0", "lat0"),
@@ -419,6 +433,7 @@ def fn_st_distance(segments: DataFrame, interchanges: DataFrame) -> DataFrame:
 
 @_over("road_segments", "env_constraints")
 def fn_st_intersects(segments: DataFrame, areas: DataFrame) -> DataFrame:
+    """The scalar function alone: every segment is tested with one area. ``spatial_exclusion`` tests them all."""
     roads = segments.select("segment_id", G.line(("lon0", "lat0"), ("lon1", "lat1")).alias("road"))
     boxes = areas.select("area_id", G.box("min_lon", "min_lat", "max_lon", "max_lat").alias("area"))
     pairs = roads.join(boxes, F.col("segment_id") % 25 == F.col("area_id"))
@@ -630,6 +645,35 @@ def scd2_intervals(readings: DataFrame) -> DataFrame:
     return star.scd2_intervals(versions, ["gps_unit_number"], "calibration_timestamp")
 
 
+def _dimension(name: str, rows: DataFrame) -> DataFrame:
+    return costs.write_dimension(rows, name, writers.scratch_database(rows.sparkSession))
+
+
+@_over("batch_costs")
+def cost_dim_date(lines: DataFrame) -> DataFrame:
+    return _dimension("dim_date", costs.date_dimension(lines, "full_date"))
+
+
+@_over("facility_rows")
+def cost_dim_facility(rows: DataFrame) -> DataFrame:
+    return _dimension("dim_facility", rows)
+
+
+@_over("product_rows")
+def cost_dim_product(rows: DataFrame) -> DataFrame:
+    return _dimension("dim_product", rows)
+
+
+@_over("batch_rows")
+def cost_dim_batch(rows: DataFrame) -> DataFrame:
+    return _dimension("dim_batch", rows)
+
+
+@_over("batch_costs")
+def cost_dim_category(lines: DataFrame) -> DataFrame:
+    return _dimension("dim_cost_category", costs.category_dimension(lines))
+
+
 @_over("batch_costs")
 def cost_fact(lines: DataFrame) -> DataFrame:
     return costs.cost_fact(lines)

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,30 +47,63 @@ def get_session(cpus: int | str = 8, app: str = "tessera", **conf: str) -> Spark
 
 
 def prepare(spark: SparkSession) -> SparkSession:
+    """Sets what the queries rely on where it differs."""
     for key, value in RUNTIME_CONF.items():
-        spark.conf.set(key, value)
+        if spark.conf.get(key, None) != value:
+            spark.conf.set(key, value)
     return spark
 
 
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder named in ``spark.checkpoint.dir``.
 
-    Only a local session without that setting gets a folder of its own; executors of a
-    cluster could not see one, so there the setting is required.
+    Only a session in one process (``local`` or ``local[n]``) without that setting gets a folder of its own;
+    the executors of a cluster, also of ``local-cluster``, may not see one, so there the setting is required.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(_OWN_SCRATCH, None)
     if shared:
         return shared
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
         raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
     own = tempfile.mkdtemp(prefix="tessera-")
     spark.conf.set(_OWN_SCRATCH, own)
     return own
 
 
+# What this process has made in the shared folder, by session: paths, and databases.
+_MADE: dict[int, list[str]] = {}
+_DATABASES: dict[int, list[str]] = {}
+
+
+def note_database(spark: SparkSession, name: str) -> None:
+    _DATABASES.setdefault(id(spark), []).append(name)
+
+
+def release(spark: SparkSession) -> None:
+    """Deletes the intermediate tables and databases that queries of this session have left, once their results
+    are no longer needed."""
+    for name in _DATABASES.pop(id(spark), []):
+        spark.sql(f"DROP DATABASE IF EXISTS {name} CASCADE")
+    configuration = spark._jsc.hadoopConfiguration()
+    for made in _MADE.pop(id(spark), []):
+        path = spark._jvm.org.apache.hadoop.fs.Path(made)
+        path.getFileSystem(configuration).delete(path, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[SparkSession]:
+    """Releases on leaving what queries inside have written for themselves."""
+    try:
+        yield spark
+    finally:
+        release(spark)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path below the shared folder that no earlier call returned."""
-    return f"{scratch_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{scratch_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _MADE.setdefault(id(spark), []).append(path)
+    return path
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
@@ -84,9 +120,13 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
 
 def spread(df: DataFrame) -> DataFrame:
     """Rows over all cores where a scan has fewer splits than there are cores, for work that is heavy
-    per row. A large table has more splits than cores and stays as it is."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    per row. A large table has more splits than cores and stays as it is. Only the planner's estimate is asked,
+    so no job runs."""
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    split = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get("spark.sql.files.maxPartitionBytes"))
+    estimate = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(cores) if estimate < cores * split else df
 
 
 def is_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:

@@ -7,6 +7,7 @@ from pyspark.sql import types as T
 
 from tessera.session import prepare
 from tessera.sources.schemas import TABLES
+from tessera.sources.writers import CSV_NULL
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,9 +18,11 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
-    """CSV with a header; types are inferred (one extra pass) only when no schema is given."""
-    reader = spark.read.options(header=True, escape='"')
+def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None, null: str = CSV_NULL) -> DataFrame:
+    """CSV with a header; types are inferred (one extra pass) only when no schema is given. Quoted values may
+    hold line breaks, so a file is read by one task; writers make one file per task."""
+    as_is = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, "escape": '"'}
+    reader = spark.read.options(header=True, multiLine=True, nullValue=null, emptyValue="", **as_is)
     if schema is None:
         return reader.option("inferSchema", True).csv(path)
     return reader.schema(schema).csv(path)

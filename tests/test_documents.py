@@ -96,6 +96,13 @@ def test_models(spark):
     assert again.columns == ["id"]
 
 
+def test_csv_keeps_line_breaks_and_empty_values(spark, tmp_path):
+    rows = [(1, 'two\nlines "quoted", and more\r\n', ""), (2, None, " spaces "), (3, "", None), (4, "\\N?", "a,b")]
+    df = spark.createDataFrame(rows, "id int, text string, remark string")
+    writers.write_csv(df, str(tmp_path / "notes"))
+    assert sorted(map(tuple, readers.read_csv(spark, str(tmp_path / "notes"), df.schema).collect())) == rows
+
+
 def figure(number, label, extra=""):
     return f'<div class="wide numbers-item"{extra}><p class="numbers-number">{number}</p><p class="numbers-description">{label}</p></div>'
 
@@ -109,10 +116,12 @@ def test_labeled_number(spark):
         (4, '<div class="numbers-item"><p class="numbers-number">3</p></div>'),
         (5, None),
         (6, figure("1", "Traditional") + figure("2", "Traditional")),
+        (7, "<div class='a numbers-item'><div><p class='numbers-number'>1,<b>234</b></p></div><div><p class='numbers-description'>Traditional&nbsp;ones</p></div></div>"),
+        (8, figure("9", "Labs") + '<div class="numbers-item"><div>x</div><p class="numbers-number">8&#44;765</p><p class="numbers-description">R&amp;D Traditional</p></div>'),
     ]
     df = spark.createDataFrame(pages, "place_id int, html string")
     assert [r.n for r in df.select("place_id", labeled_number(F.col("html"), "Traditional").alias("n")).orderBy("place_id").collect()] == [
-        7951, 12, None, None, None, 1,
+        7951, 12, None, None, None, 1, 1234, 8765,
     ]
 
 

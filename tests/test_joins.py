@@ -33,6 +33,23 @@ def test_keep_left(sides, join_mode):
     same(J.keep_right(orders, people, "person"), orders.join(people, "person", "right"))
 
 
+@pytest.mark.parametrize("hot", [False, True])
+def test_keep_left_with_hot_keys_and_shared_names(sides, hot):
+    people, orders = sides
+    orders = orders.withColumn("name", F.lit("order"))
+    joined = J.keep_left(people, orders, "person", hot)
+    assert joined.columns == ["person", "name", "order_id", "amount", "name"]
+    want = people.join(orders.drop("name"), "person", "left")
+    assert sorted((r[0] or -1, r[1], r[2] or -1) for r in joined.collect()) == sorted((r[0] or -1, r[1], r[2] or -1) for r in want.collect())
+
+
+def test_outer_joins_scan_each_side_once(spark):
+    from tessera.queries import QUERIES
+
+    for name in ("qa2", "qa3", "qb2", "qb3", "qc2", "qd2", "qd3"):
+        assert plan_of(QUERIES[name](spark, "/root/testdata/sf0.001")).count("FileScan parquet") <= 2
+
+
 def test_exists_flag_keeps_duplicates(sides, join_mode):
     people, orders = sides
     want = people.join(orders.withColumnRenamed("person", "who"), F.col("person") == F.col("who"), "left")

@@ -11,8 +11,6 @@ from tessera.oracles import ORACLES
 from tessera.queries import QUERIES
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-# Intermediate stages of site_selection; python tests/compare.py runs them all.
-SLOW = {"site_scored", "site_composite", "corridor_rank", "spaced_second_pick"}
 
 
 @pytest.fixture(scope="module")
@@ -24,7 +22,7 @@ def test_every_query_has_a_twin():
     assert set(QUERIES) == set(ORACLES)
 
 
-@pytest.mark.parametrize("name", [n for n in QUERIES if n not in SLOW])
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, duck, name):
     problem, _ = compare(spark, duck, QUERIES[name], ORACLES[name], SF_DIR)
     assert not problem

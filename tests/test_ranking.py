@@ -41,6 +41,20 @@ def test_percent_rank_needs_no_single_task(rows):
     assert "SinglePartition" not in plan_of(ranked)
 
 
+def test_wide_rows_are_shuffled_once(rows, monkeypatch, spark):
+    """Six criteria with many values: the wide rows take part in one exchange."""
+    monkeypatch.setattr(ranking, "BROADCAST_ROWS", -1)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        wide = rows.withColumn("load", F.repeat(F.lit("x"), 50))
+        columns = ["small", "wide", "text", "id", "grp", F.col("id") % 7]
+        plan = plan_of(percent_rank(wide, [Criterion(f"p{i}", c) for i, c in enumerate(columns)]))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    nodes = plan.split("Exchange")[1:]
+    assert sum("load" in node.split("FileScan")[1].split("ReadSchema")[0] for node in nodes if "FileScan" in node.split("Exchange")[0]) <= 2
+
+
 def test_percent_rank_of_one_row_and_of_none(spark):
     one = spark.createDataFrame([(1, 5.0)], "id int, v double")
     assert percent_rank(one, [Criterion("p", "v")]).first().p == 0.0

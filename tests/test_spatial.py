@@ -5,6 +5,7 @@ import random
 
 import pytest
 from conftest import plan_of
+from pyspark.sql import functions as F
 
 from tessera.functions import geometry as G
 from tessera.operators import spatial
@@ -106,8 +107,6 @@ MIXES = [(("line",), ("point",)), (("line",), ("line", "point")), (("point",), (
 
 @pytest.mark.parametrize("mix", MIXES)
 def test_search_against_all_pairs(spark, join_mode, mix):
-    if join_mode == "broadcast" and mix is not MIXES[1]:
-        pytest.skip("the shuffled variant covers this mix")
     probes, items = shapes(1, 120, mix[0]), shapes(2, 250, mix[1])
     left, right = frame(spark, probes), frame(spark, items)
     index = spatial.build_index(right, "geom")
@@ -155,6 +154,56 @@ def test_plans_have_no_nested_loops(spark):
         assert "NestedLoop" not in text and "Cartesian" not in text and "Python" not in text
 
 
+def around_the_line(seed, n):
+    """Points on both sides of the antimeridian."""
+    rng = random.Random(seed)
+    side = lambda: rng.choice([179.99 - rng.random() ** 3, -179.99 + rng.random() ** 3])
+    return [(i, "k", ("point", [(side(), rng.uniform(-60, 60))])) for i in range(n)]
+
+
+def test_search_across_the_antimeridian(spark, join_mode):
+    probes, items = around_the_line(11, 60), around_the_line(12, 300)
+    left, index = frame(spark, probes), spatial.build_index(frame(spark, items), "geom")
+    gaps = {i: [hav(s[1][0], t[1][0]) for _, _, t in items] for i, _, s in probes}
+    closest = {r.id: r.m for r in spatial.nearest(left, index, "id", "geom", "m").collect()}
+    assert closest == {i: pytest.approx(min(g), rel=1e-9, abs=1e-5) for i, g in gaps.items()}
+    for metres in (50_000.0, 900_000.0):
+        near = {r.id: r.n for r in spatial.count_within(left, index, "id", "geom", metres, "n").collect()}
+        assert near == {i: sum(g < metres for g in gs) for i, gs in gaps.items()}
+
+
+def test_point_to_line_across_the_antimeridian(spark):
+    rows = [(1, ("line", [(-179.9, 10.0), (-179.5, 10.0)]), ("point", [(179.9, 10.0)]))]
+    data = [(i, (a[0], a[1]), (b[0], b[1])) for i, a, b in rows]
+    df = spark.createDataFrame(data, f"id int, a {G.GEOMETRY_TYPE}, b {G.GEOMETRY_TYPE}")
+    metres = df.select(G.distance("a", "b").alias("m")).first().m
+    assert metres == pytest.approx(hav((179.9, 10.0), (-179.9, 10.0)), rel=1e-3)
+
+
+def test_rows_without_a_shape(spark, join_mode):
+    left = frame(spark, shapes(7, 20, ("line",))).unionByName(spark.createDataFrame([(99, "k0", None)], f"id int, k string, geom {G.GEOMETRY_TYPE}"))
+    items = frame(spark, shapes(8, 40, ("point",))).unionByName(spark.createDataFrame([(99, "k0", None)], f"id int, k string, geom {G.GEOMETRY_TYPE}"))
+    index = spatial.build_index(items, "geom")
+    near = {r.id: r.n for r in spatial.count_within(left, index, "id", "geom", 1e7, "n").collect()}
+    assert near[99] == 0 and near[0] == 45
+    closest = {r.id: r.m for r in spatial.nearest(left, index, "id", "geom", "m").collect()}
+    assert closest[99] is None and closest[0] is not None
+    assert 99 not in {r.id for r in spatial.intersecting(left, index, "id", "geom").collect()}
+
+
+def test_cells_are_cut_by_their_own_crowding(spark):
+    """A cluster a millionth of a degree wide in a wide extent, and a spot with several shapes on one centre."""
+    cluster = spark.range(20_000).selectExpr("-92 + id % 150 * 1e-8 AS lon", "39 + floor(id / 150) * 1e-8 AS lat")
+    wide = spark.createDataFrame([(-170.0, -60.0), (170.0, 60.0)], "lon double, lat double")
+    spot = spark.range(40).select(G.line(("-50D - id", "10D"), ("-50D + id", "10D")).alias("geom"))
+    items = cluster.unionByName(wide).select(G.point("lon", "lat").alias("geom")).unionByName(spot)
+    index = spatial.build_index(items, "geom")
+    sizes = index.leaves.groupBy("cell").agg(F.count("*").alias("n"), F.min(F.expr("x0 + x1")).alias("low"), F.max(F.expr("x0 + x1")).alias("high"))
+    assert sizes.filter("n > 16 AND low < high").count() == 0
+    assert sizes.agg(F.sum("n")).first()[0] == 20_042
+    assert index.depth <= 8
+
+
 def test_crowded_items_are_counted_by_cell(spark):
     """Far more items in reach than are looked at one by one."""
     items = spark.range(20_000).selectExpr("id", "-92 + pmod(id, 141) * 1e-5 AS lon", "39 + pmod(id * 7, 149) * 1e-5 AS lat")

@@ -1,13 +1,15 @@
 from __future__ import annotations
 
+import os
 from datetime import date, datetime
 from decimal import Decimal
 
 import pytest
 from conftest import plan_of
+from pyspark.sql import functions as F
 
 from tessera.plans import costs, star
-from tessera.session import scratch_root
+from tessera.session import materialise, scratch, scratch_root
 from tessera.sources.writers import scratch_database
 
 
@@ -59,6 +61,12 @@ def test_intervals(spark):
     ]
 
 
+def test_intervals_of_a_missing_unit(spark):
+    rows = [(None, datetime(2024, 1, 1)), (None, datetime(2024, 1, 4))]
+    result = star.scd2_intervals(spark.createDataFrame(rows, "unit string, since timestamp"), ["unit"], "since").orderBy("since").collect()
+    assert [(r.effective_to and r.effective_to.day, r.is_current) for r in result] == [(4, False), (None, True)]
+
+
 LINES = "full_date date, product_id long, batch_id long, facility_id long, cost_category string, actual_cents long, standard_cents long, units_produced int"
 
 
@@ -75,13 +83,37 @@ def lines(spark):
 
 
 def test_fact(lines):
-    rows = costs.cost_fact(lines).orderBy("material_cost_id").collect()
-    assert [(r.material_cost_id, r.batch_id, r.cost_category_id, r.actual_cost, r.cost_variance, r.variance_percent, r.units_produced) for r in rows] == [
-        (1, 10, 1, Decimal("116.00"), Decimal("16.00"), Decimal("16.00"), 5),
-        (2, 10, 2, Decimal("30.00"), Decimal("10.00"), Decimal("50.00"), 5),
-        (3, 11, 4, Decimal("7.00"), Decimal("7.00"), None, 0),
+    fact = costs.cost_fact(lines)
+    rows = fact.orderBy("batch_id", "cost_category_id").collect()
+    assert [(r.batch_id, r.cost_category_id, r.actual_cost, r.cost_variance, r.variance_percent, r.units_produced) for r in rows] == [
+        (10, 1, Decimal("116.00"), Decimal("16.00"), Decimal("16.00"), 5),
+        (10, 2, Decimal("30.00"), Decimal("10.00"), Decimal("50.00"), 5),
+        (11, 4, Decimal("7.00"), Decimal("7.00"), None, 0),
     ]
     assert rows[0].date_id == 20240304
+    assert len({r.material_cost_id for r in rows}) == 3
+    assert "rangepartitioning" not in plan_of(fact)
+
+
+def test_required_values(spark, lines):
+    batch = spark.createDataFrame([(1, 2, "F", 5, 4, 0, None)], "batch_id long, facility_id long, batch_status string, planned_quantity int, actual_quantity int, qa_hold_days int, rework_hours decimal(10,2)")
+    database = scratch_database(spark)
+    assert costs.write_dimension(batch, "dim_batch", database).count() == 1
+    with pytest.raises(Exception, match="facility_id is required"):
+        costs.write_dimension(batch.withColumn("facility_id", F.lit(None).cast("long")), "dim_batch", database)
+    with pytest.raises(Exception, match="date_id is required"):
+        costs.cost_fact(lines.withColumn("full_date", F.lit(None).cast("date"))).collect()
+
+
+def test_release_leaves_nothing_behind(spark):
+    root = scratch_root(spark)
+    with scratch(spark):
+        database = scratch_database(spark)
+        spark.range(3).write.saveAsTable(f"{database}.kept")
+        materialise(spark.range(5).toDF("n"), "numbers").count()
+        assert os.listdir(root)
+    assert not spark.catalog.databaseExists(database)
+    assert not [f for f in os.listdir(root) if f.startswith(("numbers", "tessera_"))]
 
 
 def test_units_count_once_per_batch(lines):
