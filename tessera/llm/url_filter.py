@@ -44,6 +44,8 @@ class Rule:
 def rule_for(host: str, path: str, rules: list[Rule]) -> Column:
     """``struct<rule, verdict>`` of the longest rule that fits the columns, NULL without any. The rules are a short
     list of the caller and travel inside the plan."""
+    if not rules:
+        return F.expr("CAST(NULL AS STRUCT<rule: STRING, verdict: STRING>)")
     ordered = sorted(rules, key=lambda r: (-len(r.text), r.text))
 
     def text(value: str) -> str:
@@ -58,9 +60,10 @@ def grams(host: str, path: str) -> Column:
     """The n-grams of both parts, each part between marks of its own."""
 
     def cut(part: str, mark: str) -> str:
-        whole = f"concat('{mark}', {part}, '{mark}')"
-        runs = [f"transform(sequence(1, greatest(length({whole}) - {n - 1}, 1)), _i -> concat('{mark}', substr({whole}, _i, {n})))" for n in GRAMS]
-        return f"IF({part} = '', array(), concat({', '.join(runs)}))"
+        # The characters are bound once by the outer transform, so long parts cost no more per n-gram than short ones.
+        runs = [f"transform(sequence(1, greatest(size(_c) - {n - 1}, 1)), _i -> concat('{mark}', array_join(slice(_c, _i, {n}), '')))" for n in GRAMS]
+        characters = f"split(concat('{mark}', {part}, '{mark}'), '')"
+        return f"IF({part} = '', array(), flatten(transform(array({characters}), _c -> concat({', '.join(runs)}))))"
 
     return F.expr(f"concat({cut(host, '^')}, {cut(path, '$')})")
 
@@ -72,11 +75,10 @@ _GOOD = "thther tionsh ononed erther hetion news library museum garden recipes w
 
 def labelled_urls(spark: SparkSession) -> DataFrame:
     """A small labelled table: every listed host below the usual prefixes, domains and paths."""
-    rows = [(h, float(label)) for label, hosts in ((1, _BAD), (0, _GOOD)) for h in hosts.split()]
-    hosts = spark.createDataFrame(rows, "name string, label double")
-    return hosts.selectExpr("*", "explode(array('', 'www.', 'm.', 'blog.')) AS prefix", "row_number() OVER (ORDER BY name) AS n").selectExpr(
-        "*", "explode(array('com', 'net', 'org')) AS domain"
-    ).selectExpr(
+    rows = [(h, label) for label, hosts in ((1, _BAD), (0, _GOOD)) for h in hosts.split()]
+    hosts = ", ".join(f"struct('{h}' AS name, {label}D AS label, {n} AS n)" for n, (h, label) in enumerate(sorted(rows), 1))
+    prefixes = spark.range(1).selectExpr(f"inline(array({hosts}))").selectExpr("*", "explode(array('', 'www.', 'm.', 'blog.')) AS prefix")
+    return prefixes.selectExpr("*", "explode(array('com', 'net', 'org')) AS domain").selectExpr(
         "concat('https://', prefix, name, '.example.', domain, '/', element_at(array('en', 'fr', 'de', 'es'), CAST(pmod(n * 7 + length(domain || prefix), 4) + 1 AS INT)),"
         " '/', n * 37 + length(prefix), IF(n % 3 = 0, '.html', IF(n % 3 = 1, '/', ''))) AS url",
         "label",
