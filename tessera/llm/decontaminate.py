@@ -3,8 +3,8 @@
 The items form a BM25 inverted index; every passage of every document is a query against it. Scores are divided by
 the score an item gets for its own text, so one threshold serves all items, and all items above it are retrieved.
 Postings lie in blocks of items with the largest score of a term per block: the lists of common terms are not
-walked but bounded by their block maxima, and only items that can still reach the threshold are scored in full
-(block-max pruning, which loses nothing). What is retrieved is then verified: five-word shingles of the question
+walked but bounded by their block maxima, and only passages in which a block can still reach the threshold are
+scored in full (block-max pruning, which loses nothing). What is retrieved is then verified: five-word shingles of the question
 part and of the answer part must both be found in the passage.
 
 Passages are as long as two of the longest items and start every longest item, so each stretch as long as an item
@@ -38,8 +38,8 @@ SHARD_BYTES = 16 << 20
 BLOCK = 16
 # BM25.
 K1, B = 1.2, 0.75
-# Terms in more than one item of this many are only bounded, not walked, until an item is scored in full.
-COMMON_SHARE = 20
+# Terms in more than one of so many items are only bounded, not walked, until a passage is scored in full.
+COMMON_SHARE = 10
 _DENSE = 1 << 22
 
 _WORD = re.compile(r"\w+")
@@ -125,15 +125,16 @@ class Index:
         rare = found >= self.n_common
         owner, at = self.postings(found[rare])
         partial = np.bincount(passages[rare][owner] * n_items + self.items[at], self.scores[at], n_passages * n_items).reshape(n_passages, n_items)
+        # What the common terms of a passage can add to the items of a block, at most.
         bound = np.zeros((n_passages, self.block_max.shape[1]))
-        np.add.at(bound, passages[~rare], self.block_max[found[~rare]])
-        reach = partial + np.repeat(bound, BLOCK, axis=1)[:, :n_items]
-        for passage, item in zip(*np.nonzero(reach > threshold - 1e-9)):
-            inside = found[~rare & (passages == passage)]
-            _, places = self.postings(inside)
-            score = partial[passage, item] + self.scores[places][self.items[places] == item].sum()
-            if score > threshold:
-                result.append((int(passage), int(item), float(score)))
+        with_common, first = np.unique(passages[~rare], return_index=True)
+        if len(first):
+            bound[with_common] = np.add.reduceat(self.block_max[found[~rare]], first)
+        best = np.maximum.reduceat(np.pad(partial, ((0, 0), (0, -n_items % BLOCK))), np.arange(0, n_items, BLOCK), axis=1)
+        for passage in np.flatnonzero((best + bound > threshold - 1e-9).any(1)):
+            _, places = self.postings(found[~rare & (passages == passage)])
+            score = partial[passage] + np.bincount(self.items[places], self.scores[places], n_items)
+            result += [(int(passage), int(item), float(score[item])) for item in np.flatnonzero(score > threshold)]
         return result
 
     def matches(self, text: str | None, threshold: float, overlap: float) -> list[tuple[int, float, float, float]]:
