@@ -70,23 +70,23 @@ def scratch_root(spark: SparkSession) -> str:
     return own
 
 
-# What this process has made in the shared folder, by session: paths, and databases.
-_MADE: dict[int, list[str]] = {}
-_DATABASES: dict[int, list[str]] = {}
+# What this process has made in the shared folder: paths, and databases.
+_MADE: list[str] = []
+_DATABASES: list[str] = []
 
 
-def note_database(spark: SparkSession, name: str) -> None:
-    _DATABASES.setdefault(id(spark), []).append(name)
+def note_database(name: str) -> None:
+    _DATABASES.append(name)
 
 
 def release(spark: SparkSession) -> None:
-    """Deletes the intermediate tables and databases that queries of this session have left, once their results
+    """Deletes the intermediate tables and databases that queries of this process have left, once their results
     are no longer needed."""
-    for name in _DATABASES.pop(id(spark), []):
-        spark.sql(f"DROP DATABASE IF EXISTS {name} CASCADE")
+    while _DATABASES:
+        spark.sql(f"DROP DATABASE IF EXISTS {_DATABASES.pop()} CASCADE")
     configuration = spark._jsc.hadoopConfiguration()
-    for made in _MADE.pop(id(spark), []):
-        path = spark._jvm.org.apache.hadoop.fs.Path(made)
+    while _MADE:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_MADE.pop())
         path.getFileSystem(configuration).delete(path, True)
 
 
@@ -102,7 +102,7 @@ def scratch(spark: SparkSession) -> Iterator[SparkSession]:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path below the shared folder that no earlier call returned."""
     path = f"{scratch_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    _MADE.setdefault(id(spark), []).append(path)
+    _MADE.append(path)
     return path
 
 

@@ -91,8 +91,9 @@ def test_models(spark):
     table = models.model_table(source)
     assert table.count() == 2
     assert [r.id for r in models.model_view(table).collect()] == [1]
-    again = models.model_table(source.filter("id = 1"), "default.replaced_model")
-    assert models.model_table(source, "default.replaced_model").count() == 2
+    name = f"{writers.scratch_database(spark)}.replaced_model"
+    again = models.model_table(source.filter("id = 1"), name)
+    assert models.model_table(source, name).count() == 2
     assert again.columns == ["id"]
 
 
