@@ -191,7 +191,8 @@ def keep_one(docs: DataFrame, identifier: str = "doc_id", text: str = "text", sh
     chosen = narrow.join(found, "fp").filter(F.col("id") == F.col("component_id"))
     kept, rows, group = (fresh(c, docs) for c in ("__kept", "__rows", "__group"))
     names = written(chosen.groupBy(F.col("id").alias(kept)).agg(F.count("*").alias(rows)), "kept")
-    once = docs.join(names.filter(F.col(rows) == 1), name(docs) == F.col(kept), "left_semi")
+    # Sorted and merged at every size: nothing bounds the number of documents that stay.
+    once = docs.join(names.filter(F.col(rows) == 1).hint("merge"), name(docs) == F.col(kept), "left_semi")
     if names.filter(F.col(rows) > 1).isEmpty():
         return once
     again = docs.join(names.filter(F.col(rows) > 1), name(docs) == F.col(kept), "left_semi").withColumn(group, fingerprints(docs[text], shingle))
