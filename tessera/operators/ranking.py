@@ -109,10 +109,12 @@ def percent_rank(df: DataFrame, criteria: list[Criterion]) -> DataFrame:
     below, sizes = _values_below(rows, names, kinds)
     few = [c for c in criteria if sizes.get(c.out, 0) <= BROADCAST_ROWS]
     many = [c for c in criteria if c not in few]
-    for c in few:
+    # A single criterion with many values shuffles the wide rows once in any case.
+    direct = few + many if len(many) == 1 else few
+    for c in direct:
         lookup = _percents(below.filter(F.col("criterion") == c.out), c, kinds[c.out]).selectExpr(f"{_slot(kinds[c.out])} AS __value", c.out)
-        rows = rows.join(F.broadcast(lookup), F.col(names[c.out]).eqNullSafe(F.col("__value")), "left").drop("__value")
-    if many:
+        rows = rows.join(F.broadcast(lookup) if c in few else lookup, F.col(names[c.out]).eqNullSafe(F.col("__value")), "left").drop("__value")
+    if len(many) > 1:
         rows = _fetched(rows, below, many, names, kinds)
     return rows.select(*df.columns, *names)
 

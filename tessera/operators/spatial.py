@@ -58,7 +58,8 @@ def build_index(items: DataFrame, geom: str, key: str | None = None) -> ShapeInd
         here = here.select("key", "cell", "shape", "weight", *G.SIDES)
         leaves = here if leaves is None else leaves.unionByName(here)
         if ended:
-            return ShapeIndex(levels, leaves)
+            # Written, so that it is worked out once and its size is known.
+            return ShapeIndex(levels, materialise(leaves, "leaves"))
         share = {a: f"coalesce(try_divide({c} - min_{a}, max_{a} - min_{a}), 0D)" for a, c in _CENTRE.items()}
         slot = " + ".join(f"{n} * least(CAST(floor({share[a]} * {_CUTS}) AS INT), {_CUTS - 1})" for n, a in ((1, "lon"), (_CUTS, "lat")))
         below = placed.join(crowded, ["key", "cell"]).selectExpr(
