@@ -1,12 +1,12 @@
 """Finds credentials in texts and removes false positives with a random forest.
 
-Candidates are the words with a run of at least ``LEAST`` key characters that has a digit. Each is described by its
-length, the transitions between character classes inside it, the share covered by dictionary words, the path it
-comes from and the words around it. Spark's own random forest, trained from labelled findings, decides which
-candidates are secrets. All of it is SQL expressions and JVM work.
+Candidates are all runs of at least ``LEAST`` key characters that have a digit, however many a word has. Each is
+described by its length, the transitions between character classes inside it, the share covered by dictionary words,
+the path it comes from, the words around it and what its own word has next to it. Spark's own random forest, trained
+from labelled findings, decides which candidates are secrets. All of it is SQL expressions and JVM work.
 
-Defined cases: NULL and empty texts have no candidates. A NULL path is an empty one. Positions count words from 0;
-repeated rows give their findings once each. Labelled findings with NULL label or text are left out; without both
+Defined cases: NULL and empty texts have no candidates. A NULL path is an empty one. Positions count words from 0, and
+candidates of one word share its position; repeated rows give their findings once each. Labelled findings with NULL label or text are left out; without both
 kinds of label every candidate counts as a secret. Extra columns are not read.
 """
 
@@ -21,6 +21,8 @@ from pyspark.sql import functions as F
 LEAST = 12
 TREES, DEPTH, SEED = 30, 6, 7
 MOST_LABELLED = 20_000
+# Characters of the words before that a later run of a word keeps: they would be copied for every run of a long one.
+CONTEXT = 200
 
 _SPACE = r"[\x20\x09-\x0D]+"
 _KEY = r"[A-Za-z0-9_+/=.@-]{12,}"
@@ -36,6 +38,7 @@ DICTIONARY = (
     "title token topic town track travel true update url user value version video view water web week welcome work world write year your"
 ).split()
 _HINT = r"(?i)(token|secret|passw|api.?key|apikey|\bkey\b|credential|bearer|auth)"
+_NAMED = r"(?i)^[a-z_]*(token|secret|passw|key)[a-z_]*[=:]"
 _DECOY = r"(?i)(commit|sha|md5|checksum|digest|uuid|example|sample|placeholder|mail|phone|isbn|call|version)"
 _TEST_PATH = r"(?i)(^|[/._-])(tests?|examples?|samples?|docs?|mocks?|fixtures?)([/._-]|$)"
 
@@ -45,7 +48,9 @@ FEATURES = (
 
 
 def candidates(docs: DataFrame, identifier: str = "doc_id", text: str = "text", path: Column | None = None) -> DataFrame:
-    """``id, path, position, candidate, word, before, after`` for every candidate."""
+    """``id, path, position, candidate, word, before, after`` for every candidate: ``word`` is the run with what stands
+    between it and its neighbours in the word, ``before`` ends with what precedes the run in the word, from the run
+    before it on."""
     own = docs.select(F.col(identifier).alias("id"), F.coalesce(path if path is not None else F.lit(""), F.lit("")).cast("string").alias("path"), F.col(text).alias("text"))
     # Bound once per text by the outer transform, so the text is cut once.
     picked = f"filter(sequence(0, size(_w) - 1), _i -> length(_w[_i]) >= {LEAST} AND _w[_i] RLIKE '[0-9]')"
@@ -53,9 +58,15 @@ def candidates(docs: DataFrame, identifier: str = "doc_id", text: str = "text",
         "struct(_i AS position, _w[_i] AS word, concat_ws(' ', get(_w, _i - 3), get(_w, _i - 2), get(_w, _i - 1)) AS before, coalesce(get(_w, _i + 1), '') AS after)"
     )
     cut = f"split(text, '{_SPACE}')".replace("\\", "\\\\")
-    rows = own.filter(F.col("text").rlike("[0-9]")).selectExpr("id", "path", f"inline(flatten(transform(array({cut}), _w -> transform({picked}, _i -> {around}))))")
-    found = rows.withColumn("candidate", F.regexp_extract("word", _KEY, 0))
-    return found.filter((F.length("candidate") >= LEAST) & F.col("candidate").rlike("[0-9]"))
+    words = own.filter(F.col("text").rlike("[0-9]")).selectExpr("id", "path", f"inline(flatten(transform(array({cut}), _w -> transform({picked}, _i -> {around}))))")
+    # The gaps of a word are what its runs leave: one before each run and one behind the last.
+    cuts = words.selectExpr("id", "path", "position", "before", "after", f"regexp_extract_all(word, '{_KEY}', 0) AS runs", f"split(word, '{_KEY}', -1) AS gaps")
+    parts = (
+        "struct(_r AS candidate, concat(gaps[_k], _r, gaps[_k + 1]) AS word, "
+        f"concat_ws(' ', nullif(IF(_k = 0, before, right(before, {CONTEXT})), ''), nullif(concat(coalesce(get(runs, _k - 1), ''), gaps[_k]), '')) AS before, "
+        "IF(_k = size(runs) - 1, after, '') AS after)"
+    )
+    return cuts.selectExpr("id", "path", "position", f"inline(filter(transform(runs, (_r, _k) -> {parts}), _c -> _c.candidate RLIKE '[0-9]'))")
 
 
 def features(found: DataFrame) -> DataFrame:
@@ -81,8 +92,8 @@ def features(found: DataFrame) -> DataFrame:
         "dots": share(".") * size,
         "at": c.contains("@"),
         "quoted": F.col("word").rlike("[\"'`]"),
-        "assigned": F.col("before").rlike("[=:]$") | F.col("word").rlike("^[A-Za-z_]+[=:]"),
-        "hint_before": F.col("before").rlike(_HINT) | F.col("word").rlike("(?i)^[a-z_]*(token|secret|passw|key)[a-z_]*[=:]"),
+        "assigned": F.col("before").rlike("[=:][^A-Za-z0-9=:]*$") | F.col("word").rlike("^[A-Za-z_]+[=:]") | c.rlike("^[A-Za-z_]+="),
+        "hint_before": F.col("before").rlike(_HINT) | F.col("word").rlike(_NAMED) | c.rlike(_NAMED),
         "decoy_near": F.concat_ws(" ", "before", "after").rlike(_DECOY),
         "test_path": F.col("path").rlike(_TEST_PATH),
     }
@@ -121,8 +132,10 @@ def labelled_findings(spark: SparkSession, n: int = 1_200) -> DataFrame:
 def scan(docs: DataFrame, findings: DataFrame, identifier: str = "doc_id", text: str = "text", path: Column | None = None) -> DataFrame:
     """``identifier, position, candidate, score, is_secret`` of every candidate in ``docs``.
 
-    ``findings`` is labelled like ``labelled_findings``; at most ``MOST_LABELLED`` rows of it are learned from.
+    ``findings`` is labelled like ``labelled_findings``, where ``before`` has whole words only; at most
+    ``MOST_LABELLED`` rows of it are learned from.
     """
+    lead = F.expr("nullif(substring_index(word, candidate, 1), '')")
     known = findings.filter("label IS NOT NULL AND candidate <> ''").orderBy(F.xxhash64("word", "before"), "word", "label").limit(MOST_LABELLED)
     kinds = known.agg(F.min("label"), F.max("label")).first()
     found = features(candidates(docs, identifier, text, path))
@@ -130,6 +143,6 @@ def scan(docs: DataFrame, findings: DataFrame, identifier: str = "doc_id", text:
         scored = found.withColumn("score", F.lit(1.0))
     else:
         assemble = VectorAssembler(inputCols=list(FEATURES), outputCol="vector")
-        forest = RandomForestClassifier(featuresCol="vector", labelCol="label", numTrees=TREES, maxDepth=DEPTH, seed=SEED).fit(assemble.transform(features(known)))
+        forest = RandomForestClassifier(featuresCol="vector", labelCol="label", numTrees=TREES, maxDepth=DEPTH, seed=SEED).fit(assemble.transform(features(known.withColumn("before", F.concat_ws(" ", "before", lead)))))
         scored = forest.transform(assemble.transform(found)).withColumn("score", vector_to_array("probability")[1])
     return scored.select(F.col("id").alias(identifier), "position", "candidate", "score", (F.col("score") >= 0.5).alias("is_secret"))

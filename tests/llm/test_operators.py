@@ -391,6 +391,28 @@ def test_secrets_and_false_positives(spark):
     assert {r.doc_id for r in found} == set(range(len(docs)))
 
 
+def test_every_run_of_a_word_is_judged(spark):
+    """Compact JSON, KEY:value, URL queries, and several secrets in one word; single runs keep their surroundings."""
+    one, two, three = "9f86d081884c7d659a2feaa0c55ad015a3bf4f1b", "ghp_16C7e42F292c6912E7710c838347Ae178B4a", "24be64439e3e49cf46b2d7c90f3602a3d0b907ff"
+    texts = {
+        0: ('{"client_secret":"%s"}' % one, {one}),
+        1: ('"aws_secret_access_key":"%s",' % three, {three}),
+        2: ("AUTHORIZATION_HEADER:%s" % two, {two}),
+        3: ("see https://api.shop.net/v1/items?access_token=%s now" % two, {"//api.shop.net/v1/items", f"access_token={two}"}),
+        4: ('{"client_secret":"%s","access_token":"%s","commit_identifier":"%s"}' % (one, two, three), {one, two, three}),
+        5: ("{%s}" % ",".join('"api_key_of_service":"%040x"' % (7**40 + i) for i in range(3000)), {"%040x" % (7**40 + i) for i in range(3000)}),
+        6: ('"client_secret_name":"without-any-digit"', set()),
+    }
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in texts.items()], "doc_id bigint, text string")
+    found = secret_scan.scan(docs, secret_scan.labelled_findings(spark)).collect()
+    assert Counter((r.doc_id, r.candidate) for r in found) == Counter((i, c) for i, (_, want) in texts.items() for c in want)
+    secrets = {(r.doc_id, r.candidate) for r in found if r.is_secret}
+    assert {(0, one), (1, three), (2, two), (3, f"access_token={two}"), (4, one), (4, two)} <= secrets
+    assert (3, "//api.shop.net/v1/items") not in secrets
+    [row] = secret_scan.candidates(docs.filter("doc_id = 0")).collect()
+    assert (row.word, row.before) == ('":"%s"}' % one, 'client_secret":"')
+
+
 def test_tokens_of_the_documents(spark):
     rows = documents(spark, MIDDLE).collect()
     want = {(r.doc_id, m) for r in rows for m in re.findall(r'"([0-9a-fA-F]{40})"', r.text)}
