@@ -3,12 +3,13 @@
 Texts are cut into units: paragraphs, lines, or sentences inside lines (a sentence also starts where a capitalised
 word follows a word without a full stop and seven words in lower case come next, so that a passage put into the middle
 of a line keeps its own units, and names and German nouns mostly do not cut). Units are normalised (lower case, runs
-of white space as one blank) and hashed to 128 bits. The occurrence with the smallest rank (the document id) and
+of white space as one blank) and hashed to 128 bits. Several kinds may be compared at once, each with its own kind only;
+``WHOLE`` takes every paragraph and line that has a word, and sentences for passages inside a line. The occurrence with the smallest rank (the document id) and
 offset stays, every later one goes; offsets count characters of the original text. Only hashes, ids and offsets are
 shuffled. A unit is counted with partial sums and joined in a way adaptive execution can split, so one that a third
 of the documents share is never gathered in one place.
 
-Defined cases: units of fewer than ``min_words`` words always stay. NULL and empty texts have no units. A NULL id
+Defined cases: units of fewer words than their kind's least are not compared, and a unit without a word never is. NULL and empty texts have no units. A NULL id
 ranks after all others. Rows with equal ids count as one document: a unit at the same offset is the same occurrence,
 and all of them lose what any of them loses at an offset. Extra columns pass through ``remove`` untouched.
 """
@@ -34,6 +35,8 @@ CUTS = {
     "line": re.compile(r"(?<=\n)"),
     "sentence": re.compile(r"(?<=\n)|(?<=[.!?] )|(?<=[^\W\d_] )(?=[A-ZÀ-ÖØ-Þ][^\W\d_A-ZÀ-ÖØ-Þ]*[.,;]?(?: [a-zß-öø-ÿ][^\W_]*[.,;]?){7})"),
 }
+# Kinds of units with the least number of words, for all repeats of a text: lines and paragraphs have no floor.
+WHOLE = {"paragraph": 1, "line": 1, "sentence": MIN_WORDS}
 _UNITS = "start int, length int, a bigint, b bigint"
 _SPAN = "array<struct<start:int,end:int>>"
 
@@ -48,29 +51,32 @@ def cut(text: str, unit: str) -> Iterator[tuple[int, str]]:
         yield at, text[at:]
 
 
-def units(docs: DataFrame, rank: str, text: str = "text", unit: str = "sentence", min_words: int = MIN_WORDS) -> DataFrame:
-    """``rank, start, length, a, b`` of every unit with at least ``min_words`` words; ``a, b`` is its hash."""
+def units(docs: DataFrame, rank: str, text: str = "text", unit: str | dict[str, int] = "sentence", min_words: int = MIN_WORDS) -> DataFrame:
+    """``rank, start, length, a, b`` of every unit with at least ``min_words`` words; ``a, b`` is its hash. ``unit`` is
+    a kind, or kinds with the least number of words of each, which then have hashes of their own."""
+    kinds = {unit: min_words} if isinstance(unit, str) else unit
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             owner, starts, lengths, digests = [], [], [], []
             for row, value in enumerate(batch.column(1).to_pylist()):
-                for start, piece in cut(value or "", unit):
-                    words = piece.lower().split()
-                    if len(words) >= min_words:
-                        owner.append(row)
-                        starts.append(start)
-                        lengths.append(len(piece))
-                        digests.append(xxh3_128_digest(" ".join(words).encode("utf-8", "surrogatepass")))
+                for seed, (kind, least) in enumerate(kinds.items()):
+                    for start, piece in cut(value or "", kind):
+                        words = piece.lower().split()
+                        if len(words) >= max(least, 1):
+                            owner.append(row)
+                            starts.append(start)
+                            lengths.append(len(piece))
+                            digests.append(xxh3_128_digest(" ".join(words).encode("utf-8", "surrogatepass"), seed))
             halves = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2)
             columns = [batch.column(0).take(pa.array(owner, pa.int64())), pa.array(starts, pa.int32()), pa.array(lengths, pa.int32())]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(halves[:, 0]), pa.array(halves[:, 1])], ["rank", "start", "length", "a", "b"])
 
-    kind = docs.schema[rank].dataType.simpleString()
-    return docs.select(F.col(rank).alias("rank"), F.col(text).alias("text")).mapInArrow(run, f"rank {kind}, {_UNITS}")
+    type_ = docs.schema[rank].dataType.simpleString()
+    return docs.select(F.col(rank).alias("rank"), F.col(text).alias("text")).mapInArrow(run, f"rank {type_}, {_UNITS}")
 
 
-def repeats(docs: DataFrame, rank: str = "doc_id", text: str = "text", unit: str = "sentence", min_words: int = MIN_WORDS) -> DataFrame:
+def repeats(docs: DataFrame, rank: str = "doc_id", text: str = "text", unit: str | dict[str, int] = "sentence", min_words: int = MIN_WORDS) -> DataFrame:
     """``rank, start, length`` of every occurrence after the first."""
     found = written(units(docs, rank, text, unit, min_words), "units")
     place = F.struct(F.col("rank").isNull().alias("last"), F.col("rank").alias("rank"), F.col("start").alias("start"))
@@ -81,13 +87,14 @@ def repeats(docs: DataFrame, rank: str = "doc_id", text: str = "text", unit: str
     return joined.filter(place != F.col("first")).select("rank", "start", "length")
 
 
-def spans(docs: DataFrame, rank: str = "doc_id", text: str = "text", unit: str = "sentence", min_words: int = MIN_WORDS) -> DataFrame:
-    """``rank, n_units, spans``: the number of removed units, and the removed stretches of the original text in
-    order, neighbours joined. Documents that lose nothing are left out."""
+def spans(docs: DataFrame, rank: str = "doc_id", text: str = "text", unit: str | dict[str, int] = "sentence", min_words: int = MIN_WORDS) -> DataFrame:
+    """``rank, n_units, spans``: the number of removed units (one inside another does not count), and the removed
+    stretches of the original text in order, neighbours joined. Documents that lose nothing are left out."""
     gone = repeats(docs, rank, text, unit, min_words).distinct()
     pieces = F.sort_array(F.collect_list(F.struct("start", (F.col("start") + F.col("length")).alias("end"))))
-    listed = gone.groupBy("rank").agg(F.count("*").alias("n_units"), pieces.alias("pieces"))
-    return listed.select("rank", "n_units", F.pandas_udf(_joined_all, _SPAN)("pieces").alias("spans"))
+    listed = gone.groupBy("rank").agg(pieces.alias("pieces"))
+    told = F.pandas_udf(_joined_all, f"n_units bigint, spans {_SPAN}")("pieces")
+    return listed.select("rank", told.alias("told")).select("rank", "told.n_units", "told.spans")
 
 
 def joined(pieces: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -100,8 +107,17 @@ def joined(pieces: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return result
 
 
-def _joined_all(column: pd.Series) -> pd.Series:
-    return pd.Series([[{"start": s, "end": e} for s, e in joined([(p["start"], p["end"]) for p in pieces])] for pieces in column])
+def outermost(pieces: list[tuple[int, int]]) -> int:
+    """Number of pieces that are not inside another."""
+    n, reached = 0, -1
+    for _, end in sorted(set(pieces), key=lambda p: (p[0], -p[1])):
+        n, reached = n + (end > reached), max(reached, end)
+    return n
+
+
+def _joined_all(column: pd.Series) -> pd.DataFrame:
+    rows = [[(p["start"], p["end"]) for p in pieces] for pieces in column]
+    return pd.DataFrame([(outermost(r), [{"start": s, "end": e} for s, e in joined(r)]) for r in rows], columns=["n_units", "spans"])
 
 
 def _without(texts: pd.Series, cuts: pd.Series) -> pd.Series:
@@ -119,7 +135,7 @@ def without(text: str | Column, stretches: str | Column) -> Column:
     return F.pandas_udf(_without, "string")(text, stretches)
 
 
-def remove(docs: DataFrame, rank: str = "doc_id", text: str = "text", unit: str = "sentence", min_words: int = MIN_WORDS, removed: str = "removed") -> DataFrame:
+def remove(docs: DataFrame, rank: str = "doc_id", text: str = "text", unit: str | dict[str, int] = "sentence", min_words: int = MIN_WORDS, removed: str = "removed") -> DataFrame:
     """``docs`` without the repeated units, and the removed stretches as ``removed`` (NULL: nothing)."""
     key, gone = fresh("__rank", docs), fresh(removed, docs)
     found = written(spans(docs, rank, text, unit, min_words), "spans").select(F.col("rank").alias(key), F.col("spans").alias(gone))

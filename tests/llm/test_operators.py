@@ -312,6 +312,43 @@ def test_a_passage_put_into_a_line_is_found(spark):
     assert texts[1] == docs[0][1] and texts[2] == "Quite another start With another end."
 
 
+def repeated_words(rows, cuts):
+    """Places of the words of all lines (or paragraphs) that stand further ahead as well, by plain splitting."""
+    gone = {}
+    for separator in cuts:
+        seen = set()
+        for i, text in sorted(rows):
+            edges = [0, *(x for m in re.finditer(separator, text) for x in m.span()), len(text)]
+            for start, end in zip(edges[::2], edges[1::2]):
+                key = " ".join(text[start:end].lower().split())
+                if key and key in seen:
+                    gone.setdefault(i, set()).update(k for k in range(start, end) if not text[k].isspace())
+                seen.add(key)
+    return gone
+
+
+def places(rows, spans):
+    found = {i: {k for a, b in spans.get(i, []) for k in range(a, b) if not t[k].isspace()} for i, t in rows}
+    return {i: s for i, s in found.items() if s}
+
+
+def test_all_repeated_lines_and_paragraphs_go(spark):
+    short = [(1, "Home\n\nOne two three.\nHome\n"), (2, "home \n\nNew here\nOne  TWO three.\n\n \n"), (3, "kept\nlast\n\nOne two\nthree four"), (4, "One two three\nfour\n\nkept too")]
+    lines, paragraphs = r"\n", r"\n(?:[ \t\r]*\n)+"
+    for rows in (short, [(r.doc_id, r.text) for r in documents(spark).collect()]):
+        docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+        want = repeated_words(rows, [lines, paragraphs])
+        got = unit_dedup.spans(docs, unit={"paragraph": 1, "line": 1}).collect()
+        assert places(rows, {r["rank"]: r.spans for r in got}) == want and want
+        assert sum(r.n_units for r in got if rows is short) == (4 if rows is short else 0)
+        assert not unit_dedup.remove(docs.filter("doc_id = 3")).filter("removed IS NOT NULL").collect()
+    listed = {r.doc_id: [tuple(map(int, x.split("-"))) for x in r.removed.split(",") if x] for r in QUERIES["op8_unit_dedup"](spark, SMALL).collect()}
+    got = places(rows, listed)
+    assert all(words <= got[i] for i, words in want.items())
+    inside = {r["rank"]: r.spans for r in unit_dedup.spans(docs, unit="sentence").collect()}
+    assert got == {i: want.get(i, set()) | places(rows, inside).get(i, set()) for i in got}
+
+
 # 9
 
 
