@@ -6,13 +6,14 @@ Equal strings are found by an induced suffix sort, carried out in shards that no
   anchor, so equal windows have equal anchors at equal places. Neighbouring windows mostly share one, and such a run
   of windows travels as one fragment: the bytes to the left and right of the anchor that its windows cover.
 * Recurring anchors. Anchors are first counted by their hashes alone; a window whose anchor occurs in one document
-  only cannot be in another. Only fragments with recurring anchors go on.
+  only cannot be in another. Only fragments with recurring anchors go on. Anchors wait in queues by hash, which are
+  judged one after the other; the number of parts grows with the bytes of the corpus.
 * Induced sort. A shard holds all fragments whose anchors hash to it. The suffixes that start at the anchors are
   sorted with their common prefixes. Every further step moves one byte to the left: reading the tuples in order and
   appending each to the queue of the byte before it yields the order of the suffixes one byte longer, and a common
   prefix becomes one more than the least common prefix passed on the way. Where it reaches ``WIDTH``, windows are
-  equal, and all but those of the smallest document are removed. The queues go to disk beyond ``QUEUE_BYTES``, and
-  the first sort merges sorted runs from disk through a heap, so a shard may be far larger than memory.
+  equal, and all but those of the smallest document are removed. The queues of a step share ``QUEUE_BYTES`` and go
+  to disk beyond, and the first sort merges sorted runs from disk through a heap, so a shard may be far larger than memory.
 
 Equal fragments of one batch are reduced to the earliest document before they are shuffled (the others are covered
 by it), which keeps passages that very many documents share small. An anchor with more than one fragment in
@@ -47,6 +48,9 @@ HOT_SHARE = 10_000
 HOT_LEAST = 20_000
 QUEUE_BYTES = 64 << 20
 RUN_FRAGMENTS = 400_000
+# Bytes of text that a part stands for at most; there are more parts than shuffle partitions if the corpus needs them.
+PART_BYTES = 64 << 20
+_BUCKETS = 16
 _SEGMENT = 1 << 20
 _PLACE = np.uint64((1 << 21) - 1)
 _SLICE = 50_000
@@ -100,6 +104,48 @@ def _mixed(values: np.ndarray) -> np.ndarray:
     return values ^ (values >> np.uint64(29))
 
 
+# Queues ---------------------------------------------------------------------------------------
+
+
+class Room:
+    """Bytes of memory that some queues share."""
+
+    def __init__(self, left: int) -> None:
+        self.left = left
+
+
+class Queue:
+    """First in, first out, in blocks of records; what finds no room in memory goes to a file of the task."""
+
+    def __init__(self, room: Room) -> None:
+        self.room, self.size, self.blocks, self.file = room, 0, [], None
+
+    def push(self, block: np.ndarray) -> None:
+        if not len(block):
+            return
+        if block.nbytes > self.room.left:
+            self.file = self.file or tempfile.TemporaryFile()
+            at = self.file.seek(0, 2)
+            block.tofile(self.file)
+            self.blocks.append((at, len(block), block.dtype))
+        else:
+            self.room.left -= block.nbytes
+            self.size += block.nbytes
+            # A view would keep the whole array it is cut from.
+            self.blocks.append(block.copy())
+
+    def pop_all(self) -> Iterator[np.ndarray]:
+        for block in self.blocks:
+            if isinstance(block, tuple):
+                self.file.seek(block[0])
+                block = np.fromfile(self.file, block[2], block[1])
+            yield block
+        if self.file:
+            self.file.close()
+        self.room.left += self.size
+        self.blocks, self.size, self.file = [], 0, None
+
+
 # Anchors --------------------------------------------------------------------------------------
 
 
@@ -188,23 +234,57 @@ def _anchor_blobs(batch: pa.RecordBatch, parts: int) -> Iterator[tuple[int, byte
 _ANCHOR_KINDS = ("<u8", "<u4", "<i8", "<u4", "<i8", "<i8", "<u4", "<i8", "<u8")
 
 
-def _recurring(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, int]:
-    """Runs whose anchors recur, as keys of rows and runs; the most frequent anchors with their counts; all runs."""
-    parts = [np.concatenate(x) for x in zip(*(_unpack(b, *_ANCHOR_KINDS) for b in blobs))]
-    known, known_counts, keys, per_key, run, settled_keys, settled_per, settled, hashes = parts
-    keys = np.repeat(keys, per_key)
-    both = np.concatenate([hashes, known])
-    order, groups = _grouped(both)
-    sizes = np.diff(np.r_[groups, len(order)])
-    lone = len(hashes)
-    low, high = np.concatenate([keys, np.full(len(known), -_LAST)]), np.concatenate([keys, np.full(len(known), _LAST)])
-    again = np.minimum.reduceat(low[order], groups) != np.maximum.reduceat(high[order], groups) if len(order) else np.zeros(0, bool)
-    marked = order[np.repeat(again, sizes)]
-    marked = marked[marked < lone]
-    totals = np.add.reduceat(np.concatenate([np.ones(lone, np.int64), known_counts.astype(np.int64)])[order], groups) if len(order) else np.zeros(0, np.int64)
+#: An anchor of one document's run, or (``run`` -1) the number of runs of an anchor that several documents have.
+MET = np.dtype([("hash", "<u8"), ("key", "<i8"), ("run", "<i8"), ("n", "<i8")])
+
+
+def _recurring(blobs: Iterator[bytes], parts: int, budget: int = QUEUE_BYTES) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray | None]]:
+    """``key, run, n`` of a part: runs whose anchors recur, without ``n``; the most frequent anchors and all runs, with
+    key 0. Settled runs go on as they arrive, the others wait by hash in queues, which are judged one by one."""
+    room = Room(budget)
+    queues = [Queue(room) for _ in range(_BUCKETS)]
+    held, size = [], 0
+
+    def deal() -> None:
+        met = np.concatenate(held)
+        bucket = (met["hash"] // np.uint64(parts) % np.uint64(_BUCKETS)).astype(np.int64)
+        order = np.argsort(bucket, kind="stable")
+        met, cuts = met[order], np.searchsorted(bucket[order], np.arange(_BUCKETS + 1))
+        for queue, start, stop in zip(queues, cuts, cuts[1:]):
+            queue.push(met[start:stop])
+
+    for blob in blobs:
+        known, known_counts, keys, per_key, run, settled_keys, settled_per, settled, hashes = _unpack(blob, *_ANCHOR_KINDS)
+        if len(settled):
+            yield np.repeat(settled_keys, settled_per), settled, None
+        met = np.zeros(len(hashes) + len(known), MET)
+        met["hash"], met["key"][: len(hashes)] = np.concatenate([hashes, known]), np.repeat(keys, per_key)
+        met["run"], met["n"] = np.concatenate([run, np.full(len(known), -1)]), np.concatenate([np.ones(len(hashes), np.int64), known_counts])
+        held.append(met)
+        size += len(met)
+        if size >= _SEGMENT // 4:
+            deal()
+            held, size = [], 0
+    if held:
+        deal()
+        held = []
+    for queue in queues:
+        blocks = list(queue.pop_all())
+        if blocks:
+            yield from _judged(np.concatenate(blocks))
+
+
+def _judged(met: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray | None]]:
+    order, groups = _grouped(met["hash"])
+    met = met[order]
+    alone = met["run"] >= 0
+    low, high = np.where(alone, met["key"], -_LAST), np.where(alone, met["key"], _LAST)
+    again = np.minimum.reduceat(low, groups) != np.maximum.reduceat(high, groups)
+    marked = np.repeat(again, np.diff(np.r_[groups, len(met)])) & alone
+    yield met["key"][marked], met["run"][marked], None
+    totals = np.add.reduceat(met["n"], groups)
     often = totals >= HOT_LEAST
-    found = np.concatenate([keys[marked], np.repeat(settled_keys, settled_per)]), np.concatenate([run[marked], settled])
-    return *found, both[order][groups][often], totals[often], int(totals.sum())
+    yield np.zeros(often.sum() + 1, np.int64), np.r_[0, met["hash"][groups][often].view(np.int64)], np.r_[totals.sum(), totals[often]]
 
 
 def _candidates(rows: DataFrame, parts: int) -> DataFrame:
@@ -218,15 +298,15 @@ def _candidates(rows: DataFrame, parts: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array([p for p, _ in dealt], pa.int32()), pa.array([b for _, b in dealt], pa.binary())], ["part", "blob"])
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        blobs = [b for batch in batches for b in batch.column(1).to_pylist()]
-        if blobs:
-            keys, run, often, counts, total = _recurring(blobs)
+        blobs = (b.as_py() for batch in batches for b in batch.column(1))
+        for keys, run, n in _recurring(blobs, parts):
             for at in range(0, len(keys), _SEGMENT):
                 some = slice(at, at + _SEGMENT)
-                columns = [pa.array(keys[some]), pa.array(run[some]), pa.nulls(len(keys[some]), pa.int64())]
+                if n is None:
+                    columns = [pa.array(keys[some]), pa.array(run[some]), pa.nulls(len(keys[some]), pa.int64())]
+                else:
+                    columns = [pa.nulls(len(keys[some]), pa.int64()), pa.array(run[some]), pa.array(n[some])]
                 yield pa.RecordBatch.from_arrays(columns, ["key", "run", "n"])
-            stats = [pa.nulls(len(often) + 1, pa.int64()), pa.array(np.r_[0, often.view(np.int64)]), pa.array(np.r_[total, counts])]
-            yield pa.RecordBatch.from_arrays(stats, ["key", "run", "n"])
 
     dealt = rows.select("key", "text").mapInArrow(deal, "part int, blob binary")
     return dealt.repartitionById(parts, F.col("part")).mapInArrow(meet, "key bigint, run bigint, n bigint")
@@ -313,35 +393,6 @@ def _anchor_hashes(data: np.ndarray, places: np.ndarray) -> np.ndarray:
 # Induced sort ---------------------------------------------------------------------------------
 
 
-class Queue:
-    """First in, first out, in blocks of suffixes; beyond its budget blocks go to a file of the task."""
-
-    def __init__(self, budget: int = QUEUE_BYTES) -> None:
-        self.budget, self.size, self.blocks, self.file = budget, 0, [], None
-
-    def push(self, block: np.ndarray) -> None:
-        if not len(block):
-            return
-        if self.size + block.nbytes > self.budget:
-            self.file = self.file or tempfile.TemporaryFile()
-            at = self.file.seek(0, 2)
-            block.tofile(self.file)
-            self.blocks.append((at, len(block)))
-        else:
-            self.size += block.nbytes
-            self.blocks.append(block)
-
-    def pop_all(self) -> Iterator[np.ndarray]:
-        for block in self.blocks:
-            if isinstance(block, tuple):
-                self.file.seek(block[0])
-                block = np.fromfile(self.file, SUFFIX, block[1])
-            yield block
-        if self.file:
-            self.file.close()
-        self.blocks, self.size, self.file = [], 0, None
-
-
 def _sorted_run(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Suffixes at the anchors of some fragments in order, and their bytes from the anchor on as rows."""
     rank, row, first, lead, count, data = (np.concatenate(x) for x in zip(*(_unpack(b, *_FRAGMENT_KINDS) for b in blobs)))
@@ -444,7 +495,8 @@ def _least_between(common: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.
 def induce(order: Iterator[np.ndarray], level: int, budget: int = QUEUE_BYTES) -> Iterator[np.ndarray]:
     """The order of the suffixes one byte longer: ``level`` bytes of each are before its anchor. Suffixes whose
     fragment has no byte left end here."""
-    queues = [Queue(budget // 8) for _ in range(256)]
+    room = Room(budget)
+    queues = [Queue(room) for _ in range(256)]
     # The least common prefix since the last suffix that went to each queue; none went to an empty one.
     passed, used = np.full(256, 255, np.uint8), np.zeros(256, bool)
     for block in order:
@@ -478,15 +530,17 @@ def _blocks(order: Iterator[np.ndarray], size: int = 4 * _SLICE) -> Iterator[np.
     """The same suffixes in blocks of about ``size`` that hold whole groups of equal windows. Equal fragments of a
     batch are one, and frequent anchors are dealt out by window, so groups are far smaller than the corpus."""
     held: list[np.ndarray] = []
+    n = 0
     for block in order:
         held.append(block)
-        if sum(map(len, held)) >= size:
+        n += len(block)
+        if n >= size:
             whole = np.concatenate(held)
             ends = np.flatnonzero(whole["common"] < WIDTH)
             cut = int(ends[-1]) if len(ends) and ends[-1] else 0
             if cut:
                 yield whole[:cut]
-            held = [whole[cut:]]
+            held, n = [whole[cut:].copy()], len(whole) - cut
     if held:
         yield np.concatenate(held)
 
@@ -505,7 +559,7 @@ def covered(blobs: Iterator[bytes], run_fragments: int = RUN_FRAGMENTS, budget:
     suffix comes out when its fragment has no more bytes to the left."""
     order: Iterator[np.ndarray] = sorted_anchors(blobs, run_fragments)
     for level in range(LEFT + 1):
-        queue = Queue(budget)
+        queue = Queue(Room(budget))
         for block in _blocks(order):
             block = block.copy()
             _mark(block, level)
@@ -525,9 +579,10 @@ def removals(docs: DataFrame, identifier: str = "doc_id", text: str = "text") ->
     """``rank, row, start, gone``: in the document ``rank`` (its id, the largest number for NULL) and the row with
     the text hash ``row``, the windows ``start + i`` for every bit ``i`` of ``gone`` are to be removed."""
     spark = docs.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col(identifier).cast("bigint").alias("rank"), F.xxhash64(text).alias("row"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     keyed = rows.filter(F.octet_length("text") >= WIDTH).withColumn("key", F.xxhash64("rank", "row"))
+    n_bytes = keyed.agg(F.sum(F.octet_length("text").cast("bigint"))).first()[0] or 0
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n_bytes // PART_BYTES))
     found = written(_candidates(keyed, parts), "anchors")
     counts = found.filter("key IS NULL")
     total = counts.filter("run = 0").agg(F.sum("n")).first()[0] or 0

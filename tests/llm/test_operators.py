@@ -5,10 +5,12 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -171,6 +173,44 @@ def test_sort_beyond_memory():
     assert in_memory and collect(run_fragments=50, budget=4096) == in_memory
 
 
+def test_queues_hold_their_budget_whatever_the_bytes():
+    """One rare byte in every block keeps no block in memory, and many queues have one budget."""
+    rng = np.random.default_rng(6)
+
+    def order(n):
+        for _ in range(n):
+            block = np.zeros(20_000, suffix_dedup.SUFFIX)
+            block["lead"], block["left"][:, 0] = 5, rng.integers(100, 110, 20_000)
+            block["left"][7, 0] = 1
+            yield block
+
+    tracemalloc.start()
+    total = sum(map(len, suffix_dedup.induce(order(60), 1, 2 << 20)))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert total == 60 * 20_000 and peak < 20 << 20
+    room = suffix_dedup.Room(1 << 20)
+    queues = [suffix_dedup.Queue(room) for _ in range(64)]
+    for queue in queues:
+        queue.push(np.zeros(1000, suffix_dedup.SUFFIX))
+    assert sum(q.size for q in queues) <= 1 << 20
+
+
+def test_anchors_beyond_memory_and_more_parts(spark, monkeypatch):
+    rows = small_alphabet(7)
+    texts = [(i, t) for i, t in rows if t]
+    batches = [pa.RecordBatch.from_arrays([pa.array([i for i, _ in some]), pa.array([t for _, t in some])], ["key", "text"]) for some in (texts[:80], texts[80:])]
+    blobs = [b for batch in batches for _, b in suffix_dedup._anchor_blobs(batch, 1)]
+    collect = lambda budget: sorted((int(k), int(r), n is not None) for keys, run, n in suffix_dedup._recurring(iter(blobs), 1, budget) if n is None for k, r in zip(keys, run))
+    assert collect(0) == collect(1 << 30) and collect(0)
+    monkeypatch.setattr(suffix_dedup, "PART_BYTES", 500)
+    used, inner = [], suffix_dedup._candidates
+    monkeypatch.setattr(suffix_dedup, "_candidates", lambda rows, parts: used.append(parts) or inner(rows, parts))
+    got = suffix_dedup.report(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert Counter(map(tuple, got.collect())) == without_repeats(rows)
+    assert used[0] >= sum(len(t.encode()) for _, t in texts if len(t.encode()) >= 50) / 500
+
+
 # 3
 
 
