@@ -190,7 +190,12 @@ def keep_one(docs: DataFrame, identifier: str = "doc_id", text: str = "text", sh
     found = _rooted(narrow, radius)
     chosen = narrow.join(found, "fp").filter(F.col("id") == F.col("component_id"))
     kept, rows, group = (fresh(c, docs) for c in ("__kept", "__rows", "__group"))
-    names = written(chosen.groupBy(F.col("id").alias(kept)).agg(F.count("*").alias(rows)), "kept")
+    # A name whose rows have several fingerprints may lie in several groups, also when it is kept in one only.
+    several = narrow.groupBy("id").agg(F.count("*").alias(rows), F.min("fp").alias("low"), F.max("fp").alias("high"))
+    several = several.filter(F.col(rows) > 1).select(F.col("id").alias(group), F.when(F.col("low") == F.col("high"), F.lit(1)).otherwise(F.col(rows)).alias("spread"))
+    counted = chosen.groupBy(F.col("id").alias(kept)).agg(F.count("*").alias(rows))
+    counted = counted.join(several.hint("merge"), F.col(kept) == F.col(group), "left")
+    names = written(counted.select(kept, F.greatest(rows, "spread").alias(rows)), "kept")
     # Sorted and merged at every size: nothing bounds the number of documents that stay.
     once = docs.join(names.filter(F.col(rows) == 1).hint("merge"), name(docs) == F.col(kept), "left_semi")
     if names.filter(F.col(rows) > 1).isEmpty():

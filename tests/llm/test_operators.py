@@ -456,6 +456,13 @@ def test_one_of_each_group_stays(spark):
     assert sorted((r.doc_id or -1, r.text[:9]) for r in kept) == [(-1, "no id at "), (3, "something"), (3, "w0 w1 w2 ")]
 
 
+def test_a_name_kept_once_keeps_only_its_own_group(spark):
+    one, other = (" ".join(f"{c}{i}" for i in range(400)) for c in "ab")
+    rows = [(3, other), (5, one), (5, other), (7, one), (8, "stands alone here")]
+    kept = simhash.keep_one(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert sorted((r.doc_id, r.text[:2]) for r in kept) == [(3, "b0"), (5, "a0"), (8, "st")]
+
+
 # 10
 
 
