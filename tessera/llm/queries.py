@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import decontaminate, line_dedup, mixing, quality_classifier, quality_rules, secret_scan, simhash, suffix_dedup, unit_dedup, url_filter
+from tessera.llm import (
+    decontaminate, divergence, line_dedup, mixing, pii, quality_classifier, quality_rules, ranked_search, secret_scan, simhash, suffix_dedup, unit_dedup, url_filter,
+)
 from tessera.llm.common import table, url_host, word_count, written
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -199,3 +201,72 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan.scan(table(spark, sf_dir, "documents"), secret_scan.labelled_findings(spark))
     masked = F.concat(F.substring("candidate", 1, 4), F.lit("..."))
     return found.select("doc_id", "position", masked.alias("finding"), F.length("candidate").alias("n_chars"), "score", "is_secret")
+
+
+@query
+def op11_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every document: counts and digest of the base spans, and all spans, disguised ones included."""
+    found = table(spark, sf_dir, "documents").select("doc_id", pii.find(F.col("text")).alias("found"))
+    told = F.transform("found", lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"]))
+    base = F.filter("found", lambda s: ~s["added"])
+    counts = [F.expr(f"CAST(size(filter(found, s -> NOT s.added AND s.kind = '{kind}')) AS BIGINT) AS n_{kind}") for kind in pii.KINDS]
+    base_told = F.array_join(F.transform(base, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    return found.select(
+        "doc_id", *counts, F.sha2(base_told, 256).alias("base_sha256"), F.array_join(told, ",").alias("spans"),
+        F.size(F.filter("found", lambda s: s["added"])).cast("bigint").alias("n_added"),
+    )
+
+
+@query
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 50 documents that match each benchmark item best."""
+    return ranked_search.search(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"), most=50)
+
+
+ORACLES["op12_ranked_search"] = r"""
+WITH docs AS (
+  SELECT doc_id, row_number() OVER () AS d, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents),
+items AS (
+  SELECT DISTINCT item_id, i, term FROM (
+    SELECT item_id, row_number() OVER () AS i, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark)),
+lengths AS (SELECT d, any_value(doc_id) AS doc_id, count(*) AS n FROM docs GROUP BY d),
+totals AS (SELECT count(*) AS n_docs, sum(n)::BIGINT AS n_terms FROM lengths),
+cells AS (SELECT d, term, count(*) AS tf FROM docs WHERE term IN (SELECT term FROM items) GROUP BY d, term),
+weights AS (SELECT term, floor(1000 * ln((2 * any_value(n_docs) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM cells, totals GROUP BY term),
+scores AS (
+  SELECT item_id, i, d, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * n_docs) // n_terms))))::BIGINT AS score
+  FROM items JOIN weights USING (term) JOIN cells USING (term) JOIN lengths USING (d), totals GROUP BY item_id, i, d, doc_id)
+SELECT item_id, rank::INT AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id) AS rank FROM scores WHERE score > 0) WHERE rank <= 50"""
+
+
+@query
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How far every source is from the others of its language, and the terms that set it apart."""
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op13_source_divergence"] = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS d, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+terms AS (SELECT d, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM docs),
+kept AS (SELECT lang, term, count(*) AS of_all FROM terms GROUP BY lang, term HAVING count(DISTINCT d) >= 30),
+counts AS (SELECT lang, source, term, count(*) AS n FROM terms JOIN kept USING (lang, term) GROUP BY ALL),
+sources AS (
+  SELECT g.lang, g.source, (SELECT count(*) FROM kept k WHERE k.lang = g.lang) AS v, coalesce((SELECT sum(n) FROM counts c WHERE c.lang = g.lang AND c.source = g.source), 0) AS total,
+         coalesce((SELECT sum(of_all) FROM kept k WHERE k.lang = g.lang), 0) AS lang_total
+  FROM (SELECT DISTINCT lang, source FROM docs) g),
+shares AS (
+  SELECT s.lang, s.source, k.term, coalesce(c.n, 0) AS n,
+         1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 5)) // (s.total + 5 * s.v) AS p, 1 + (1000000000::HUGEINT * (k.of_all + 5)) // (s.lang_total + 5 * s.v) AS q
+  FROM sources s JOIN kept k USING (lang) LEFT JOIN counts c ON c.lang = s.lang AND c.source = s.source AND c.term = k.term),
+pairs AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+found AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(p.value, 0) AS value
+  FROM sources a JOIN sources b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN pairs p ON p.lang = a.lang AND p.source = a.source AND p.item = b.source
+  UNION ALL SELECT lang, source, 'term', term, p - q FROM shares WHERE n > 0 AND p > q),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM found)
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INT AS rank FROM ranked WHERE part = 'pair' OR rank <= 50"""
