@@ -94,11 +94,11 @@ def _share(count: str, total: str) -> str:
 def audit(docs: DataFrame, lang: str = "lang", source: str = "source", text: str = "text", least: int = LEAST_DOCUMENTS, top: int = TOP_TERMS) -> DataFrame:
     """``lang, source, part, item, value, rank``: how far every source is from each other source of its language
     (``pair``), and the terms that it uses more often than its language does (``term``, the first ``top``)."""
-    # Dealt by language and term once, which serves the sums of each source and of all sources.
-    dealt = term_counts(docs, lang, source, text).repartition("lang", "term")
-    by_source = dealt.groupBy("lang", "term", "source").agg(F.sum("n").alias("n"))
-    by_lang = dealt.groupBy("lang", "term").agg(F.sum("n").alias("of_all"), F.sum("docs").alias("docs")).filter(F.col("docs") >= least).drop("docs")
-    kept = written(by_source.join(by_lang, ["lang", "term"]), "kept-terms")
+    # Dealt by language and term once, which serves the sums of each source and of all of them: a term has a row per source by then.
+    counted = term_counts(docs, lang, source, text).repartition("lang", "term").groupBy("lang", "term", "source").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    of_all = "OVER (PARTITION BY lang, term)"
+    summed = counted.selectExpr("lang", "term", "source", "n", f"sum(n) {of_all} AS of_all", f"sum(docs) {of_all} AS docs")
+    kept = written(summed.filter(F.col("docs") >= least).drop("docs"), "kept-terms")
 
     named = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit("")).alias("lang"), F.coalesce(F.col(source).cast("string"), F.lit("")).alias("source")).distinct()
     sums = kept.groupBy("lang", "source").agg(F.sum("n").alias("total"))
