@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 EARTH_RADIUS_M = 6_371_008.8
@@ -76,7 +76,7 @@ def _haversine(a: str, b: str) -> str:
 
 def _short(degrees: str) -> str:
     """A difference of longitudes the short way round; one below 180 degrees stays as it is, to the last bit."""
-    return f"(({degrees}) - 360D * round(({degrees}) / 360D))"
+    return f"(({degrees}) - 360D * rint(({degrees}) / 360D))"
 
 
 def _to_edges(geom: str, other: str) -> str:
@@ -142,33 +142,116 @@ def distance(a: str, b: str) -> Column:
     )
 
 
+# End vertices as plain columns, for which distances need no arrays
+
+ENDS = ("ax", "ay", "bx", "by")
+
+
+def ends(geom: str) -> list[Column]:
+    """``spot`` (a point), ``plain`` (a point or a line of two vertices) and the first and last vertex."""
+    last = f"{geom}.pts[size({geom}.pts) - 1]"
+    vertices = [f"{geom}.pts[0].lon", f"{geom}.pts[0].lat", f"{last}.lon", f"{last}.lat"]
+    spot = f"{geom}.kind = 'point'"
+    plain = f"({spot} OR ({geom}.kind = 'line' AND size({geom}.pts) = 2))"
+    return [F.expr(f"{spot} AS spot"), F.expr(f"{plain} AS plain"), *[F.expr(f"{v} AS {n}") for v, n in zip(vertices, ENDS)]]
+
+
+def rebuilt(p: str) -> str:
+    """The geometry of a plain shape from its end columns."""
+    a, b = (f"named_struct('lon', {p}{e}x, 'lat', {p}{e}y)" for e in "ab")
+    return f"named_struct('kind', IF({p}spot, 'point', 'line'), 'pts', IF({p}spot, array({a}), array({a}, {b})))"
+
+
+def with_plain_distance(df: DataFrame, p: str, q: str, name: str) -> DataFrame:
+    """``df`` with the distance of two plain shapes, one of them a point, as ``name``; equal to ``distance`` to the last bit.
+
+    It takes three steps, so that every part is worked out once and all of it is compiled code."""
+    point_x, point_y = f"IF({q}spot, {q}ax, {p}ax)", f"IF({q}spot, {q}ay, {p}ay)"
+    edge = {e: f"IF({q}spot, {p}{e}, {q}{e})" for e in ENDS}
+    first = df.selectExpr(
+        "*", f"{point_x} AS _vx", f"{point_y} AS _vy", f"cos(radians({point_y})) AS _k", *[f"{v} AS _{e}" for e, v in edge.items()],
+    ).selectExpr(
+        "*", f"{_short('_ax - _vx')} * _k AS _x", "_ay - _vy AS _y", "(_bx - _ax) * _k AS _dx", "_by - _ay AS _dy",
+    )
+    share = "coalesce(greatest(0D, least(1D, try_divide(-(_x * _dx + _y * _dy), _dx * _dx + _dy * _dy))), 0D)"
+    second = first.selectExpr("*", f"{share} AS _t")
+    flat = f"sqrt(pow(_x + _t * _dx, 2) + pow(_y + _t * _dy, 2)) * {METRES_PER_DEGREE!r}D"
+    vertex = [f"named_struct('lon', {v}ax, 'lat', {v}ay)" for v in (p, q)]
+    both = _haversine(*vertex)
+    taken = ("_vx", "_vy", "_k", *[f"_{e}" for e in ENDS], "_x", "_y", "_dx", "_dy", "_t")
+    return second.selectExpr("*", f"IF({p}spot AND {q}spot, {both}, {flat}) AS {name}").drop(*taken)
+
+
 # Bounding boxes, given by the prefixes of their side columns
 
 
-def box_gap(p: str, q: str) -> Column:
-    """A distance no two points of the two boxes can fall below."""
-    # Either way round: between the near sides, or across the antimeridian between the far ones.
-    widest = f"greatest({p}x1 - {q}x0, {q}x1 - {p}x0)"
-    dlon = f"greatest(0D, least(greatest({p}x0 - {q}x1, {q}x0 - {p}x1), 360D - {widest}))"
+# Bounds give way by more than rounding can take.
+_SHRUNK, _GROWN = f"{1 - 1e-9!r}D - 1e-6D", f"{1 + 1e-9!r}D + 1e-6D"
+
+
+def box_gap(p: str, q: str) -> str:
+    """A distance no two points of the two boxes can fall below, as one expression."""
+    dlon = f"greatest(0D, least(greatest({p}x0 - {q}x1, {q}x0 - {p}x1), 360D - greatest({p}x1 - {q}x0, {q}x1 - {p}x0)))"
     dlat = f"greatest(0D, {p}y0 - {q}y1, {q}y0 - {p}y1)"
-    # The smallest cosine is at the latitude farthest from the equator.
     shrink = f"cos(radians(greatest(abs({p}y0), abs({p}y1), abs({q}y0), abs({q}y1))))"
-    sphere = (
-        f"{2 * EARTH_RADIUS_M!r}D * asin(sqrt(least(1D, pow(sin(radians({dlat}) / 2), 2) + pow({shrink} * sin(radians({dlon}) / 2), 2))))"
-    )
+    sphere = f"{2 * EARTH_RADIUS_M!r}D * asin(sqrt(least(1D, pow(sin(radians({dlat}) / 2), 2) + pow({shrink} * sin(radians({dlon}) / 2), 2))))"
     plane = f"{METRES_PER_DEGREE!r}D * sqrt(pow({dlat}, 2) + pow({shrink} * {dlon}, 2))"
-    return F.expr(f"least({sphere}, {plane}) * {1 - 1e-9!r}D - 1e-6D")
+    return f"(least({sphere}, {plane}) * {_SHRUNK})"
 
 
-def box_reach(p: str, q: str) -> Column:
-    """A distance no two points of the two boxes can exceed."""
-    dlon = f"greatest({p}x1 - {q}x0, {q}x1 - {p}x0)"
-    dlat = f"greatest({p}y1 - {q}y0, {q}y1 - {p}y0)"
-    south, north = f"least({p}y0, {q}y0)", f"greatest({p}y1, {q}y1)"
-    # The largest cosine is at the latitude nearest to the equator.
-    widest = f"IF({south} <= 0 AND {north} >= 0, 1D, cos(radians(least(abs({south}), abs({north})))))"
-    return F.expr(f"{METRES_PER_DEGREE!r}D * sqrt(pow({dlat}, 2) + pow({widest} * {dlon}, 2)) * {1 + 1e-9!r}D + 1e-6D")
+def with_bounds(df: DataFrame, p: str, q: str) -> DataFrame:
+    """``df`` with ``gap`` and ``reach``, the least and the largest distance of a shape of ``p`` (box and ends) from what the
+    box of ``q`` holds.
 
-
-def boxes_overlap(p: str, q: str) -> Column:
-    return F.expr(f"{p}x0 <= {q}x1 AND {q}x0 <= {p}x1 AND {p}y0 <= {q}y1 AND {q}y0 <= {p}y1")
+    Boxes bound any two shapes. A line of two vertices is also bounded by itself, however long and slanting it is: from
+    below by the way from its straight to the box, from above by the way to the centre of the box and on to a corner.
+    Distances are taken with the smallest and the largest cosine of a latitude in either box; those from a line to points
+    (``spots`` of ``q``: it holds nothing else) are taken at the points, so only the box of ``q`` matters there.
+    """
+    # Either way round: between the near sides, or across the antimeridian between the far ones.
+    wide = f"greatest({p}x1 - {q}x0, {q}x1 - {p}x0)"
+    south, north = f"least({p}y0, {q}y0)", f"greatest({p}y1, {q}y1)"
+    at_points = f"({p}plain AND NOT {p}spot AND {q}spots)"
+    south, north = f"IF({at_points}, {q}y0, {south})", f"IF({at_points}, {q}y1, {north})"
+    farthest = "greatest(abs(_south), abs(_north))"
+    nearest = "IF(_south <= 0 AND _north >= 0, 0D, least(abs(_south), abs(_north)))"
+    first = df.selectExpr("*", f"{south} AS _south", f"{north} AS _north").selectExpr(
+        "*",
+        f"cos(radians({farthest})) AS _low", f"cos(radians({nearest})) AS _high", f"{wide} AS _wide",
+        f"greatest({p}x0 - {q}x1, {q}x0 - {p}x1) AS _between",
+        f"greatest(0D, {p}y0 - {q}y1, {q}y0 - {p}y1) AS _dlat", f"greatest({p}y1 - {q}y0, {q}y1 - {p}y0) AS _tall",
+        f"greatest({p}x1, {q}x1) - least({p}x0, {q}x0) AS _span",
+        f"{p}bx - {p}ax AS _ux", f"{p}by - {p}ay AS _uy", f"({q}x0 + {q}x1) / 2 - {p}ax AS _wx", f"({q}y0 + {q}y1) / 2 - {p}ay AS _wy",
+        f"({q}x1 - {q}x0) / 2 AS _hx", f"({q}y1 - {q}y0) / 2 AS _hy",
+    )
+    second = first.selectExpr(
+        "*",
+        "greatest(0D, least(_between, 360D - _wide)) AS _dlon",
+        "sqrt(pow(_ux * _low, 2) + _uy * _uy) AS _length", "pow(_ux * _high, 2) + _uy * _uy AS _squared",
+        "_low * (abs(_ux * _wy - _uy * _wx) - abs(_uy) * _hx - abs(_ux) * _hy) AS _off",
+    ).selectExpr(
+        "*",
+        "sqrt(_dlat * _dlat + pow(_low * _dlon, 2)) AS _apart",
+        f"asin(sqrt(least(1D, pow(sin(radians(_dlat) / 2), 2) + pow(_low * sin(radians(_dlon) / 2), 2)))) * {2 * EARTH_RADIUS_M!r}D AS _sphere",
+        "IF(_squared > 0, greatest(0D, least(1D, (_ux * _wx * _high * _high + _uy * _wy) / _squared)), 0D) AS _share",
+    )
+    edge_gap = f"IF({p}plain AND _span <= 180D AND _length > 0, greatest(0D, _off / _length), 0D) * {METRES_PER_DEGREE!r}D"
+    box_reach = "sqrt(_tall * _tall + pow(_high * _wide, 2))"
+    edge_reach = "sqrt(pow((_wx - _share * _ux) * _high, 2) + pow(_wy - _share * _uy, 2)) + sqrt(pow(_high * _hx, 2) + _hy * _hy)"
+    told = second.selectExpr(
+        "*",
+        f"greatest(least(_sphere, _apart * {METRES_PER_DEGREE!r}D), {edge_gap}) * {_SHRUNK} AS gap",
+        f"IF({p}plain, least({box_reach}, {edge_reach}), {box_reach}) * {METRES_PER_DEGREE!r}D * {_GROWN} AS reach",
+    )
+    return told.select(*df.columns, "gap", "reach")
+
+
+def may_meet(p: str, q: str) -> str:
+    """Whether the boxes overlap and, where ``p`` is a line of two vertices, the line comes through the box of ``q``."""
+    overlap = f"{p}x0 <= {q}x1 AND {q}x0 <= {p}x1 AND {p}y0 <= {q}y1 AND {q}y0 <= {p}y1"
+    ux, uy = f"({p}bx - {p}ax)", f"({p}by - {p}ay)"
+    wx, wy = f"(({q}x0 + {q}x1) / 2 - {p}ax)", f"(({q}y0 + {q}y1) / 2 - {p}ay)"
+    off = f"abs({ux} * {wy} - {uy} * {wx}) - abs({uy}) * ({q}x1 - {q}x0) / 2 - abs({ux}) * ({q}y1 - {q}y0) / 2"
+    # Rounding must not part shapes that touch.
+    size = f"(abs({ux}) + abs({uy})) * (abs({wx}) + abs({wy}) + ({q}x1 - {q}x0) + ({q}y1 - {q}y0))"
+    return f"({overlap} AND (NOT {p}plain OR {p}spot OR {off} <= 1e-9D * {size}))"

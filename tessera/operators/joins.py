@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.session import materialise, sized_join
+from tessera.session import sized_join
 
 
 def _keys(df: DataFrame, on: list[str]) -> DataFrame:
@@ -36,7 +36,7 @@ def chain(first: DataFrame, *steps: tuple[DataFrame, str | list[str]]) -> DataFr
 
 def _tested(left: DataFrame, right: DataFrame, on: list[str], how: str, hot_left: bool) -> DataFrame:
     keys = _keys(right, on)
-    return sized_join(left, materialise(keys, "keys"), on, how) if hot_left else left.join(keys, on, how)
+    return sized_join(left, keys, on, how) if hot_left else left.join(keys, on, how)
 
 
 def anti(left: DataFrame, right: DataFrame, on: str | list[str], hot_left: bool = False) -> DataFrame:
@@ -86,7 +86,7 @@ def exists_flag(left: DataFrame, right: DataFrame, on: str | list[str], name: st
 def attach(detail: DataFrame, aggregate: DataFrame, on: str | list[str]) -> DataFrame:
     """Detail rows with the values of their group; the aggregate has one row per key. It is written
     first, so that it can be broadcast if it is small and a hot group can be split if it is not."""
-    return sized_join(detail, materialise(aggregate, "aggregate"), _list(on))
+    return sized_join(detail, aggregate, _list(on))
 
 
 def counts_per_key(base: DataFrame, on: str, **tables: tuple[DataFrame, str]) -> DataFrame:

@@ -10,11 +10,11 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.session import BROADCAST_ROWS, is_small, materialise, sized_join
+from tessera.session import materialise
 
 # monotonically_increasing_id() is the partition number above 33 bits of position.
 _POSITION_BITS = 33
@@ -55,9 +55,9 @@ def row_number(df: DataFrame, groups: list[str], order_by: list[Column], out: st
         F.col("__part").alias("____part"),
         (F.coalesce(F.sum("__n").over(before), F.lit(0)) - F.col("__first")).alias("__shift"),
     )
-    # There are as many starts as ranges and groups together, so only the groups need counting.
-    joined = (placed.join(F.broadcast(starts), _match(placed, starts, ["__part"])) if not groups
-              else sized_join(placed, starts, _match(placed, starts, [*groups, "__part"])))
+    # Without groups there is one start per range, which broadcasts; with groups their bytes decide.
+    starts = F.broadcast(starts) if not groups else materialise(starts, "starts")
+    joined = placed.join(starts, _match(placed, starts, [*groups, "__part"]))
     return joined.select(*df.columns, F.expr(f"__pos + __shift + 1 AS {out}"))
 
 
@@ -86,6 +86,12 @@ class Criterion:
         return F.col(self.column) if isinstance(self.column, str) else self.column
 
 
+def _broadcast_bytes(spark: SparkSession) -> int:
+    """What the planner broadcasts at most."""
+    text = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    return int(spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(text)) if not text.startswith("-") else -1
+
+
 def _common_type(data_type: T.DataType) -> str:
     if isinstance(data_type, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
         return "bigint"
@@ -107,7 +113,8 @@ def percent_rank(df: DataFrame, criteria: list[Criterion]) -> DataFrame:
     kinds = {c.out: _common_type(rows.schema[names[c.out]].dataType) for c in criteria}
     rows = rows.withColumns({names[c.out]: F.col(names[c.out]).cast(kinds[c.out]) for c in criteria})
     below, sizes = _values_below(rows, names, kinds)
-    few = [c for c in criteria if sizes.get(c.out, 0) <= BROADCAST_ROWS]
+    most = _broadcast_bytes(df.sparkSession)
+    few = [c for c in criteria if sizes.get(c.out, 0) <= most]
     many = [c for c in criteria if c not in few]
     # A single criterion with many values shuffles the wide rows once in any case.
     direct = few + many if len(many) == 1 else few
@@ -121,7 +128,7 @@ def percent_rank(df: DataFrame, criteria: list[Criterion]) -> DataFrame:
 
 def _values_below(rows: DataFrame, names: dict[str, str], kinds: dict[str, str]) -> tuple[DataFrame, dict[str, int]]:
     """For every criterion and value: its rows, the rows with smaller values, all rows, and NULL rows;
-    and for every criterion the number of its values.
+    and for every criterion the bytes of its values with their ranks.
 
     A value stands in the column of its type; the columns of the other types are NULL.
     """
@@ -136,8 +143,10 @@ def _values_below(rows: DataFrame, names: dict[str, str], kinds: dict[str, str])
     unknown = " AND ".join(f"{s} IS NULL" for s in slots.values())
     inside = "PARTITION BY criterion, __part ORDER BY __pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
     running = placed.selectExpr("*", f"coalesce(sum(n) OVER ({inside}), 0L) AS __inside")
+    # A row of a lookup holds the value and its rank.
+    width = " + ".join(f"coalesce(octet_length({s}), 0)" if kind == "string" else "8" for kind, s in slots.items())
     sums = placed.groupBy("criterion", "__part").agg(
-        F.expr("sum(n) AS __n"), F.expr(f"sum(IF({unknown}, n, 0L)) AS __nulls"), F.expr("count(*) AS __values")
+        F.expr("sum(n) AS __n"), F.expr(f"sum(IF({unknown}, n, 0L)) AS __nulls"), F.expr(f"sum(CAST({width} + 16 AS BIGINT)) AS __bytes")
     )
     before = "PARTITION BY criterion ORDER BY __part ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
     offsets = sums.selectExpr(
@@ -151,7 +160,7 @@ def _values_below(rows: DataFrame, names: dict[str, str], kinds: dict[str, str])
     below = running.join(F.broadcast(offsets), ["criterion", "__part"]).selectExpr(
         "criterion", *slots.values(), "n", "__inside + __offset AS below", "total", "nulls"
     )
-    sizes = {r.criterion: r.n for r in sums.groupBy("criterion").agg(F.expr("sum(__values) AS n")).collect()}
+    sizes = {r.criterion: r.n for r in sums.groupBy("criterion").agg(F.expr("sum(__bytes) AS n")).collect()}
     return below, sizes
 
 
@@ -189,19 +198,18 @@ def _fetched(rows: DataFrame, below: DataFrame, many: list[Criterion], names: di
     return numbered.join(gathered, "__row")
 
 
-def spaced_second(
-    df: DataFrame, group: str, rank: str, line: str, position: str, gap: float
-) -> DataFrame:
+def spaced_second(df: DataFrame, group: str, rank: str, line: str, position: str, gap: float) -> DataFrame:
     """First pick of every group, and the best other row on another line or at least ``gap`` away.
 
-    ``rank`` is the place of each row inside its group. The anchor has one row per group, and the
-    second pick is an aggregate, so no group is gathered in one place.
+    ``rank`` is the place of each row inside its group. The rows are read once, and reduced to the best one of every
+    group, line and position, which tasks combine before the shuffle: no other row can be a pick. The picks are found
+    among those. The anchor has one row per group, and the second pick is an aggregate, so no group is gathered in one place.
     """
-    first = df.filter(F.col(rank) == 1)
+    best = df.groupBy(group, line, position).agg(F.min_by(F.struct(*df.columns), rank).alias("best")).select("best.*")
+    best = materialise(best, "best")
+    first = best.filter(F.col(rank) == 1)
     anchor = first.select(F.col(group).alias("__group"), F.col(line).alias("__line"), F.col(position).alias("__position"))
-    few_groups = is_small(anchor)
-    small = F.broadcast if few_groups else lambda d: d
-    others = df.filter(F.col(rank) > 1).join(small(anchor), F.col(group) == F.col("__group"))
+    others = best.filter(F.col(rank) > 1).join(anchor, F.col(group) == F.col("__group"))
     apart = (F.col(line) != F.col("__line")) | (F.abs(F.col(position) - F.col("__position")) >= F.lit(gap))
     chosen = others.filter(apart).groupBy(group).agg(F.min(rank).alias(rank))
-    return first.unionByName(df.join(small(chosen), [group, rank], "left_semi"))
+    return first.unionByName(best.join(chosen, [group, rank], "left_semi"))

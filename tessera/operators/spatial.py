@@ -1,71 +1,93 @@
-"""Distance and intersection joins over a hierarchy of boxes.
-
-Shapes to be found are grouped into cells. A cell with more than a few shapes is cut in sixteen along the extent of
-its own centres, whatever that extent is, so a dense cluster in a wide area costs as few levels as an even spread; only
-shapes with one and the same centre stay together. A cell is known by the box around its shapes and by their number.
-Searching starts from the one cell at the top and follows only the cells that can matter, by an equi-join from cell
-to cells below. So no pair of shapes is formed outside the last cells, a crowded cell is cut down to small ones, and a
-cell that lies inside the search radius as a whole is counted without looking at its shapes. Sides are broadcast where
-the optimizer knows their size in bytes to be small.
+"""Distance and intersection joins over packed hierarchies of boxes.
+
+Shapes to be found are numbered along a space-filling curve; sixteen neighbours make a leaf, sixty-four leaves a cell,
+and so on, each with the box around what it holds and its number of items. So all levels come from one numbering, and
+every leaf is equally deep, however shapes crowd. Searching starts from the few cells at the top and follows only
+cells that can matter, by an equi-join from cell to cells below: no pair of shapes is formed outside the last cells, and
+a cell that lies inside the search radius as a whole is counted without looking at its shapes.
+
+One descent answers both questions, what is nearest and how much is near. Rows of a searched shape stay together in a
+partition, so after every level its bound for the nearest item and its count are sums over its own rows; a cell
+that is counted, or too far away, leaves the search at once. Bounds for a line of two vertices follow the line itself,
+not its box. Sides are broadcast where the planner knows their size in bytes to be small.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions import geometry as G
-from tessera.session import materialise, spread
+from tessera.operators.ranking import row_number
+from tessera.session import lanes, materialise
 
-_CROWDED = 16  # shapes in a cell that make cutting it worth while
-_CUTS = 4  # along each side
-_ABOVE = -1  # what stands above the top cell
-_TOP = 0
-_CENTRE = {"lon": "(x0 + x1) / 2", "lat": "(y0 + y1) / 2"}
+_LEAF = 16  # shapes in a leaf
+_FAN = 64  # cells in the cell above, and cells at the top at most
+_CURVE_BITS = 31
+# Masks that move the bits of a number to the even places, step by step.
+_STEPS = ((16, 0x0000FFFF0000FFFF), (8, 0x00FF00FF00FF00FF), (4, 0x0F0F0F0F0F0F0F0F), (2, 0x3333333333333333), (1, 0x5555555555555555))
+_END_COLUMNS = ("spot", "plain", *G.ENDS)
 
 
 @dataclass(frozen=True)
 class ShapeIndex:
-    levels: list[DataFrame]  # key, parent, cell, weight, shapes, sides of the box, leaf
-    leaves: DataFrame  # key, cell, shape, weight, sides
+    levels: list[DataFrame]  # from the top: key, parent, cell, weight, spots (points only), sides of the box
+    leaves: DataFrame  # key, cell, shape, weight, sides, ends
 
     @property
     def depth(self) -> int:
-        return len(self.levels) - 1
+        return len(self.levels)
 
 
 def build_index(items: DataFrame, geom: str, key: str | None = None) -> ShapeIndex | None:
     """Index of the distinct shapes per key; None when there are none."""
-    keyed = items.selectExpr(f"{key or 0} AS key", f"{geom} AS shape").dropna()
-    distinct = keyed.groupBy("key", "shape").agg(F.expr("count(*) AS weight"))
-    placed = distinct.select("*", *G.bounds("shape")).selectExpr("*", f"{_ABOVE}L AS parent", f"{_TOP}L AS cell")
-    placed = materialise(placed, "shapes")
-    if placed.isEmpty():
-        return None
+    return build_indexes({"items": (items, geom, key)})["items"]
+
+
+def build_indexes(sources: dict[str, tuple[DataFrame, str, str | None]]) -> dict[str, ShapeIndex | None]:
+    """Indexes of several (table, geometry, key), made together by one numbering."""
+    keyed = [df.selectExpr(f"'{name}' AS of", f"CAST({key or 0} AS STRING) AS key", f"{geom} AS shape").dropna() for name, (df, geom, key) in sources.items()]
+    distinct = reduce(DataFrame.unionByName, keyed).groupBy("of", "key", "shape").agg(F.expr("count(*) AS weight"))
+    placed = _on_curve(distinct.select("*", *G.bounds("shape"), *G.ends("shape")))
+    numbered = row_number(placed, ["of", "key"], [F.col(c) for c in ("curve", "ax", "ay", "shape")], "place")
+    shape = "IF(plain, NULL, shape) AS shape"
+    leaves = numbered.selectExpr("of", "key", f"(place - 1) DIV {_LEAF} AS cell", shape, "weight", *G.SIDES, *_END_COLUMNS)
+    leaves = materialise(leaves, "leaves")
+    last = {r.of: r.last for r in leaves.groupBy("of").agg(F.expr("max(cell) AS last")).collect()}
+    depths = {}
+    for name, top in last.items():
+        depths[name] = 1
+        while top >= _FAN:
+            top, depths[name] = top // _FAN, depths[name] + 1
+    if not depths:
+        return dict.fromkeys(sources)
     box = [F.expr(f"{'min' if s.endswith('0') else 'max'}({s}) AS {s}") for s in G.SIDES]
-    extent = [F.expr(f"{pick}({centre}) AS {pick}_{axis}") for axis, centre in _CENTRE.items() for pick in ("min", "max")]
-    levels, leaves = [], None
-    while True:
-        cells = placed.groupBy("key", "parent", "cell").agg(F.expr("sum(weight) AS weight"), F.expr("count(*) AS shapes"), *box, *extent)
-        leaf = f"shapes <= {_CROWDED} OR (min_lon = max_lon AND min_lat = max_lat)"
-        cells = materialise(cells.selectExpr("*", f"{leaf} AS leaf"), "cells")
-        levels.append(cells)
-        crowded = cells.filter("NOT leaf").select("key", "cell", *[f"{p}_{a}" for a in _CENTRE for p in ("min", "max")])
-        ended = crowded.isEmpty()
-        here = placed if ended else placed.join(crowded.select("key", "cell"), ["key", "cell"], "left_anti")
-        here = here.select("key", "cell", "shape", "weight", *G.SIDES)
-        leaves = here if leaves is None else leaves.unionByName(here)
-        if ended:
-            # Written, so that it is worked out once and its size is known.
-            return ShapeIndex(levels, materialise(leaves, "leaves"))
-        share = {a: f"coalesce(try_divide({c} - min_{a}, max_{a} - min_{a}), 0D)" for a, c in _CENTRE.items()}
-        slot = " + ".join(f"{n} * least(CAST(floor({share[a]} * {_CUTS}) AS INT), {_CUTS - 1})" for n, a in ((1, "lon"), (_CUTS, "lat")))
-        below = placed.join(crowded, ["key", "cell"]).selectExpr(
-            "key", "shape", "weight", *G.SIDES, "cell AS parent", f"xxhash64(cell, {slot}) AS cell"
-        )
-        placed = materialise(below, "shapes")
+    lowest = leaves.groupBy("of", "key", "cell").agg(F.expr("sum(weight) AS weight"), F.expr("bool_and(spot) AS spots"), *box)
+    deep = f"CASE of {' '.join(f'WHEN {name!r} THEN {d}' for name, d in depths.items())} END"
+    raised = lowest.selectExpr("of", "key", "weight", "spots", *G.SIDES, "cell AS low", f"explode(sequence(1, {deep})) AS level")
+    raised = raised.selectExpr("*", f"low DIV CAST(pow({_FAN}, level - 1) AS BIGINT) AS cell")
+    cells = raised.groupBy("of", "key", "level", "cell").agg(F.expr("sum(weight) AS weight"), F.expr("bool_and(spots) AS spots"), *box)
+    cells = materialise(cells.selectExpr("*", f"cell DIV {_FAN} AS parent"), "cells")
+    found = {}
+    for name in sources:
+        mine = F.col("of") == name
+        levels = [cells.filter(mine & (F.col("level") == level)) for level in range(depths.get(name, 0), 0, -1)]
+        found[name] = ShapeIndex(levels, leaves.filter(mine).drop("of")) if levels else None
+    return found
+
+
+def _on_curve(shapes: DataFrame) -> DataFrame:
+    """Adds ``curve``, the interleaved bits of the centre of the box."""
+    side = (1 << _CURVE_BITS) - 1
+    x, y = (f"CAST(greatest(0D, least({side}D, floor(({a}0 + {a}1 + {2 * half}) / {4 * half} * {side}))) AS BIGINT)" for a, half in (("x", 180), ("y", 90)))
+    moved = shapes.selectExpr("*", f"{x} AS _m", f"{y} AS _n")
+    for shift, mask in _STEPS:
+        spread = [f"(shiftleft({c}, {shift}) | {c}) & {mask}L AS {c}" for c in ("_m", "_n")]
+        moved = moved.selectExpr(*[c for c in moved.columns if c not in ("_m", "_n")], *spread)
+    return moved.selectExpr("*", "shiftleft(_n, 1) | _m AS curve").drop("_m", "_n")
 
 
 _BOX = [f"{s} AS c_{s}" for s in G.SIDES]
@@ -73,111 +95,115 @@ _BOX = [f"{s} AS c_{s}" for s in G.SIDES]
 
 def _children(cells: DataFrame) -> DataFrame:
     """Cells of a level, named by the cell above them."""
-    return cells.selectExpr("key AS c_key", "parent AS c_at", "cell AS c_cell", "leaf AS c_leaf", "weight AS c_weight", *_BOX)
+    return cells.selectExpr("key AS c_key", "parent AS c_at", "cell AS c_cell", "weight AS c_weight", "spots AS c_spots", *_BOX)
 
 
 def _shapes(index: ShapeIndex) -> DataFrame:
-    return index.leaves.selectExpr("key AS c_key", "cell AS c_at", "shape AS c_shape", "weight AS c_weight", *_BOX)
+    return index.leaves.selectExpr("key AS c_key", "cell AS c_at", "shape AS c_shape", "weight AS c_weight", *_BOX, *[f"{c} AS c_{c}" for c in _END_COLUMNS])
 
 
-def _below() -> Column:
-    return F.expr("key = c_key AND cell = c_at")
-
-
-def _bounds() -> list[Column]:
-    return [G.box_gap("", "c_").alias("gap"), G.box_reach("", "c_").alias("reach")]
+def _below(cell: str = "cell") -> Column:
+    return F.expr(f"key = c_key AND {cell} = c_at")
 
 
 def _probes(df: DataFrame, identifier: str, geom: str, key: str | None) -> DataFrame:
-    """Shapes to search for, above the top cell; rows without a shape are not searched for."""
-    shapes = spread(df.selectExpr(f"{identifier} AS id", f"{key or 0} AS key", f"{geom} AS probe").filter("probe IS NOT NULL"))
-    # A literal would turn the equi-join with the top cell into a nested loop.
-    return shapes.select("*", *G.bounds("probe"), F.expr(f"pmod(xxhash64(id), 1) + {_ABOVE}L AS cell"), F.expr("false AS done"))
+    """Shapes to search for; rows without a shape are not searched for. All rows of an id lie in one partition."""
+    # A literal would turn the equi-join with the cells at the top into a nested loop.
+    shapes = df.selectExpr(f"{identifier} AS id", f"CAST({key or f'pmod(xxhash64({identifier}), 1)'} AS STRING) AS key", f"{geom} AS probe")
+    shapes = shapes.filter("probe IS NOT NULL").repartition(lanes(df.sparkSession), "id")
+    plain = shapes.select("*", *G.bounds("probe"), *G.ends("probe"))
+    return plain.withColumn("probe", F.expr("IF(plain, NULL, probe)"))
 
 
-def _every(df: DataFrame, identifier: str, value: str) -> DataFrame:
-    """All ids, so that those without a hit or a shape are in the result."""
-    return df.selectExpr(f"{identifier} AS id", value)
+_CARRY = ("id", "key", "probe", *G.SIDES, *_END_COLUMNS)
 
 
-_CARRY = ("id", "key", "probe", *G.SIDES)
-# Cell of a row whose answer is known: no cell has it, and it differs from row to row, so that such rows spread
-# evenly in a shuffle.
-_PARKED = f"-2 - pmod(xxhash64(id), {1 << 20})"
-
+def _candidates(probes: DataFrame, index: ShapeIndex, near: str | None, seek: bool) -> DataFrame:
+    """Probes with the shapes of the leaves in which something may be near (``near``: metres as SQL) or nearest
+    (``seek``). ``counted`` is what whole cells have added for the id, ``counting`` whether the shapes of the leaf may count.
+    """
+    every = "OVER (PARTITION BY id)"
+    # Without a search for the nearest one row of every id follows the first cells, to carry the count.
+    start = ["0L AS cell", "CAST('Infinity' AS DOUBLE) AS most", "0L AS counted", f"{'true' if near else 'false'} AS counting", f"{'false' if seek else 'true'} AS carrier"]
+    rows = probes.selectExpr(*_CARRY, *start)
+    for cells in index.levels:
+        measured = G.with_bounds(rows.join(_children(cells), _below()), "", "c_").selectExpr(
+            *_CARRY, "c_cell AS cell", "most", "counted", "gap", "reach", "c_weight",
+            f"carrier AND c_cell = {_FAN} * cell AS carrier", f"counting AND gap < {near} AS counting" if near else "counting",
+            "monotonically_increasing_id() AS _row",
+        )
+        # What neither counts nor may be nearest leaves before the rows of an id are looked at together. The row number keeps the
+        # optimizer from moving the filter below the bounds, which it would have to repeat there in full.
+        open_ = measured.filter(f"(counting OR carrier{' OR gap <= most' * seek}) AND _row >= 0")
+        told = open_.selectExpr(
+            *_CARRY, "cell", "gap", "carrier",
+            f"least(most, min(reach) {every}) AS most" if seek else "most",
+            f"counted + sum(IF(counting AND reach < {near}, c_weight, 0L)) {every} AS counted" if near else "counted",
+            f"counting AND reach >= {near} AS counting" if near else "counting",
+        )
+        rows = told.filter("counting OR carrier" + " OR gap <= most" * seek).drop("gap")
+    return rows.join(_shapes(index), _below())
+
+
+def _search(df: DataFrame, index: ShapeIndex, identifier: str, geom: str, metres: float | None, seek: bool, key: str | None) -> DataFrame:
+    """``id, metres, hits`` for every id of ``df``."""
+    near = f"{float(metres)!r}D" if metres is not None else None
+    pairs = _candidates(_probes(df, identifier, geom, key), index, near, seek)
+    quick = G.with_plain_distance(pairs, "", "c_", "quick")
+    # Other shapes are worth the long way only where their boxes leave it open.
+    shapes = [f"IF({p}plain, {G.rebuilt(p)}, {g})" for p, g in (("", "probe"), ("c_", "c_shape"))]
+    wanted = [f"counting AND slack < {near}"] * bool(near) + ["slack <= most"] * seek
+    slack = quick.selectExpr("*", "(plain AND c_plain AND (spot OR c_spot)) AS _quick").selectExpr(
+        "id", "counted", "counting", "c_weight", "quick", f"IF(_quick, NULL, {G.box_gap('', 'c_')}) AS slack", "most", "_quick",
+        *[f"IF(_quick, NULL, {s}) AS {n}" for s, n in zip(shapes, ("_p", "_q"))],
+    )
+    long_way = F.when(F.expr(" OR ".join(wanted)), G.distance("_p", "_q"))
+    exact = slack.select("id", "counted", "counting", "c_weight", F.when(F.col("_quick"), F.col("quick")).otherwise(long_way).alias("metres"))
+    hits = exact.selectExpr("id", "metres", "counted", f"IF(counting AND metres < {near}, c_weight, 0L) AS hits" if near else "0L AS hits")
+    # All ids, so that those without a hit or a shape are in the result.
+    told = hits.groupBy("id").agg(F.expr("min(metres) AS metres"), F.expr("max(counted) + sum(hits) AS hits"))
+    return df.selectExpr(f"{identifier} AS id").distinct().join(told, "id", "left").selectExpr(f"id AS {identifier}", "metres", "coalesce(hits, 0L) AS hits")
+
+
+def nearest_and_count(df: DataFrame, index: ShapeIndex | None, identifier: str, geom: str, metres: float, closest: str, near: str, key: str | None = None) -> DataFrame:
+    """For every id of ``df`` the distance to the nearest indexed item in metres (NULL without any) as ``closest``, and the
+    number of items nearer than ``metres`` as ``near``, from one search.
+
+    With ``key``, the column that goes with the key of the index, only items of the same key are looked at.
+    """
+    if index is None:
+        return df.selectExpr(identifier, f"CAST(NULL AS DOUBLE) AS {closest}", f"0L AS {near}").distinct()
+    return _search(df, index, identifier, geom, metres, True, key).selectExpr(identifier, f"metres AS {closest}", f"hits AS {near}")
 
-def count_within(
-    df: DataFrame, index: ShapeIndex | None, identifier: str, geom: str, metres: float, out: str, key: str | None = None
-) -> DataFrame:
-    """For every id of ``df`` the number of indexed items nearer than ``metres``, 0 without any.
 
-    With ``key``, the column that goes with the key of the index, only items of the same key count.
-    """
+def count_within(df: DataFrame, index: ShapeIndex | None, identifier: str, geom: str, metres: float, out: str, key: str | None = None) -> DataFrame:
+    """For every id of ``df`` the number of indexed items nearer than ``metres``, 0 without any."""
     if index is None:
-        return df.selectExpr(f"{identifier} AS {identifier}", f"0L AS {out}").distinct()
-    near = f"{float(metres)!r}D"
-    # ``settled`` is the weight of a cell counted as a whole; such a row goes on without its shape.
-    rows = _probes(df, identifier, geom, key).selectExpr("*", "CAST(NULL AS BIGINT) AS settled")
-    for cells in index.levels:
-        joined = rows.join(_children(cells), _below(), "left").select("*", *_bounds())
-        open_ = "(settled IS NULL AND NOT done)"
-        kept = joined.filter(F.expr(f"NOT {open_} OR gap < {near}"))
-        inside = f"({open_} AND reach < {near})"
-        light = f"(settled IS NOT NULL OR {inside})"
-        rows = kept.selectExpr(
-            "id",
-            "key",
-            *[f"IF({light}, NULL, {c}) AS {c}" for c in ("probe", *G.SIDES)],
-            f"CASE WHEN {light} THEN {_PARKED} WHEN done THEN cell ELSE c_cell END AS cell",
-            "IF(done, done, coalesce(c_leaf, false)) AS done",
-            f"IF({inside}, c_weight, settled) AS settled",
-        )
-    joined = rows.join(_shapes(index), _below(), "left").select("id", "settled", "c_weight", "probe", "c_shape", *_bounds())
-    # The exact distance is worked out only where the boxes leave it open.
-    open_ = F.expr(f"settled IS NULL AND reach >= {near} AND gap < {near}")
-    measured = joined.select("id", "settled", "c_weight", "reach", F.when(open_, G.distance("probe", "c_shape")).alias("metres"))
-    hits = measured.selectExpr("id", f"coalesce(settled, IF(reach < {near} OR metres < {near}, c_weight, 0L)) AS hits")
-    counted = hits.unionByName(_every(df, identifier, "0L AS hits"))
-    return counted.groupBy(F.col("id").alias(identifier)).agg(F.expr(f"sum(hits) AS {out}"))
+        return df.selectExpr(identifier, f"0L AS {out}").distinct()
+    return _search(df, index, identifier, geom, metres, False, key).selectExpr(identifier, f"hits AS {out}")
 
 
 def nearest(df: DataFrame, index: ShapeIndex | None, identifier: str, geom: str, out: str, key: str | None = None) -> DataFrame:
-    """For every id of ``df`` the distance to the nearest indexed item in metres, NULL without any.
-
-    First every id follows the one cell that promises most down to a leaf; the nearest item there bounds the answer.
-    Then all cells within that bound are searched.
-    """
+    """For every id of ``df`` the distance to the nearest indexed item in metres, NULL without any."""
     if index is None:
-        return df.selectExpr(f"{identifier} AS {identifier}", f"CAST(NULL AS DOUBLE) AS {out}").distinct()
-    probes = _probes(df, identifier, geom, key)
-    rows = probes
-    for cells in index.levels:
-        joined = rows.join(_children(cells), _below(), "left").select("*", *_bounds())
-        step = joined.selectExpr(*_CARRY, "coalesce(c_cell, cell) AS cell", "coalesce(c_leaf, done) AS done", "reach")
-        best = step.groupBy("id").agg(F.min_by(F.struct(*_CARRY[1:], "cell", "done"), F.coalesce("reach", F.lit(0.0))).alias("best"))
-        rows = best.select("id", "best.*")
-    first = rows.join(_shapes(index), _below()).select("id", G.distance("probe", "c_shape").alias("metres"))
-    limits = first.groupBy(F.col("id").alias("of")).agg(F.min("metres").alias("most"))
-    rows = probes.join(limits, F.col("id") == F.col("of")).drop("of")
+        return df.selectExpr(identifier, f"CAST(NULL AS DOUBLE) AS {out}").distinct()
+    return _search(df, index, identifier, geom, None, True, key).selectExpr(identifier, f"metres AS {out}")
+
+
+def meeting_candidates(df: DataFrame, index: ShapeIndex, identifier: str, geom: str, key: str | None = None) -> DataFrame:
+    """Probes with the shapes that they may meet, judged by boxes and by lines against boxes from either side."""
+    rows = _probes(df, identifier, geom, key).withColumn("cell", F.lit(0).cast("bigint"))
     for cells in index.levels:
-        joined = rows.join(_children(cells), _below(), "left").select("*", *_bounds())
-        kept = joined.filter("done OR gap <= most")
-        rows = kept.selectExpr(*_CARRY, "most", "IF(done, cell, c_cell) AS cell", "IF(done, done, c_leaf) AS done")
-    joined = rows.join(_shapes(index), _below()).select("*", *_bounds()).filter("gap <= most")
-    measured = joined.select("id", G.distance("probe", "c_shape").alias("metres"))
-    measured = measured.unionByName(_every(df, identifier, "CAST(NULL AS DOUBLE) AS metres"))
-    return measured.groupBy(F.col("id").alias(identifier)).agg(F.expr(f"min(metres) AS {out}"))
+        joined = rows.join(_children(cells), _below() & F.expr(G.may_meet("", "c_")))
+        rows = joined.selectExpr(*_CARRY, "c_cell AS cell")
+    return rows.join(_shapes(index), _below() & F.expr(f"{G.may_meet('', 'c_')} AND {G.may_meet('c_', '')}"))
 
 
 def intersecting(df: DataFrame, index: ShapeIndex | None, identifier: str, geom: str, key: str | None = None) -> DataFrame:
     """The ids of ``df`` whose shape meets at least one indexed item."""
     if index is None:
         return df.select(identifier).limit(0)
-    rows = _probes(df, identifier, geom, key)
-    touch = G.boxes_overlap("", "c_")
-    for cells in index.levels:
-        joined = rows.join(_children(cells), _below() & touch, "left").filter("done OR c_cell IS NOT NULL")
-        rows = joined.selectExpr(*_CARRY, "IF(done, cell, c_cell) AS cell", "IF(done, done, c_leaf) AS done")
-    # A semi join stops at the first hit.
-    hits = rows.join(_shapes(index), _below() & touch & G.intersects("probe", "c_shape"), "left_semi")
+    pairs = meeting_candidates(df, index, identifier, geom, key)
+    shapes = [f"IF({p}plain, {G.rebuilt(p)}, {g}) AS {n}" for p, g, n in (("", "probe", "_p"), ("c_", "c_shape", "_q"))]
+    hits = pairs.selectExpr("id", *shapes).filter(G.intersects("_p", "_q"))
     return hits.select(F.col("id").alias(identifier)).distinct()

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -90,15 +89,14 @@ def base(t: SiteTables) -> DataFrame:
 
 
 def _indexes(t: SiteTables, *names: str) -> list[spatial.ShapeIndex | None]:
-    """Indexes of several tables, built by jobs that run side by side."""
+    """Indexes of several tables, numbered together."""
     keys = {"interchanges": "interstate"}
-    with ThreadPoolExecutor(len(names)) as pool:
-        return list(pool.map(lambda n: spatial.build_index(getattr(t, n), "geom", keys.get(n)), names))
+    found = spatial.build_indexes({n: (getattr(t, n), "geom", keys.get(n)) for n in names})
+    return [found[n] for n in names]
 
 
 def _near_power(segments: DataFrame, power: spatial.ShapeIndex | None) -> DataFrame:
-    closest = spatial.nearest(segments, power, "segment_id", "geom", "min_power_dist_m")
-    return closest.join(spatial.count_within(segments, power, "segment_id", "geom", POWER_RADIUS_M, "power_assets_30km"), "segment_id")
+    return spatial.nearest_and_count(segments, power, "segment_id", "geom", POWER_RADIUS_M, "min_power_dist_m", "power_assets_30km")
 
 
 def _near_interchanges(segments: DataFrame, interchanges: spatial.ShapeIndex | None) -> DataFrame:

@@ -9,10 +9,6 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-# A side is broadcast only after it was counted and found to have at most this many rows.
-BROADCAST_ROWS = 100_000
 
 _OWN_SCRATCH = "tessera.scratch.dir"
 
@@ -125,18 +121,21 @@ def spread(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     cores = spark.sparkContext.defaultParallelism
     split = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get("spark.sql.files.maxPartitionBytes"))
-    estimate = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return df.repartition(cores) if estimate < cores * split else df
+    return df.repartition(cores) if planned_bytes(df) < cores * split else df
 
 
-def is_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
-    """True when ``df`` has at most ``rows`` rows; counting stops there."""
-    return df.limit(rows + 1).count() <= rows
+def planned_bytes(df: DataFrame) -> int:
+    """The planner's estimate of the size of ``df``; for a written table, its bytes."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def sized_join(left: DataFrame, right: DataFrame, on, how: str = "inner") -> DataFrame:
-    """Join with the right side broadcast when a count proves it small, shuffled otherwise.
+def lanes(spark: SparkSession) -> int:
+    """Partitions for rows that are heavy to work on: as many as shuffles get, and one per core at least. A number
+    that is asked for is not coalesced."""
+    return max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
-    ``right`` is counted first, so it should be cheap to compute.
-    """
-    return left.join(F.broadcast(right) if is_small(right) else right, on, how)
+
+def sized_join(left: DataFrame, right: DataFrame, on, how: str = "inner") -> DataFrame:
+    """Join with ``right`` written first: the planner then knows its bytes and broadcasts it below
+    ``spark.sql.autoBroadcastJoinThreshold``; beyond, a join of two plain shuffles can be split where a key is hot."""
+    return left.join(materialise(right, "joined"), on, how)

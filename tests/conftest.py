@@ -17,15 +17,9 @@ def spark():
 
 
 @pytest.fixture(params=["broadcast", "shuffle"])
-def join_mode(request, spark, monkeypatch):
+def join_mode(request, spark):
     """Runs a test with small sides broadcast, and again with every side treated as large."""
     if request.param == "shuffle":
-        from tessera import session
-        from tessera.operators import ranking
-
-        for module in (session, ranking):
-            monkeypatch.setattr(module, "BROADCAST_ROWS", -1)
-        monkeypatch.setattr(session.is_small, "__defaults__", (-1,))
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     yield request.param
     spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

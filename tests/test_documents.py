@@ -1,6 +1,8 @@
 from __future__ import annotations
 
 import json
+import os
+import random
 
 from pyspark.sql import functions as F
 
@@ -153,3 +155,30 @@ def test_severe_days(spark):
     assert result["P2"].severe_days == ["d1", "d2"]
     assert (result["P1"].severe_day_count, result["P1"].student_days, result["P2"].enrolled) == (2, 200, 0)
     assert all(result[f"P{i}"].severe_days == [] and result[f"P{i}"].student_days == 0 for i in range(3, 8))
+
+
+def test_one_large_csv_file_is_read_by_many_tasks(spark, tmp_path):
+    """Records with line breaks, quotes and empty or missing values, across the borders of small ranges."""
+    rng = random.Random(4)
+    piece = lambda: "".join(rng.choice(["a", '"', ",", "\n", "\r\n", " ", "é", "\n\n"]) for _ in range(rng.randrange(60)))
+    rows = [(i, rng.choice([None, "", piece(), piece(), "x\n" * 400]), piece()) for i in range(600)]
+    df = spark.createDataFrame(rows, "id int, note string, text string").coalesce(1)
+    path = str(tmp_path / "one")
+    writers.write_csv(df, path)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        assert len([f for f in os.listdir(path) if f.endswith(".csv")]) == 1
+        found = readers.records(spark, path)
+        assert found.count() == len(rows)
+        assert spark.read.option("lineSep", "\n").text(path).rdd.getNumPartitions() > 20
+        assert sorted(map(tuple, readers.read_csv(spark, path, df.schema).collect())) == sorted(rows)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_csv_with_carriage_returns_and_without_a_last_line_break(spark, tmp_path):
+    (tmp_path / "crlf.csv").write_bytes(b'id,text\r\n1,a\r\n\r\n2,"b\r\nc"\r\n3,d')
+    got = readers.read_csv(spark, str(tmp_path / "crlf.csv"), "id int, text string").collect()
+    assert sorted(map(tuple, got)) == [(1, "a"), (2, "b\r\nc"), (3, "d")]

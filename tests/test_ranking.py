@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tessera.operators import ranking
 from tessera.operators.ranking import Criterion, percent_rank, row_number, spaced_second, top_per_group
 from tessera.operators.relational import dedup, order, sort
+from tessera.session import scratch_path
 
 
 @pytest.fixture(scope="module")
@@ -44,7 +45,7 @@ def test_percent_rank_needs_no_single_task(rows):
 
 def test_wide_rows_are_shuffled_once(rows, monkeypatch, spark):
     """Six criteria with many values: the wide rows take part in one exchange."""
-    monkeypatch.setattr(ranking, "BROADCAST_ROWS", -1)
+
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         wide = rows.withColumn("load", F.repeat(F.lit("x"), 50))
@@ -121,3 +122,29 @@ def test_sort_places_nulls(spark):
     assert [r.v for r in sort(df, "v").collect()] == [1, 3, None]
     assert [r.v for r in sort(df, ("v", "desc")).collect()] == [3, 1, None]
     assert [r.v for r in sort(df, ("v", "asc", "first"), split_ties=True).collect()] == [None, 1, 3]
+
+
+def test_wide_values_are_not_broadcast(spark):
+    """The bytes decide, not the number of rows."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100k")
+    try:
+        narrow = spark.range(2_000).selectExpr("id", "CAST(id AS STRING) AS v")
+        wide = spark.range(2_000).selectExpr("id", "concat(sha2(concat('a', id), 512), sha2(concat('b', id), 512)) AS v")
+        texts = [plan_of(percent_rank(df, [Criterion("p", "v")])) for df in (narrow, wide)]
+        assert ["SortMergeJoin" in t for t in texts] == [False, True]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_spaced_second_reads_the_rows_once(spark):
+    rows = spark.range(1_000).selectExpr("id", "'c' AS corridor", "concat('I-', id % 3) AS line", "id % 20 * 10 AS mile", "id + 1 AS rank")
+    rows.write.mode("overwrite").parquet(path := f"{scratch_path(spark, 'ranked')}")
+    reads = []
+    plain = ranking.materialise
+    ranking.materialise = lambda df, name: (reads.append(plan_of(df).count("FileScan")), plain(df, name))[1]
+    try:
+        chosen = spaced_second(spark.read.parquet(path), "corridor", "rank", "line", "mile", 50)
+    finally:
+        ranking.materialise = plain
+    assert reads == [1] and path not in plan_of(chosen)
+    assert sorted(r.id for r in chosen.collect()) == [0, 1]

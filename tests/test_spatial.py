@@ -212,3 +212,42 @@ def test_crowded_items_are_counted_by_cell(spark):
     near = spatial.count_within(probe, index, "id", "geom", 30000.0, "n")
     assert near.first().n == 20_000
     assert "c_shape" in plan_of(near)
+
+
+def test_a_slanting_line_looks_at_few_shapes(spark):
+    """A long slanting line past, and through, a dense cluster under its box."""
+    cluster = spark.range(20_000).selectExpr("-92 + pmod(id, 141) * 1e-4 AS lon", "39 + pmod(id * 7, 149) * 1e-4 AS lat")
+    index = spatial.build_index(cluster.select(G.point("lon", "lat").alias("geom")), "geom")
+    # Long lines, and the short parts of them that come close.
+    past, past_short = ("line", [(-97.0, 35.0), (-87.0, 44.9)]), ("line", [(-92.5, 39.455), (-92.4, 39.554)])
+    through, through_short = ("line", [(-97.0, 34.0), (-87.0, 44.0)]), ("line", [(-92.02, 38.98), (-91.96, 39.04)])
+    for long, short in ((past, past_short), (through, through_short)):
+        seen = []
+        for probe in (long, short):
+            left = frame(spark, [(1, "k", probe)])
+            near = spatial._candidates(spatial._probes(left, "id", "geom", None), index, "30D", True)
+            seen.append((near.count(), spatial.meeting_candidates(left, index, "id", "geom").count()))
+        assert seen[0][0] <= 1.1 * seen[1][0] + 100 and seen[0][1] <= 1.1 * seen[1][1] + 100 and seen[0][0] < 4_000
+    spots = [(r.lon, r.lat) for r in cluster.collect()]
+    gaps = [apart(past, ("point", [p])) for p in spots]
+    got = spatial.nearest_and_count(frame(spark, [(1, "k", past)]), index, "id", "geom", 90_000.0, "m", "n").first()
+    assert got.m == pytest.approx(min(gaps), rel=1e-9) and got.n == sum(g < 90_000 for g in gaps)
+
+
+def test_one_search_gives_both_answers(spark, join_mode):
+    probes, items = shapes(21, 60, ("line", "polygon", "point")), shapes(22, 400, ("line", "point", "polygon"))
+    left, index = frame(spark, probes), spatial.build_index(frame(spark, items), "geom")
+    got = {r.id: (r.m, r.n) for r in spatial.nearest_and_count(left, index, "id", "geom", 50_000.0, "m", "n").collect()}
+    for i, _, s in probes:
+        gaps = [apart(s, t) for _, _, t in items]
+        assert got[i][0] == pytest.approx(min(gaps), rel=1e-9, abs=1e-5) and got[i][1] == sum(g < 50_000 for g in gaps)
+
+
+def test_several_indexes_from_one_numbering(spark):
+    first, second = shapes(31, 40, ("point",)), shapes(32, 3_000, ("point",))
+    found = spatial.build_indexes({"a": (frame(spark, first), "geom", "k"), "b": (frame(spark, second), "geom", None), "c": (frame(spark, first).limit(0), "geom", None)})
+    assert found["c"] is None and found["a"].depth == 1 and found["b"].depth == 2
+    for name, items, key in (("a", first, "k"), ("b", second, None)):
+        left = frame(spark, first)
+        near = {r.id: r.n for r in spatial.count_within(left, found[name], "id", "geom", 80_000.0, "n", key=key).collect()}
+        assert near == {i: sum(apart(s, t) < 80_000 for _, kk, t in items if key is None or kk == k) for i, k, s in first}
