@@ -50,6 +50,8 @@ QUEUE_BYTES = 64 << 20
 RUN_FRAGMENTS = 400_000
 # Bytes of text that a part stands for at most; there are more parts than shuffle partitions if the corpus needs them.
 PART_BYTES = 64 << 20
+# Beyond, parts grow instead (they spill): every batch sends something to every part.
+MOST_PARTS = 4_096
 _BUCKETS = 16
 _SEGMENT = 1 << 20
 _PLACE = np.uint64((1 << 21) - 1)
@@ -207,7 +209,8 @@ def _anchor_blobs(batch: pa.RecordBatch, parts: int) -> Iterator[tuple[int, byte
     if not len(order):
         return
     sizes = np.diff(np.r_[groups, len(order)])
-    several = np.minimum.reduceat(owner[order], groups) != np.maximum.reduceat(owner[order], groups)
+    own = keys[owner[order]]  # equal rows have one key, and are one document
+    several = np.minimum.reduceat(own, groups) != np.maximum.reduceat(own, groups)
     shared = np.zeros(len(order), bool)
     shared[order] = np.repeat(several, sizes)
     known, known_counts = hashes[order][groups][several], sizes[several]
@@ -409,7 +412,8 @@ def _sorted_run(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     # The common prefix field holds the length of the suffix until the order is known.
     suffixes["common"] = after
     words = np.ascontiguousarray(np.pad(right, ((0, 0), (0, -WIDTH % 8)))).view(">u8").astype(np.uint64)
-    order = np.lexsort(words.T[::-1])
+    # A suffix that another goes on from in zero bytes looks like it when padded; the shorter one comes first.
+    order = np.lexsort((np.minimum(after, WIDTH), *words.T[::-1]))
     return suffixes[order], right[order]
 
 
@@ -457,6 +461,9 @@ def sorted_anchors(blobs: Iterator[bytes], run_fragments: int = RUN_FRAGMENTS) -
 def _merged(files: list) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     wide = SUFFIX.itemsize + WIDTH
 
+    # The bytes and the length decide, as in a run.
+    length = SUFFIX.fields["common"][1]
+
     def rows(file) -> Iterator[tuple[bytes, bytes]]:
         file.seek(0)
         while chunk := file.read(wide * 4096):
@@ -470,7 +477,7 @@ def _merged(files: list) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         suffixes = np.frombuffer(b"".join(s for _, s in held), SUFFIX).copy()
         return suffixes, np.frombuffer(b"".join(r for r, _ in held), np.uint8).reshape(-1, WIDTH)
 
-    for pair in heapq.merge(*(rows(f) for f in files), key=lambda x: x[0]):
+    for pair in heapq.merge(*(rows(f) for f in files), key=lambda x: (x[0], min(x[1][length], WIDTH))):
         held.append(pair)
         if len(held) == _SLICE:
             yield block()
@@ -582,13 +589,13 @@ def removals(docs: DataFrame, identifier: str = "doc_id", text: str = "text") ->
     rows = docs.select(F.col(identifier).cast("bigint").alias("rank"), F.xxhash64(text).alias("row"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     keyed = rows.filter(F.octet_length("text") >= WIDTH).withColumn("key", F.xxhash64("rank", "row"))
     n_bytes = keyed.agg(F.sum(F.octet_length("text").cast("bigint"))).first()[0] or 0
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n_bytes // PART_BYTES))
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(-(-n_bytes // PART_BYTES), MOST_PARTS))
     found = written(_candidates(keyed, parts), "anchors")
     counts = found.filter("key IS NULL")
     total = counts.filter("run = 0").agg(F.sum("n")).first()[0] or 0
     hot = counts.filter(F.col("run") != 0).filter(F.col("n") > max(HOT_LEAST, total // HOT_SHARE)).select("run").collect()
     hot = np.array([r.run for r in hot], np.int64).view(np.uint64)
-    listed = found.filter("key IS NOT NULL").groupBy("key").agg(F.collect_list("run").alias("runs"))
+    listed = found.filter("key IS NOT NULL").groupBy("key").agg(F.collect_set("run").alias("runs"))
     texts = keyed.join(listed, "key").select("rank", "row", "text", "runs")
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -599,20 +606,23 @@ def removals(docs: DataFrame, identifier: str = "doc_id", text: str = "text") ->
                 yield pa.RecordBatch.from_arrays(columns, ["part", "fragments", "blob"])
 
     def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        settled: list[bytes] = []
+        # What is settled waits in a file of the task until the fragments are through.
+        settled, sizes = tempfile.TemporaryFile(), []
 
         def fragments() -> Iterator[bytes]:
             for batch in batches:
-                for whole, blob in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-                    if whole:
-                        yield blob
+                for whole, blob in zip(batch.column(1), batch.column(2)):
+                    if whole.as_py():
+                        yield blob.as_py()
                     else:
-                        settled.append(blob)
+                        sizes.append(settled.write(blob.as_py()))
 
         for block in covered(fragments()):
             yield _record([block[c] for c in ("rank", "row", "start", "gone")])
-        for blob in settled:
-            yield _record(_unpack(blob, *_GONE_KINDS))
+        settled.seek(0)
+        for size in sizes:
+            yield _record(_unpack(settled.read(size), *_GONE_KINDS))
+        settled.close()
 
     dealt = texts.mapInArrow(deal, "part int, fragments boolean, blob binary")
     gone = dealt.repartitionById(parts, F.col("part")).mapInArrow(sort, "rank bigint, row bigint, start bigint, gone bigint")
@@ -656,7 +666,9 @@ def _kept(texts: pd.Series, starts: pd.Series, gone: pd.Series) -> pd.DataFrame:
 
 def _with_windows(docs: DataFrame, identifier: str, text: str) -> tuple[DataFrame, Column, Column]:
     """``docs`` with the removed windows of every row, as two columns of lists."""
-    gone = removals(docs, identifier, text).groupBy("rank", "row").agg(F.collect_list("start").alias("starts"), F.collect_list("gone").alias("gone"))
+    # Equal rows say the same, so a document's list does not grow with them.
+    each = removals(docs, identifier, text).groupBy("rank", "row", "start").agg(F.bit_or("gone").alias("gone"))
+    gone = each.groupBy("rank", "row").agg(F.collect_list("start").alias("starts"), F.collect_list("gone").alias("gone"))
     names = [fresh(c, docs) for c in ("__rank", "__row", "__starts", "__gone")]
     gone = gone.toDF(*names)
     rank = F.coalesce(docs[identifier].cast("bigint"), F.lit(_LAST))
