@@ -175,10 +175,9 @@ def op8_unit_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stretches of every document that repeat a paragraph, line or long sentence of an earlier one, as ``start-end``
     in characters."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = unit_dedup.spans(docs, "doc_id", unit=unit_dedup.WHOLE).withColumnRenamed("rank", "of")
+    told = unit_dedup.judged(docs, "doc_id", unit=unit_dedup.WHOLE, removed="spans").withColumn("n", F.length("text"))
     listed = F.array_join(F.transform("spans", lambda s: F.concat_ws("-", s["start"], s["end"])), ",")
     removed = F.aggregate("spans", F.lit(0).cast("bigint"), lambda total, s: total + s["end"] - s["start"])
-    told = docs.select("doc_id", F.length("text").alias("n")).join(found, F.col("doc_id").eqNullSafe(F.col("of")), "left")
     return told.select(
         "doc_id",
         F.coalesce("n", F.lit(0)).cast("bigint").alias("n_chars"),
