@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from tessera.llm.common import fresh, same, written
 
 RATIO = 0.1
-MIN_PAGES = 5
+MIN_PAGES = 2
 
 _UNSEEN = r"(?is)<(?:script|style)[^>]*>.*?</(?:script|style)>"
 _BLOCK = r"(?i)</?(?:html|head|body|title|nav|header|footer|main|article|section|aside|div|p|ul|ol|li|h[1-6]|table|tr|td|th|br)(?:\s[^>]*)?/?>"

@@ -153,7 +153,7 @@ lines AS (
 totals AS (SELECT host, count(*) AS total FROM texts GROUP BY host),
 frequent AS (
   SELECT host, trimmed FROM (SELECT host, trimmed, count(DISTINCT page_id) AS n FROM lines WHERE trimmed <> '' GROUP BY host, trimmed)
-  JOIN totals USING (host) WHERE n >= 5 AND n > 0.1::DOUBLE * total),
+  JOIN totals USING (host) WHERE n >= 2 AND n > 0.1::DOUBLE * total),
 marked AS (SELECT l.*, f.trimmed IS NOT NULL AS dropped FROM lines l LEFT JOIN frequent f USING (host, trimmed))
 SELECT page_id, host, count(*) FILTER (dropped) AS n_dropped, coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT dropped), '') AS text
 FROM marked GROUP BY page_id, host"""
