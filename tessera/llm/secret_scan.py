@@ -58,6 +58,8 @@ def candidates(docs: DataFrame, identifier: str = "doc_id", text: str = "text",
         "struct(_i AS position, _w[_i] AS word, concat_ws(' ', get(_w, _i - 3), get(_w, _i - 2), get(_w, _i - 1)) AS before, coalesce(get(_w, _i + 1), '') AS after)"
     )
     cut = f"split(text, '{_SPACE}')".replace("\\", "\\\\")
+    # White space at an end would make an empty word.
+    cut = f"filter({cut}, _x -> _x <> '')"
     words = own.filter(F.col("text").rlike("[0-9]")).selectExpr("id", "path", f"inline(flatten(transform(array({cut}), _w -> transform({picked}, _i -> {around}))))")
     # The gaps of a word are what its runs leave: one before each run and one behind the last.
     cuts = words.selectExpr("id", "path", "position", "before", "after", f"regexp_extract_all(word, '{_KEY}', 0) AS runs", f"split(word, '{_KEY}', -1) AS gaps")
