@@ -140,7 +140,8 @@ def test_unit_dedup(docs, none):
     texts = {r.doc_id: r.text for r in clean.collect()}
     assert texts[2] == "Another end follows here with several more words than before."
     assert texts[3] is None and texts[4] == ""
-    assert unit_dedup.spans(none).collect() == []
+    assert unit_dedup.remove(none).collect() == []
+    assert clean.count() == len(ROWS)
 
 
 def test_url_filter(spark):

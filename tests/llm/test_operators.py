@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import time
 import tracemalloc
 import zlib
 from collections import Counter
@@ -211,6 +212,47 @@ def test_anchors_beyond_memory_and_more_parts(spark, monkeypatch):
     assert used[0] >= sum(len(t.encode()) for _, t in texts if len(t.encode()) >= 50) / 500
 
 
+def with_zero_runs(seed, n=150):
+    rng = random.Random(seed)
+    text = lambda size: "".join(rng.choice(["a", "b", "\0", "\0\0\0\0", "\0" * 20]) for _ in range(size))
+    passages = [text(60) for _ in range(4)]
+    return [(i, text(rng.randint(0, 20)) + rng.choice(passages)[rng.randint(0, 30) :] + rng.choice(["", "\0" * rng.randint(1, 60), text(20)])) for i in range(n)]
+
+
+@pytest.mark.parametrize("in_files", [False, True])
+def test_suffix_dedup_with_runs_of_zero_bytes(spark, monkeypatch, in_files):
+    """A text that ends and one that goes on in zero bytes are told apart."""
+    if in_files:
+        monkeypatch.setattr(suffix_dedup.sorted_anchors, "__defaults__", (40,))
+        monkeypatch.setattr(suffix_dedup.covered, "__defaults__", (40, 4096))
+    for seed in (1, 2, 3):
+        rows = with_zero_runs(seed)
+        got = suffix_dedup.report(spark.createDataFrame(rows, "doc_id bigint, text string"))
+        assert Counter(map(tuple, got.collect())) == without_repeats(rows)
+
+
+def test_suffix_dedup_of_many_equal_rows(spark):
+    """Copies without ids of their own cost what they are, not their square."""
+    rng = random.Random(12)
+    text = "".join(rng.choice("abcdefgh ") for _ in range(2_900))
+    docs = spark.createDataFrame([(1, text)], "doc_id bigint, text string").unionByName(spark.range(10_000).select(F.lit(5).cast("bigint").alias("doc_id"), F.lit(text[:400] + "x" * 60).alias("text")))
+    start = time.perf_counter()
+    got = {(r.doc_id, r.n_removed, r.n_spans): r.n for r in suffix_dedup.report(docs).groupBy("doc_id", "n_removed", "n_spans").agg(F.count("*").alias("n")).collect()}
+    assert got == {(1, 0, 0): 1, (5, 400, 1): 10_000}
+    assert time.perf_counter() - start < 120
+
+
+def test_parts_stop_growing(spark, monkeypatch):
+    """Beyond a number of parts a batch does not send more blobs, however large the corpus is."""
+    monkeypatch.setattr(suffix_dedup, "PART_BYTES", 1)
+    monkeypatch.setattr(suffix_dedup, "MOST_PARTS", 16)
+    used, inner = [], suffix_dedup._candidates
+    monkeypatch.setattr(suffix_dedup, "_candidates", lambda rows, parts: used.append(parts) or inner(rows, parts))
+    rows = small_alphabet(9)
+    got = suffix_dedup.report(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert Counter(map(tuple, got.collect())) == without_repeats(rows) and used == [16]
+
+
 # 3
 
 
@@ -299,7 +341,7 @@ def test_boilerplate_lines(spark):
             count[site, line] += 1
     want = {}
     for i, site, text in pages:
-        gone = [n >= 5 and n > 0.1 * total[site] for n in (count[site, x.strip(" \t\n\v\f\r")] for x in text.split("\n"))]
+        gone = [n >= 2 and n > 0.1 * total[site] for n in (count[site, x.strip(" \t\n\v\f\r")] for x in text.split("\n"))]
         want[i] = "\n".join(x for x, g in zip(text.split("\n"), gone) if not g), sum(gone)
     df = spark.createDataFrame(pages, "page_id bigint, site string, text string")
     got = line_dedup.drop_boilerplate(df, F.col("site"), dropped="n").collect()
@@ -335,7 +377,7 @@ def test_unit_dedup_against_plain_python(spark, unit):
                 want.setdefault(i, []).append((start, start + len(piece)))
     want = {i: unit_dedup.joined(sorted(s)) for i, s in want.items()}
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
-    got = {r["rank"]: [tuple(s) for s in r.spans] for r in unit_dedup.spans(docs, unit=unit).collect()}
+    got = {r.doc_id: [tuple(s) for s in r.removed] for r in unit_dedup.judged(docs, unit=unit).collect() if r.removed}
     assert got == want and want
     texts = {r.doc_id: r.text for r in unit_dedup.remove(docs, unit=unit).collect()}
     for i, text in rows:
@@ -378,17 +420,30 @@ def test_all_repeated_lines_and_paragraphs_go(spark):
     for rows in (short, [(r.doc_id, r.text) for r in documents(spark).collect()]):
         docs = spark.createDataFrame(rows, "doc_id bigint, text string")
         want = repeated_words(rows, [lines, paragraphs])
-        got = unit_dedup.spans(docs, unit={"paragraph": 1, "line": 1}).collect()
-        assert places(rows, {r["rank"]: r.spans for r in got}) == want and want
+        got = [r for r in unit_dedup.judged(docs, unit={"paragraph": 1, "line": 1}).collect() if r.removed]
+        assert places(rows, {r.doc_id: r.removed for r in got}) == want and want
         assert sum(r.n_units for r in got if rows is short) == (4 if rows is short else 0)
         assert not unit_dedup.remove(docs.filter("doc_id = 3")).filter("removed IS NOT NULL").collect()
     listed = {r.doc_id: [tuple(map(int, x.split("-"))) for x in r.removed.split(",") if x] for r in QUERIES["op8_unit_dedup"](spark, SMALL).collect()}
     got = places(rows, listed)
     assert all(words <= got[i] for i, words in want.items())
-    inside = {r["rank"]: r.spans for r in unit_dedup.spans(docs, unit="sentence").collect()}
+    inside = {r.doc_id: r.removed for r in unit_dedup.judged(docs, unit="sentence").collect() if r.removed}
     assert got == {i: want.get(i, set()) | places(rows, inside).get(i, set()) for i in got}
 
 
+def test_units_of_rows_with_missing_and_equal_ids(spark):
+    """Every row is a document of its own: only what another row has goes, and one copy of each stays."""
+    rows = [
+        (1, "one two three four\nthe end of it"), (None, "alpha beta gamma delta epsilon\nnobody else has this\n"), (None, "same copy here now\n"),
+        (None, "same copy here now\n"), (None, "one two three four\nfresh words\n"), (7, "first text of seven\n"), (7, "second text of seven\nthe end of it"), (9, "x y\nx y\n"),
+    ]
+    got = unit_dedup.remove(spark.createDataFrame(rows, "doc_id bigint, text string"), unit=unit_dedup.WHOLE).collect()
+    want = [
+        (1, rows[0][1]), (None, rows[1][1]), (None, "same copy here now\n"), (None, ""), (None, "fresh words\n"), (7, rows[5][1]), (7, "second text of seven\n"), (9, "x y\n"),
+    ]
+    assert Counter((r.doc_id, r.text) for r in got) == Counter(want)
+
+
 # 9
 
 

@@ -42,7 +42,7 @@ def cleaned(docs):
         total[source] += 1
         for line in {x.strip(" \t\n\v\f\r") for x in text.split("\n")} - {""}:
             having[source, line] += 1
-    often = lambda s, x: having[s, x] >= 5 and having[s, x] > 0.1 * total[s]
+    often = lambda s, x: having[s, x] >= 2 and having[s, x] > 0.1 * total[s]
     return {i: (s, "\n".join(x for x in t.split("\n") if not often(s, x.strip(" \t\n\v\f\r")))) for i, (s, t) in docs.items()}
 
 
