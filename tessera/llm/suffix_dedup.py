@@ -596,7 +596,8 @@ def removals(docs: DataFrame, identifier: str = "doc_id", text: str = "text") ->
     hot = counts.filter(F.col("run") != 0).filter(F.col("n") > max(HOT_LEAST, total // HOT_SHARE)).select("run").collect()
     hot = np.array([r.run for r in hot], np.int64).view(np.uint64)
     listed = found.filter("key IS NOT NULL").groupBy("key").agg(F.collect_set("run").alias("runs"))
-    texts = keyed.join(listed, "key").select("rank", "row", "text", "runs")
+    # Equal rows are one document here; the rows come back with the report. Both sides are dealt by the key alone.
+    texts = keyed.dropDuplicates(["key"]).join(listed, "key").select("rank", "row", "text", "runs")
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -666,9 +667,7 @@ def _kept(texts: pd.Series, starts: pd.Series, gone: pd.Series) -> pd.DataFrame:
 
 def _with_windows(docs: DataFrame, identifier: str, text: str) -> tuple[DataFrame, Column, Column]:
     """``docs`` with the removed windows of every row, as two columns of lists."""
-    # Equal rows say the same, so a document's list does not grow with them.
-    each = removals(docs, identifier, text).groupBy("rank", "row", "start").agg(F.bit_or("gone").alias("gone"))
-    gone = each.groupBy("rank", "row").agg(F.collect_list("start").alias("starts"), F.collect_list("gone").alias("gone"))
+    gone = removals(docs, identifier, text).groupBy("rank", "row").agg(F.collect_list("start").alias("starts"), F.collect_list("gone").alias("gone"))
     names = [fresh(c, docs) for c in ("__rank", "__row", "__starts", "__gone")]
     gone = gone.toDF(*names)
     rank = F.coalesce(docs[identifier].cast("bigint"), F.lit(_LAST))
