@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 import re
 import time
@@ -269,6 +270,48 @@ def test_decontamination_against_all_items(spark):
     assert got == want and got
 
 
+@pytest.mark.parametrize("threshold", [0.05, 0.2, 0.5])
+def test_walks_find_what_full_scores_find(threshold):
+    """Pivots against the scores of all items, from the definition; few of the postings are scored."""
+    rng = random.Random(threshold)
+    vocabulary = [f"w{int(rng.paretovariate(0.7))}" for _ in range(4_000)]
+    items = [" ".join(rng.choices(vocabulary, k=rng.randint(1, 40))) for _ in range(300)]
+    index = decontaminate.Index.build(list(enumerate(items)))
+    bags = [Counter(t.split()) for t in items]
+    having, mean = Counter(w for b in bags for w in b), sum(b.total() for b in bags) / len(bags)
+
+    def weight(word, bag):
+        n, length = bag[word], decontaminate.K1 * (1 - decontaminate.B + decontaminate.B * bag.total() / mean)
+        return math.log(1 + (len(bags) - having[word] + 0.5) / (having[word] + 0.5)) * n * (decontaminate.K1 + 1) / (n + length)
+
+    passages = [rng.sample(sorted(having), k=rng.randint(1, 80)) for _ in range(40)] + [t.split() for t in items[:20]]
+    pairs = sorted({(p, index.terms[w]) for p, words in enumerate(passages) for w in words})
+    want, postings = {}, 0
+    for p, words in enumerate(passages):
+        for k, bag in enumerate(bags):
+            shared = set(words) & set(bag)
+            postings += len(shared)
+            score = sum(weight(w, bag) for w in shared) / sum(weight(w, bag) for w in bag)
+            if score > threshold:
+                want[p, k] = score
+    got = index.retrieve(np.array([t for _, t in pairs]), np.array([p for p, _ in pairs]), len(passages), threshold)
+    assert {(p, k): pytest.approx(s) for p, k, s in got} == want and len(got) == len(want)
+    assert 0 < index.scored < postings
+
+
+def test_few_postings_of_the_documents_are_scored(spark):
+    rows = [tuple(r) for r in spark.read.parquet(f"{SMALL}/benchmark.parquet").select("item_id", "text").collect()]
+    texts = [r.text for r in documents(spark, SMALL).collect()]
+    index = decontaminate.Index.build(rows)
+    having = Counter(w for _, t in rows for w in set(decontaminate.tokens(t)))
+    postings = 0
+    for words in map(decontaminate.tokens, texts):
+        for start in range(0, max(len(words) - index.span, 1), index.span):
+            postings += sum(having[w] for w in set(words[start : start + 2 * index.span]))
+    index.matches(texts, decontaminate.THRESHOLD, decontaminate.OVERLAP)
+    assert index.scored < postings / 5
+
+
 def test_altered_items_are_found_and_others_are_not(spark):
     item = "Which river runs through the old town of the northern province? The river is called the Lesser Amber and it joins the sea near the harbour of Weststrand."
     other = "Which river runs through the new part of town? Nobody in the harbour knew its name, and the sea was far away from the province."
