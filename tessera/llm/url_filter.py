@@ -25,6 +25,7 @@ from tessera.llm.common import fresh, url_host, url_path
 GRAMS = (3, 4, 5)
 FEATURES = 1 << 14
 MOST_LABELLED = 10_000
+REGULARISATION = 0.001
 
 
 @dataclass(frozen=True)
@@ -68,21 +69,55 @@ def grams(host: str, path: str) -> Column:
     return F.expr(f"concat({cut(host, '^')}, {cut(path, '$')})")
 
 
-# Hosts of a labelled URL table, 1 for those to be blocked.
-_BAD = "cheap-pills free-bets adult-x spam-farm ads-track casino-win buy-meds hot-dates win-cash xxx-cams"
-_GOOD = "thther tionsh ononed erther hetion news library museum garden recipes weather council cheapside adsworth spanish winterthur"
+# Words that names of hosts are put together from, for the two labels.
+_BAD = (
+    "adserver adult affiliate baccarat bet betting bingo bonus cams cash casino cheats cialis clicks cracked crypto dating debt "
+    "diet erotic escort fakes fetish forex gamble gambling hacks hentai hookup jackpot keygen lender loan loans lottery lotto "
+    "meds milf naked payday payout pharma pharmacy phishing pills poker popunder porn prize replica roulette scam serials sex "
+    "sexy slimming slots spam sportsbook steroids stream sweepstakes torrent tracker tube viagra virus wager warez webcam winner "
+    "xxx"
+)
+_GOOD = (
+    "academy aquarium archive association atlas bakery ballet bank biology books bridge cathedral chemistry cinema city climate "
+    "clinic college cooking council county court dairy dentist engineering farmers festival fishing forest garden gazette geology "
+    "history hospital hotel island journal kindergarten kitchen language law library lighthouse market mathematics meadow medical "
+    "ministry museum music nature news observatory opera orchard parish philosophy photo physics poetry post publishing recipes "
+    "research river rowing school science sculpture society stadium theatre theology times town travel university valley village "
+    "weather wiki"
+)
+# Syllables of made-up names, which say nothing.
+_SYLLABLES = "al an ar as at ce co de ed en er es ha he hi in is it ke la le li lo ma me mi na ne ng no nt on or ou pe ra re ri ro se st ta te th ti to ur ve"
 
 
 def labelled_urls(spark: SparkSession) -> DataFrame:
-    """A small labelled table: every listed host below the usual prefixes, domains and paths."""
-    rows = [(h, label) for label, hosts in ((1, _BAD), (0, _GOOD)) for h in hosts.split()]
-    hosts = ", ".join(f"struct('{h}' AS name, {label}D AS label, {n} AS n)" for n, (h, label) in enumerate(sorted(rows), 1))
-    prefixes = spark.range(1).selectExpr(f"inline(array({hosts}))").selectExpr("*", "explode(array('', 'www.', 'm.', 'blog.')) AS prefix")
-    return prefixes.selectExpr("*", "explode(array('com', 'net', 'org')) AS domain").selectExpr(
-        "concat('https://', prefix, name, '.example.', domain, '/', element_at(array('en', 'fr', 'de', 'es'), CAST(pmod(n * 7 + length(domain || prefix), 4) + 1 AS INT)),"
-        " '/', n * 37 + length(prefix), IF(n % 3 = 0, '.html', IF(n % 3 = 1, '/', ''))) AS url",
+    """A small labelled table made by rule: hosts of one word, of two words of one label, of a word and a made-up name,
+    and made-up names (not to be blocked), below the usual prefixes and domains, with paths that tell nothing."""
+    words = ", ".join(f"struct('{w}' AS word, {label}D AS label)" for label, listed in ((1, _BAD), (0, _GOOD)) for w in listed.split())
+    every = spark.range(1).selectExpr(f"inline(array({words}))")
+    syllables = "array(" + ", ".join(f"'{x}'" for x in _SYLLABLES.split()) + ")"
+    size = len(_SYLLABLES.split())
+
+    def made(seed: int) -> str:
+        return "concat(" + ", ".join(f"element_at({syllables}, CAST(pmod(xxhash64(word, {seed + k}), {size}) + 1 AS INT))" for k in range(3)) + ")"
+
+    listed = {label: "array(" + ", ".join(f"'{w}'" for w in text.split()) + ")" for label, text in ((1, _BAD), (0, _GOOD))}
+
+    def other(k: int) -> str:
+        return "IF(label = 1, " + ", ".join(f"element_at({listed[n]}, CAST(pmod(xxhash64(word, {k}), {len(text.split())}) + 1 AS INT))" for n, text in ((1, _BAD), (0, _GOOD))) + ")"
+
+    def name(value: str, label: str = "label") -> str:
+        return f"struct({value} AS name, {label} AS label)"
+
+    forms = [name("word"), name(f"concat(word, '-', {other(1)})"), name(f"concat(word, {other(2)})")]
+    forms += [name(f"concat({made(10)}, '-', word)"), name(f"concat(word, '-', {made(20)})"), name(f"concat({made(30)}, word)"), name(f"concat(word, {made(40)})")]
+    forms += [name(made(50), "0D")]
+    hosts = every.selectExpr("word", f"inline(array({', '.join(forms)}))").selectExpr("word", "name", "label", "explode(array('', 'www.', 'm.')) AS prefix")
+    h = "pmod(xxhash64(name, prefix), 1000)"
+    return hosts.selectExpr(
+        f"concat('https://', prefix, name, '.', element_at(array('com', 'net', 'org'), CAST({h} % 3 + 1 AS INT)),"
+        f" '/', element_at(array('en', 'fr', 'de', 'es'), CAST({h} % 4 + 1 AS INT)), '/', {h}, element_at(array('', '/', '.html'), CAST({h} % 3 + 1 AS INT))) AS url",
         "label",
-    )
+    )
 
 
 def judge(
@@ -105,7 +140,7 @@ def judge(
     judged = prepared(pages, url).withColumn(fit, rule_for(host, path, rules))
     score, raw, odds = (fresh(c, judged) for c in ("__score", "__raw", "__odds"))
     if kinds[0] is not None and kinds[0] < kinds[1]:
-        learner = LogisticRegression(featuresCol=vector, labelCol=label, predictionCol=score, rawPredictionCol=raw, probabilityCol=odds, regParam=0.01, maxIter=50)
+        learner = LogisticRegression(featuresCol=vector, labelCol=label, predictionCol=score, rawPredictionCol=raw, probabilityCol=odds, regParam=REGULARISATION, maxIter=100)
         judged = learner.fit(prepared(known, "url")).transform(judged)
     else:
         judged = judged.withColumn(score, F.lit(0.0))
