@@ -1,23 +1,27 @@
 """Quality by the votes of similar labelled documents.
 
-Texts become latent-semantic vectors. Their terms are runs of three character classes, so that words of any language
-look alike, and shares of the text (such as words equal to the word before) in steps. Counts are log-scaled, weighted
-by inverse document frequency and projected to the leading singular vectors of the labelled documents. The labelled
-vectors are broadcast; their number is bounded by ``MOST_LABELLED`` and their width by ``RANK``. For every document
-the cosine with all labelled ones is computed in blocks, and the labels of the ``NEIGHBOURS`` nearest are averaged,
-weighted by similarity.
+Texts become latent-semantic vectors. Their terms are words, hashed to ``WORDS`` places, and runs of three character
+classes, by which words of any language look alike. Counts are log-scaled and weighted by inverse document frequency
+over all documents; words and runs weigh the same in every text. The result is projected to the leading singular
+vectors of the labelled documents. The labelled vectors are broadcast; their number is bounded by ``MOST_LABELLED``
+and their width by ``RANK``. For every document the cosine with all labelled ones is computed in blocks, and the
+labels of the ``NEIGHBOURS`` nearest are averaged, weighted by similarity.
 
-The labelled sample is drawn by a hash of the id, half of it from each class where there are enough rows; it is the
-only thing that reaches the driver, as term counts, never as texts. Everything else is one pass over the texts.
+The labelled sample is drawn by a hash of the id, half of it from each class where there are enough rows. It reaches
+the driver as term counts, never as texts, and so does one document frequency per term. Every text is read twice:
+for the frequencies, and for its score.
 
 Defined cases: a NULL or empty text has no terms; its vector is zero, is equally far from all, and its score is the
-mean label of the sample. Repeated rows are scored alike; of several labels of an id the largest counts. Labels that
-are NULL or belong to no document are left out. Without labelled documents every score is 0.5. Only the id, text and
+mean label of the sample. Repeated rows are scored alike; of several labels of an id the largest counts, and of several
+texts the first in order. Labels that are NULL or belong to no document are left out. Without labelled documents every score is 0.5. Only the id, text and
 label columns are read.
 """
 
 from __future__ import annotations
 
+import zlib
+from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -33,12 +37,9 @@ SHARPNESS = 8
 _OWN = b" \n.,|#*$%&!"
 _CLASSES = 16
 _SHAPES = _CLASSES**3
-# Behind the shapes: shares of the text, each as one of _STEPS terms.
-_STEPS = 8
-_SHARES = ("echoed words", "distinct words", "repeated lines", "words per line")
-TERMS = _SHAPES + len(_SHARES) * _STEPS
-# Weight of a share next to the logarithms of the counts.
-_LOUD = 5.0
+# Behind the shapes: words without ASCII upper case, by their checksum.
+WORDS = 1 << 12
+TERMS = _SHAPES + WORDS
 _BLOCK = 1_024
 _CHUNK = 1 << 20
 
@@ -63,12 +64,8 @@ def term_counts(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     for start in range(0, max(len(data) - 2, 0), _CHUNK):
         shape = _CLASS_OF[np.frombuffer(data[start : start + _CHUNK + 2], np.uint8)]
         counts[:_SHAPES] += np.bincount((shape[:-2] * _CLASSES + shape[1:-1]) * _CLASSES + shape[2:], minlength=_SHAPES)
-    words, lines = data.split(), [line for line in data.split(b"\n") if line.strip()]
-    if words:
-        echoed = sum(a == b for a, b in zip(words, words[1:])) / len(words)
-        shares = echoed * 3, len(set(words)) / len(words), 1 - len(set(lines)) / len(lines), len(words) / len(lines) / 160
-        for k, share in enumerate(shares):
-            counts[_SHAPES + k * _STEPS + min(int(share * _STEPS), _STEPS - 1)] = 1
+    for word, times in Counter(data.lower().split()).items():
+        counts[_SHAPES + zlib.crc32(word) % WORDS] += times
     terms = np.flatnonzero(counts)
     return terms, counts[terms]
 
@@ -83,32 +80,41 @@ class Model:
     labels: np.ndarray
 
     @staticmethod
-    def fit(samples: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, rank: int = RANK) -> Model | None:
-        """Singular vectors from the Gram matrix of the samples, so the work is bounded by their number."""
-        samples, labels = [s for s in samples], np.asarray(labels, float)
-        known = [len(t) > 0 for t, _ in samples]
-        if not any(known):
+    def fit(samples: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, having: np.ndarray, n_docs: int, rank: int = RANK) -> Model | None:
+        """Singular vectors from the Gram matrix of the samples, so the work is bounded by their number. ``having``
+        counts the documents with a term, of ``n_docs`` documents."""
+        labels = np.asarray(labels, float)
+        known = [t for t, _ in samples if len(t)]
+        if not known:
             return None
-        having = np.bincount(np.concatenate([t for t, _ in samples]), minlength=TERMS)
-        used = np.flatnonzero(having >= min(2, sum(known)))
+        used = np.unique(np.concatenate(known))
         columns = np.full(TERMS, -1, np.int64)
         columns[used] = np.arange(len(used))
-        inverse = np.log((1 + len(samples)) / (1 + having[used])) + 1
-        matrix = np.zeros((len(samples), len(used)))
+        inverse = np.log((1 + n_docs) / (1 + having[used])) + 1
+        model = Model(columns, inverse[:, None], np.zeros((0, 0)), labels)
+        matrix = np.zeros((len(samples), len(used)), np.float32)
         for row, sample in zip(matrix, samples):
-            at, value = _scaled(columns, sample)
+            at, value = model.scaled(sample)
             row[at] = value * inverse[at]
             row /= np.linalg.norm(row) or 1
-        values, left = np.linalg.eigh(matrix @ matrix.T)
+        values, left = np.linalg.eigh((matrix @ matrix.T).astype(float))
         keep = np.argsort(values)[::-1][:rank]
-        keep = keep[values[keep] > 1e-9 * max(values.max(), 1e-12)]
-        weights = inverse[:, None] * (matrix.T @ left[:, keep]) / np.sqrt(values[keep])
-        model = Model(columns, weights.astype(np.float32), np.zeros((0, len(keep)), np.float32), labels)
+        keep = keep[values[keep] > 1e-6 * max(values.max(), 1e-12)]
+        model.weights = (inverse[:, None] * (matrix.T @ left[:, keep]) / np.sqrt(values[keep])).astype(np.float32)
         model.vectors = np.stack([model.vector(s) for s in samples])
         return model
 
+    def scaled(self, counts: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """Columns of the known terms, and their scaled counts; those of words and those of runs have length 1."""
+        at = self.columns[counts[0]]
+        known = at >= 0
+        value, split = np.log1p(counts[1][known]), np.searchsorted(counts[0][known], _SHAPES)
+        for part in (value[:split], value[split:]):
+            part /= np.linalg.norm(part) or 1
+        return at[known], value
+
     def vector(self, counts: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
-        at, value = _scaled(self.columns, counts)
+        at, value = self.scaled(counts)
         found = value.astype(np.float32) @ self.weights[at]
         return found / (np.linalg.norm(found) or 1)
 
@@ -126,10 +132,24 @@ class Model:
         return np.clip(result, 0, 1)
 
 
-def _scaled(columns: np.ndarray, sample: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    at = columns[sample[0]]
-    known = at >= 0
-    return at[known], np.where(sample[0] < _SHAPES, np.log1p(sample[1]), _LOUD)[known]
+def frequencies(docs: DataFrame, text: str) -> tuple[np.ndarray, int]:
+    """How many documents have each term, and the number of documents. Every task adds up its own texts first."""
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total, rows = np.zeros(TERMS + 1, np.int64), 0
+        for batch in batches:
+            for value in batch["text"]:
+                total[term_counts(value)[0]] += 1
+            rows += len(batch)
+        total[TERMS] = rows
+        terms = np.flatnonzero(total)
+        yield pd.DataFrame({"term": terms, "n": total[terms]})
+
+    counted = docs.select(F.col(text).alias("text")).mapInPandas(count, "term bigint, n bigint").groupBy("term").agg(F.sum("n").alias("n"))
+    having = np.zeros(TERMS + 1, np.int64)
+    for row in counted.collect():
+        having[row.term] = row.n
+    return having[:TERMS], int(having[TERMS])
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, identifier: str, text: str, label: str, most: int = MOST_LABELLED) -> list:
@@ -137,7 +157,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, identifier: str, text: s
     marks = labels.groupBy(F.col(identifier).alias("id")).agg(F.max(label).cast("int").alias("label")).filter("id IS NOT NULL AND label IN (0, 1)")
     own = docs.select(F.col(identifier).alias("own"), F.col(text).alias("text"))
     both = [marks.filter(F.col("label") == k).orderBy(F.xxhash64("id"), "id").limit(most // 2) for k in (0, 1)]
-    chosen = own.join(both[0].unionByName(both[1]), F.col("own") == F.col("id")).dropDuplicates(["id"])
+    chosen = own.join(both[0].unionByName(both[1]), F.col("own") == F.col("id")).groupBy("id", "label").agg(F.min("text").alias("text"))
 
     def count(texts: pd.Series) -> pd.DataFrame:
         found = [term_counts(t) for t in texts]
@@ -151,7 +171,8 @@ def train(docs: DataFrame, labels: DataFrame, identifier: str = "doc_id", text:
     rows = labelled_sample(docs, labels, identifier, text, label)
     if not rows:
         return None
-    return Model.fit([(np.array(r.terms, np.int64), np.array(r.counts, np.int64)) for r in rows], np.array([r.label for r in rows]))
+    samples = [(np.array(r.terms, np.int64), np.array(r.counts, np.int64)) for r in rows]
+    return Model.fit(samples, np.array([r.label for r in rows]), *frequencies(docs, text))
 
 
 def score(text: str | Column, model: Model | None) -> Column:

@@ -166,7 +166,7 @@ def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     remainder = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(3))
     labels = table(spark, sf_dir, "labels").filter(remainder != 1)
     model = quality_classifier.train(docs, labels, label="quality")
-    scored = docs.select("doc_id", (remainder == 1).alias("held_out"), quality_classifier.score("text", model).alias("score"))
+    scored = docs.select("doc_id", F.coalesce(remainder == 1, F.lit(False)).alias("held_out"), quality_classifier.score("text", model).alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
