@@ -16,12 +16,14 @@ def components(links: DataFrame) -> DataFrame:
     Rounds of two steps: every node hands its smallest neighbour to its larger neighbours, then to its smaller
     ones. Each round keeps what is connected and shortens every path, so the number of rounds grows with the
     logarithm of the longest path. Smallest neighbours are aggregates and partners are found by joins, so the
-    neighbours of a node are never gathered; each round is written, so a lost executor costs one round at most.
+    neighbours of a node are never gathered. Smallest neighbours are written before they are joined: both sides of the
+    join are plain shuffles then, and adaptive execution splits a node with very many neighbours. A lost executor
+    costs one step at most.
     """
     edges = written(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct(), "links")
     state = _fingerprint(edges)
     for _ in range(_ROUNDS):
-        edges = written(_small_star(_large_star(edges)), "links")
+        edges = written(_small_star(written(_large_star(edges), "links")), "links")
         before, state = state, _fingerprint(edges)
         if state == before:
             break
@@ -39,12 +41,12 @@ def _fingerprint(edges: DataFrame) -> tuple:
 
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+    least = written(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
     # The larger neighbours of u are the nodes that have u as their smaller end.
     return edges.select(F.col("v").alias("u"), F.col("u").alias("w")).join(least, "u").select(F.col("w").alias("u"), F.col("m").alias("v")).distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
-    least = edges.groupBy("u").agg(F.min("v").alias("m"))
+    least = written(edges.groupBy("u").agg(F.min("v").alias("m")), "least")
     moved = edges.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct()

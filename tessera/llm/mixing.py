@@ -7,7 +7,8 @@ summed up in key order until the target is reached; the document that crosses it
 
 A source may hold any share of the rows. Its keys are cut into ``BUCKETS`` ranges (the keys of a weight of 1 fill
 them evenly), running sums are taken inside a range and added to the sums of the ranges before, so no source is
-ever sorted in one place.
+ever sorted in one place. Rows with the same key, id and size are counted before the shuffle and travel as one row, so
+rows without an id, or with one id in common, are no hot range; they are listed again at the end.
 
 Defined cases: sources are ordered by code point, NULL last, and NULL is a source. A NULL size counts as 0, a NULL
 or non-positive quality weight as the smallest positive one, ``LEAST_WEIGHT``. Without any words all targets are 0.
@@ -26,6 +27,8 @@ WEIGHTS = (5, 2, 1)
 MOST_EPOCHS = 3
 BUCKETS = 1_024
 LEAST_WEIGHT = 1e-6
+# Equal rows are listed again in pieces of so many, so no row holds a long array.
+PIECE = 100_000
 SEED = "mix-1"
 
 
@@ -78,23 +81,27 @@ def mix(
     narrow = docs.select(
         identifier.alias("id"), source.alias("source"), F.coalesce(size, F.lit(0)).cast("bigint").alias("size"), draw(identifier, quality, seed).alias("key")
     ).withColumn("bucket", F.least(F.floor((1 - F.exp(-F.col("key"))) * BUCKETS), F.lit(BUCKETS - 1)).cast("int"))
-    narrow = written(narrow, "sizes")
-    ranges = written(narrow.groupBy("source", "bucket").agg(F.sum("size").alias("words")), "ranges")
+    narrow = written(narrow.groupBy("source", "bucket", "key", "id", "size").agg(F.count("*").alias("n")), "sizes")
+    ranges = written(narrow.groupBy("source", "bucket").agg(F.sum(F.col("n") * F.col("size")).alias("words")), "ranges")
     sources = targets(ranges.groupBy("source").agg(F.sum("words").alias("source_size")), weights, most)
     of, part = F.col("of"), F.col("part")
     before = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = ranges.select(F.col("source").alias("of"), F.col("bucket").alias("part"), F.coalesce(F.sum("words").over(before), F.lit(0)).alias("before"))
     inside = Window.partitionBy("source", "bucket").orderBy("key", "id", "size").rowsBetween(Window.unboundedPreceding, 0)
-    placed = narrow.withColumn("inside", F.sum("size").over(inside))
+    placed = narrow.withColumn("inside", F.sum(F.col("n") * F.col("size")).over(inside) - F.col("n") * F.col("size"))
     placed = placed.join(starts, same(F.col("source"), of) & (F.col("bucket") == part)).drop("of", "part")
     budget = sources.select(F.col("source").alias("of"), "source_size", "target")
     placed = placed.join(budget, same(F.col("source"), of)).drop("of")
     epochs = "IF(source_size > 0, CAST(floor(target / source_size) AS BIGINT), 0L)"
-    return placed.selectExpr(
-        "id", "source", "size", "source_size", "target", f"{epochs} AS epochs", "before + inside AS reached"
+    pieces = placed.selectExpr(
+        "id", "source", "size", "source_size", "target", f"{epochs} AS epochs", "before + inside AS start", "n", f"explode(sequence(0L, (n - 1) DIV {PIECE})) AS piece"
+    )
+    return pieces.selectExpr(
+        "id", "source", "size", "source_size", "target", "epochs", "start",
+        f"explode(sequence(piece * {PIECE} + 1, least(n, (piece + 1) * {PIECE}))) AS place",
     ).selectExpr(
         "id", "source", "size", "source_size", "target",
-        "epochs + IF(2 * reached - size <= 2 * (target - epochs * source_size) AND target > epochs * source_size, 1L, 0L) AS copies",
+        "epochs + IF(2 * (start + place * size) - size <= 2 * (target - epochs * source_size) AND target > epochs * source_size, 1L, 0L) AS copies",
     ).withColumn("taken", F.col("copies") * F.col("size"))
 
 

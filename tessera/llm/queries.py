@@ -132,6 +132,20 @@ SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_s
 FROM judged"""
 
 
+@query
+def quality_ablation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For every rule of the current policy: the documents that fail it, those that fail no other, and those that it alone would keep."""
+    return quality_rules.ablation(quality_rules.ledger(table(spark, sf_dir, "documents"), ["doc_id"]))
+
+
+_MASKS = ", ".join(f"('{r.name}', {r.mask})" for r in quality_rules.RULES if r.name in quality_rules.POLICIES[quality_rules.CURRENT])
+ORACLES["quality_ablation"] = f"""
+WITH judged AS ({ORACLES["op5_quality_rules"]})
+SELECT rule, count(*) FILTER ((failure_bits & mask) <> 0) AS n_failed, count(*) FILTER (failure_bits = mask) AS n_failed_alone,
+       count(*) FILTER ((failure_bits & mask) = 0) AS n_kept_if_only
+FROM (VALUES {_MASKS}) rules(rule, mask) LEFT JOIN judged ON true GROUP BY rule"""
+
+
 @query
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The text of every page, without the lines that are boilerplate of its host."""
@@ -196,8 +210,9 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every credential candidate of every document with the forest's verdict; the candidate itself is masked."""
-    found = secret_scan.scan(table(spark, sf_dir, "documents"), secret_scan.labelled_findings(spark))
+    """Every credential candidate of every document with the forest's verdict; the candidate itself is masked, and the
+    source stands for the path."""
+    found = secret_scan.scan(table(spark, sf_dir, "documents"), secret_scan.labelled_findings(spark), path=F.col("source"))
     masked = F.concat(F.substring("candidate", 1, 4), F.lit("..."))
     return found.select("doc_id", "position", masked.alias("finding"), F.length("candidate").alias("n_chars"), "score", "is_secret")
 

@@ -165,7 +165,8 @@ def _rooted(narrow: DataFrame, radius: int) -> DataFrame:
     roots = components(links(first.select("fp"), radius))
     rooted = first.join(roots, first["fp"] == roots["node"], "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     rooted = written(rooted, "rooted")
-    least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
+    # Written, so that a root with very many fingerprints can be split in the join.
+    least = written(rooted.groupBy("root").agg(F.min("first").alias("component_id")), "least")
     return written(rooted.join(least, "root").select("fp", "root", "component_id"), "components")
 
 
