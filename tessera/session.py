@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 _OWN_SCRATCH = "tessera.scratch.dir"
 
-# Runtime settings every query relies on; safe to set on a session somebody else created.
+# Runtime settings the queries are made for.
 RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
@@ -43,9 +43,9 @@ def get_session(cpus: int | str = 8, app: str = "tessera", **conf: str) -> Spark
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Sets what the queries rely on where it differs."""
+    """Sets what the queries are made for where the session says nothing; what its owner has set stays."""
     for key, value in RUNTIME_CONF.items():
-        if spark.conf.get(key, None) != value:
+        if spark.conf.get(key, None) is None:
             spark.conf.set(key, value)
     return spark
 
