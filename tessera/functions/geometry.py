@@ -162,23 +162,24 @@ def rebuilt(p: str) -> str:
     return f"named_struct('kind', IF({p}spot, 'point', 'line'), 'pts', IF({p}spot, array({a}), array({a}, {b})))"
 
 
-def with_plain_distance(df: DataFrame, p: str, q: str, name: str) -> DataFrame:
+def with_plain_distance(df: DataFrame, p: str, q: str, name: str, cosine: str | None = None) -> DataFrame:
     """``df`` with the distance of two plain shapes, one of them a point, as ``name``; equal to ``distance`` to the last bit.
+    ``cosine`` names that of the latitude of the point, where it is known.
 
     It takes three steps, so that every part is worked out once and all of it is compiled code."""
     point_x, point_y = f"IF({q}spot, {q}ax, {p}ax)", f"IF({q}spot, {q}ay, {p}ay)"
     edge = {e: f"IF({q}spot, {p}{e}, {q}{e})" for e in ENDS}
     first = df.selectExpr(
-        "*", f"{point_x} AS _vx", f"{point_y} AS _vy", f"cos(radians({point_y})) AS _k", *[f"{v} AS _{e}" for e, v in edge.items()],
+        "*", f"{point_x} AS _vx", f"{point_y} AS _vy", f"{cosine or f'cos(radians({point_y}))'} AS _k", *[f"{v} AS _{e}" for e, v in edge.items()],
     ).selectExpr(
         "*", f"{_short('_ax - _vx')} * _k AS _x", "_ay - _vy AS _y", "(_bx - _ax) * _k AS _dx", "_by - _ay AS _dy",
     )
     share = "coalesce(greatest(0D, least(1D, try_divide(-(_x * _dx + _y * _dy), _dx * _dx + _dy * _dy))), 0D)"
-    second = first.selectExpr("*", f"{share} AS _t")
-    flat = f"sqrt(pow(_x + _t * _dx, 2) + pow(_y + _t * _dy, 2)) * {METRES_PER_DEGREE!r}D"
+    second = first.selectExpr("*", f"{share} AS _t").selectExpr("*", "_x + _t * _dx AS _ex", "_y + _t * _dy AS _ey")
+    flat = f"sqrt(_ex * _ex + _ey * _ey) * {METRES_PER_DEGREE!r}D"
     vertex = [f"named_struct('lon', {v}ax, 'lat', {v}ay)" for v in (p, q)]
     both = _haversine(*vertex)
-    taken = ("_vx", "_vy", "_k", *[f"_{e}" for e in ENDS], "_x", "_y", "_dx", "_dy", "_t")
+    taken = ("_vx", "_vy", "_k", *[f"_{e}" for e in ENDS], "_x", "_y", "_dx", "_dy", "_t", "_ex", "_ey")
     return second.selectExpr("*", f"IF({p}spot AND {q}spot, {both}, {flat}) AS {name}").drop(*taken)
 
 
@@ -246,6 +247,45 @@ def with_bounds(df: DataFrame, p: str, q: str) -> DataFrame:
     return told.select(*df.columns, "gap", "reach")
 
 
+def with_line_bounds(df: DataFrame, p: str, q: str) -> DataFrame:
+    """``with_bounds`` for a line of two vertices (ends of ``p``) and a box of points (sides of ``q`` with ``low`` and ``high``, the
+    least and the largest cosine of its latitudes): the same bounds without the cases that cannot occur, in plain arithmetic."""
+    x0, x1, y0, y1 = (f"{pick}({p}a{axis}, {p}b{axis})" for axis in "xy" for pick in ("least", "greatest"))
+    low, high = f"{q}low", f"{q}high"
+    first = df.selectExpr(
+        "*",
+        f"{x0} AS _x0", f"{x1} AS _x1", f"{y0} AS _y0", f"{y1} AS _y1", f"{p}bx - {p}ax AS _ux", f"{p}by - {p}ay AS _uy",
+        f"({q}x0 + {q}x1) / 2 - {p}ax AS _wx", f"({q}y0 + {q}y1) / 2 - {p}ay AS _wy",
+        f"({q}x1 - {q}x0) / 2 AS _hx", f"({q}y1 - {q}y0) / 2 AS _hy",
+    ).selectExpr(
+        "*",
+        f"greatest(0D, least(greatest(_x0 - {q}x1, {q}x0 - _x1), 360D - greatest(_x1 - {q}x0, {q}x1 - _x0))) * {low} AS _dlon",
+        f"greatest(0D, _y0 - {q}y1, {q}y0 - _y1) AS _dlat", f"greatest(_x1, {q}x1) - least(_x0, {q}x0) AS _span",
+        f"_ux * {low} AS _ul", f"_ux * {high} AS _uh",
+    ).selectExpr(
+        "*",
+        "sqrt(_ul * _ul + _uy * _uy) AS _length", "_uh * _uh + _uy * _uy AS _squared",
+        f"{low} * (abs(_ux * _wy - _uy * _wx) - abs(_uy) * _hx - abs(_ux) * _hy) AS _off",
+    ).selectExpr(
+        "*", f"IF(_squared > 0, greatest(0D, least(1D, (_uh * _wx * {high} + _uy * _wy) / _squared)), 0D) AS _share",
+    ).selectExpr(
+        "*", f"(_wx - _share * _ux) * {high} AS _ex", "_wy - _share * _uy AS _ey", f"{high} * _hx AS _gx",
+    )
+    edge_gap = "IF(_span <= 180D AND _length > 0, _off / _length, 0D)"
+    told = first.selectExpr(
+        "*",
+        f"greatest(sqrt(_dlat * _dlat + _dlon * _dlon), {edge_gap}) * {METRES_PER_DEGREE!r}D * {_SHRUNK} AS gap",
+        f"(sqrt(_ex * _ex + _ey * _ey) + sqrt(_gx * _gx + _hy * _hy)) * {METRES_PER_DEGREE!r}D * {_GROWN} AS reach",
+    )
+    return told.select(*df.columns, "gap", "reach")
+
+
+def latitude_cosines(y0: str, y1: str) -> tuple[str, str]:
+    """The least and the largest cosine of the latitudes from ``y0`` to ``y1``."""
+    nearest = f"IF({y0} <= 0 AND {y1} >= 0, 0D, least(abs({y0}), abs({y1})))"
+    return f"cos(radians(greatest(abs({y0}), abs({y1}))))", f"cos(radians({nearest}))"
+
+
 def may_meet(p: str, q: str) -> str:
     """Whether the boxes overlap and, where ``p`` is a line of two vertices, the line comes through the box of ``q``."""
     overlap = f"{p}x0 <= {q}x1 AND {q}x0 <= {p}x1 AND {p}y0 <= {q}y1 AND {q}y0 <= {p}y1"

@@ -9,7 +9,11 @@ a cell that lies inside the search radius as a whole is counted without looking
 One descent answers both questions, what is nearest and how much is near. Rows of a searched shape stay together in a
 partition, so after every level its bound for the nearest item and its count are sums over its own rows; a cell
 that is counted, or too far away, leaves the search at once. Bounds for a line of two vertices follow the line itself,
-not its box. Sides are broadcast where the planner knows their size in bytes to be small.
+not its box. Every level is a table of its own, and broadcast where the planner knows its size in bytes to be small.
+
+Counting points near lines of two vertices stops the descent at tiles of up to sixty-four leaves. Only there, and once, rows
+are shuffled: one for each tile that the rim of what is in reach crosses. A tile is one row that holds its leaves and their
+points, and whatever is looked at below is looked at where the two meet.
 """
 
 from __future__ import annotations
@@ -22,7 +26,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions import geometry as G
 from tessera.operators.ranking import row_number
-from tessera.session import lanes, materialise
+from tessera.session import lanes, materialise_by
 
 _LEAF = 16  # shapes in a leaf
 _FAN = 64  # cells in the cell above, and cells at the top at most
@@ -36,6 +40,7 @@ _END_COLUMNS = ("spot", "plain", *G.ENDS)
 class ShapeIndex:
     levels: list[DataFrame]  # from the top: key, parent, cell, weight, spots (points only), sides of the box
     leaves: DataFrame  # key, cell, shape, weight, sides, ends
+    tiles: DataFrame | None = None  # where all shapes are points: key, tile, leaves with their sides and points
 
     @property
     def depth(self) -> int:
@@ -55,8 +60,10 @@ def build_indexes(sources: dict[str, tuple[DataFrame, str, str | None]]) -> dict
     numbered = row_number(placed, ["of", "key"], [F.col(c) for c in ("curve", "ax", "ay", "shape")], "place")
     shape = "IF(plain, NULL, shape) AS shape"
     leaves = numbered.selectExpr("of", "key", f"(place - 1) DIV {_LEAF} AS cell", shape, "weight", *G.SIDES, *_END_COLUMNS)
-    leaves = materialise(leaves, "leaves")
-    last = {r.of: r.last for r in leaves.groupBy("of").agg(F.expr("max(cell) AS last")).collect()}
+    read_leaves = materialise_by(leaves, "leaves", "of")
+    leaves = read_leaves()
+    sizes = leaves.groupBy("of").agg(F.expr("max(cell) AS last"), F.expr("bool_and(spot) AS spots")).collect()
+    last = {r.of: r.last for r in sizes}
     depths = {}
     for name, top in last.items():
         depths[name] = 1
@@ -70,15 +77,27 @@ def build_indexes(sources: dict[str, tuple[DataFrame, str, str | None]]) -> dict
     raised = lowest.selectExpr("of", "key", "weight", "spots", *G.SIDES, "cell AS low", f"explode(sequence(1, {deep})) AS level")
     raised = raised.selectExpr("*", f"low DIV CAST(pow({_FAN}, level - 1) AS BIGINT) AS cell")
     cells = raised.groupBy("of", "key", "level", "cell").agg(F.expr("sum(weight) AS weight"), F.expr("bool_and(spots) AS spots"), *box)
-    cells = materialise(cells.selectExpr("*", f"cell DIV {_FAN} AS parent"), "cells")
+    read_cells = materialise_by(cells.selectExpr("*", f"cell DIV {_FAN} AS parent"), "cells", "of", "level")
+    pointed = [r.of for r in sizes if r.spots]
+    read_tiles = materialise_by(_tiles(leaves.filter(F.col("of").isin(pointed))), "tiles", "of") if pointed else None
     found = {}
     for name in sources:
-        mine = F.col("of") == name
-        levels = [cells.filter(mine & (F.col("level") == level)) for level in range(depths.get(name, 0), 0, -1)]
-        found[name] = ShapeIndex(levels, leaves.filter(mine).drop("of")) if levels else None
+        levels = [read_cells(name, level) for level in range(depths.get(name, 0), 0, -1)]
+        tiles = read_tiles(name) if name in pointed else None
+        found[name] = ShapeIndex(levels, read_leaves(name), tiles) if levels else None
     return found
 
 
+def _tiles(leaves: DataFrame) -> DataFrame:
+    """One row for each cell above the leaves of points, with the leaves and the points in them: no more than a fixed number."""
+    box = [F.expr(f"{'min' if s.endswith('0') else 'max'}({s}) AS {s}") for s in G.SIDES]
+    points = F.expr("collect_list(struct(ax, ay, cos(radians(ay)) AS k, weight)) AS points")
+    filled = leaves.groupBy("of", "key", "cell").agg(points, F.expr("sum(weight) AS weight"), *box)
+    low, high = G.latitude_cosines("y0", "y1")
+    leaf = f"struct(cell % {_FAN} = 0 AS first, {', '.join(G.SIDES)}, {low} AS low, {high} AS high, weight, points) AS leaf"
+    return filled.selectExpr("of", "key", f"cell DIV {_FAN} AS tile", leaf).groupBy("of", "key", "tile").agg(F.expr("collect_list(leaf) AS leaves"))
+
+
 def _on_curve(shapes: DataFrame) -> DataFrame:
     """Adds ``curve``, the interleaved bits of the centre of the box."""
     side = (1 << _CURVE_BITS) - 1
@@ -118,15 +137,16 @@ def _probes(df: DataFrame, identifier: str, geom: str, key: str | None) -> DataF
 _CARRY = ("id", "key", "probe", *G.SIDES, *_END_COLUMNS)
 
 
-def _candidates(probes: DataFrame, index: ShapeIndex, near: str | None, seek: bool) -> DataFrame:
-    """Probes with the shapes of the leaves in which something may be near (``near``: metres as SQL) or nearest
-    (``seek``). ``counted`` is what whole cells have added for the id, ``counting`` whether the shapes of the leaf may count.
+def _descend(probes: DataFrame, levels: list[DataFrame], near: str | None, seek: bool) -> DataFrame:
+    """Probes with the cells of the last level in which something may be near (``near``: metres as SQL) or nearest
+    (``seek``). ``counted`` is what whole cells have added for the id, ``counting`` whether the shapes of the cell may count;
+    ``lead`` marks one cell of an id where they may, and is NULL for an id without any.
     """
     every = "OVER (PARTITION BY id)"
     # Without a search for the nearest one row of every id follows the first cells, to carry the count.
-    start = ["0L AS cell", "CAST('Infinity' AS DOUBLE) AS most", "0L AS counted", f"{'true' if near else 'false'} AS counting", f"{'false' if seek else 'true'} AS carrier"]
+    start = ["0L AS cell", "CAST('Infinity' AS DOUBLE) AS most", "0L AS counted", f"{'true' if near else 'false'} AS counting", f"{'false' if seek else 'true'} AS carrier", "true AS lead"]
     rows = probes.selectExpr(*_CARRY, *start)
-    for cells in index.levels:
+    for cells in levels:
         measured = G.with_bounds(rows.join(_children(cells), _below()), "", "c_").selectExpr(
             *_CARRY, "c_cell AS cell", "most", "counted", "gap", "reach", "c_weight",
             f"carrier AND c_cell = {_FAN} * cell AS carrier", f"counting AND gap < {near} AS counting" if near else "counting",
@@ -140,15 +160,73 @@ def _candidates(probes: DataFrame, index: ShapeIndex, near: str | None, seek: bo
             f"least(most, min(reach) {every}) AS most" if seek else "most",
             f"counted + sum(IF(counting AND reach < {near}, c_weight, 0L)) {every} AS counted" if near else "counted",
             f"counting AND reach >= {near} AS counting" if near else "counting",
+            f"_row = min(IF(counting AND reach >= {near}, _row, NULL)) {every} AS lead" if near else "true AS lead",
         )
         rows = told.filter("counting OR carrier" + " OR gap <= most" * seek).drop("gap")
-    return rows.join(_shapes(index), _below())
+    return rows
+
+
+def _candidates(probes: DataFrame, index: ShapeIndex, near: str | None, seek: bool) -> DataFrame:
+    """Probes with the shapes of the leaves that the descent has left open."""
+    return _descend(probes, index.levels, near, seek).join(_shapes(index), _below())
+
+
+def _nearest_points(lines: DataFrame, index: ShapeIndex) -> DataFrame:
+    """``id, metres`` of lines of two vertices, from an index of points."""
+    pairs = _candidates(lines, index, None, True).withColumn("c_spot", F.lit(True))
+    return G.with_plain_distance(pairs, "", "c_", "metres").groupBy("id").agg(F.expr("min(metres) AS metres"))
+
+
+def _points_within(lines: DataFrame, index: ShapeIndex, near: str) -> DataFrame:
+    """``id, hits`` of lines of two vertices, from an index of points: the open tiles of every line meet their leaves and points in
+    one shuffle, whatever their number."""
+    rows = _descend(lines, index.levels[:-1], near, False)
+    # One row of every id bears its count; where no tile is open, that which has followed the first cells.
+    rows = rows.filter("counting OR (carrier AND lead IS NULL AND counted > 0)").selectExpr(
+        "id", "key", *G.ENDS, "cell", "counted", "counting", "coalesce(lead, carrier) AS bearer"
+    )
+    tiles = index.tiles.selectExpr("key AS c_key", "tile AS c_at", "leaves").hint("shuffle_hash")
+    kept = ["id", *G.ENDS, "counted"]
+    leaf = ", ".join(["first", *[f"c_{s}" for s in G.SIDES], "c_low", "c_high", "held", "points"])
+    leaves = rows.join(tiles, _below()).selectExpr(*kept, "counting", "bearer", f"inline(leaves) AS ({leaf})")
+    # Row numbers keep filters above what they judge by, as in the descent.
+    told = G.with_line_bounds(leaves, "", "c_").selectExpr(
+        *kept, "bearer AND first AS bears", f"counting AND gap < {near} AS open", f"counting AND reach < {near} AS whole", "held", "points",
+        "monotonically_increasing_id() AS _row",
+    )
+    # A leaf in reach as a whole, or one that only bears the count, is a row without a point.
+    points = told.filter("(open OR bears) AND _row >= 0").selectExpr(*kept, "bears", "whole", "held", "IF(open AND NOT whole, points, NULL) AS points")
+    points = points.selectExpr(*kept, "bears", "whole", "held", "inline_outer(points) AS (c_ax, c_ay, c_k, c_weight)")
+    spots = points.selectExpr("*", "false AS spot", "true AS c_spot", "c_ax AS c_bx", "c_ay AS c_by")
+    pairs = G.with_plain_distance(spots, "", "c_", "metres", cosine="c_k").selectExpr(
+        "id", "counted", "bears", f"CASE WHEN whole THEN held WHEN metres < {near} THEN c_weight ELSE 0L END AS hits", "monotonically_increasing_id() AS _row"
+    )
+    hits = pairs.filter("(bears OR hits > 0) AND _row >= 0")
+    return hits.groupBy("id").agg(F.expr("max(counted) + sum(hits) AS hits"))
 
 
 def _search(df: DataFrame, index: ShapeIndex, identifier: str, geom: str, metres: float | None, seek: bool, key: str | None) -> DataFrame:
     """``id, metres, hits`` for every id of ``df``."""
     near = f"{float(metres)!r}D" if metres is not None else None
-    pairs = _candidates(_probes(df, identifier, geom, key), index, near, seek)
+    probes = _probes(df, identifier, geom, key)
+    if index.tiles is None:
+        told = _found(probes, index, near, seek)
+    else:
+        edge = "plain AND NOT spot"
+        lines = probes.filter(edge).withColumns({"plain": F.lit(True), "spot": F.lit(False), "probe": F.lit(None).cast(G.GEOMETRY_TYPE)})
+        parts = [_found(probes.filter(f"NOT ({edge})"), index, near, seek)]
+        if seek:
+            parts.append(_nearest_points(lines, index).selectExpr("id", "metres", "0L AS hits"))
+        if near:
+            parts.append(_points_within(lines, index, near).selectExpr("id", "CAST(NULL AS DOUBLE) AS metres", "hits"))
+        told = reduce(DataFrame.unionByName, parts).groupBy("id").agg(F.expr("min(metres) AS metres"), F.expr("sum(hits) AS hits"))
+    # All ids, so that those without a hit or a shape are in the result.
+    return df.selectExpr(f"{identifier} AS id").distinct().join(told, "id", "left").selectExpr(f"id AS {identifier}", "metres", "coalesce(hits, 0L) AS hits")
+
+
+def _found(probes: DataFrame, index: ShapeIndex, near: str | None, seek: bool) -> DataFrame:
+    """``id, metres, hits`` of shapes of any kind, without the ids that meet no leaf."""
+    pairs = _candidates(probes, index, near, seek)
     quick = G.with_plain_distance(pairs, "", "c_", "quick")
     # Other shapes are worth the long way only where their boxes leave it open.
     shapes = [f"IF({p}plain, {G.rebuilt(p)}, {g})" for p, g in (("", "probe"), ("c_", "c_shape"))]
@@ -160,9 +238,7 @@ def _search(df: DataFrame, index: ShapeIndex, identifier: str, geom: str, metres
     long_way = F.when(F.expr(" OR ".join(wanted)), G.distance("_p", "_q"))
     exact = slack.select("id", "counted", "counting", "c_weight", F.when(F.col("_quick"), F.col("quick")).otherwise(long_way).alias("metres"))
     hits = exact.selectExpr("id", "metres", "counted", f"IF(counting AND metres < {near}, c_weight, 0L) AS hits" if near else "0L AS hits")
-    # All ids, so that those without a hit or a shape are in the result.
-    told = hits.groupBy("id").agg(F.expr("min(metres) AS metres"), F.expr("max(counted) + sum(hits) AS hits"))
-    return df.selectExpr(f"{identifier} AS id").distinct().join(told, "id", "left").selectExpr(f"id AS {identifier}", "metres", "coalesce(hits, 0L) AS hits")
+    return hits.groupBy("id").agg(F.expr("min(metres) AS metres"), F.expr("max(counted) + sum(hits) AS hits"))
 
 
 def nearest_and_count(df: DataFrame, index: ShapeIndex | None, identifier: str, geom: str, metres: float, closest: str, near: str, key: str | None = None) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions import geometry as G
 from tessera.operators import spatial
+from tessera.session import planned_bytes
 
 R = 6371008.8
 
@@ -251,3 +252,42 @@ def test_several_indexes_from_one_numbering(spark):
         left = frame(spark, first)
         near = {r.id: r.n for r in spatial.count_within(left, found[name], "id", "geom", 80_000.0, "n", key=key).collect()}
         assert near == {i: sum(apart(s, t) < 80_000 for _, kk, t in items if key is None or kk == k) for i, k, s in first}
+
+
+def test_points_in_reach_meet_lines_in_one_shuffle(spark):
+    """Lines leave the descent at tiles, so that their rows are not shuffled for every leaf; levels are planned by their own bytes."""
+    items = spark.range(20_000).selectExpr("id", "-92 + pmod(id, 141) * 1e-3 AS lon", "39 + pmod(id * 7, 149) * 1e-3 AS lat")
+    index = spatial.build_index(items.select("id", G.point("lon", "lat").alias("geom")), "geom")
+    sizes = [planned_bytes(cells) for cells in index.levels]
+    assert sizes[0] < sizes[-1] < planned_bytes(index.leaves)
+    held = index.tiles.selectExpr("tile", "size(leaves) AS n", "aggregate(leaves, 0L, (a, l) -> a + l.weight) AS weight").collect()
+    assert sum(r.weight for r in held) == 20_000 and max(r.n for r in held) <= 64 and len(held) == -(-20_000 // 1024)
+    rows = [(i, "k", ("line", [(-92.0 + i * 0.01, 39.0), (-91.9 + i * 0.005, 39.1 - i * 0.01)])) for i in range(8)]
+    left = frame(spark, rows)
+    rim = spatial._descend(spatial._probes(left, "id", "geom", None), index.levels[:-1], "2000D", False)
+    assert rim.filter("counting").groupBy("id").count().agg(F.max("count")).first()[0] <= len(held)
+    conf = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(conf)
+    spots = [(r.lon, r.lat) for r in items.collect()]
+    try:
+        spark.conf.set(conf, str(max(sizes)))  # the levels fit, the leaves do not
+        near = spatial.count_within(left, index, "id", "geom", 2000.0, "n")
+        assert "ShuffledHashJoin" in plan_of(near)
+        got = {r.id: r.n for r in near.collect()}
+    finally:
+        spark.conf.set(conf, before)
+    assert got == {i: sum(apart(s, ("point", [p])) < 2000 for p in spots) for i, _, s in rows}
+
+
+def test_mixed_probes_and_repeated_ids_over_points(spark, join_mode):
+    """Points, lines and polygons as probes, one line without length, some ids twice: their rows add up."""
+    probes = shapes(41, 40, ("line", "point", "polygon")) + [(100, "k0", ("line", [(-92.0, 39.0), (-92.0, 39.0)]))]
+    probes += [(0, k, s) for _, k, s in shapes(42, 3, ("line",))]
+    items = shapes(43, 1_500, ("point",))
+    left, index = frame(spark, probes), spatial.build_index(frame(spark, items), "geom")
+    assert index.tiles is not None
+    got = {r.id: (r.m, r.n) for r in spatial.nearest_and_count(left, index, "id", "geom", 40_000.0, "m", "n").collect()}
+    gaps = {}
+    for i, _, s in probes:
+        gaps.setdefault(i, []).extend(apart(s, t) for _, _, t in items)
+    assert got == {i: (pytest.approx(min(g), rel=1e-9, abs=1e-5), sum(x < 40_000 for x in g)) for i, g in gaps.items()}
