@@ -88,6 +88,22 @@ def test_csv_and_json_round_trip(spark, tmp_path):
     assert sorted(map(tuple, readers.read_json_documents(spark, str(tmp_path / "documents"), df.schema).collect())) == sorted(rows)
 
 
+def test_documents_are_written_compressed(spark, tmp_path):
+    """Nested documents repeat their names in every row; files of several tasks and batches come back whole."""
+    lines = spark.range(0, 25_000, 1, 2).selectExpr(
+        "id AS l_orderkey", "CAST(id % 7 AS INT) AS l_linenumber", "id % 50 AS l_partkey", "id % 11 AS l_suppkey",
+        "CAST(id % 50 AS DOUBLE) AS l_quantity", "id * 1.5D AS l_extendedprice", "IF(id % 3 = 0, 'R', 'N') AS l_returnflag",
+    )
+    documents = rates.documents_from_lines(lines)
+    path = tmp_path / "documents"
+    writers.write_json_documents(documents, str(path))
+    text = documents.select(F.sum(F.length(F.to_json(F.struct("out_of_network")))).alias("n")).first().n
+    assert sum(f.stat().st_size for f in path.glob("part-*")) * 4 < text
+    back = readers.read_json_documents(spark, str(path), rates.DOCUMENT)
+    figures = [rates.flatten_rates(d).select(F.count("*"), F.expr("sum(CAST(xxhash64(*) AS DECIMAL(38, 0)))")).first() for d in (documents, back)]
+    assert figures[0] == figures[1] and back.count() == 25_000
+
+
 def test_models(spark):
     source = spark.createDataFrame([(1,), (None,)], "id int")
     table = models.model_table(source)
