@@ -129,7 +129,10 @@ def _probes(df: DataFrame, identifier: str, geom: str, key: str | None) -> DataF
     """Shapes to search for; rows without a shape are not searched for. All rows of an id lie in one partition."""
     # A literal would turn the equi-join with the cells at the top into a nested loop.
     shapes = df.selectExpr(f"{identifier} AS id", f"CAST({key or f'pmod(xxhash64({identifier}), 1)'} AS STRING) AS key", f"{geom} AS probe")
-    shapes = shapes.filter("probe IS NOT NULL").repartition(lanes(df.sparkSession), "id")
+    # In the order of the ids, which broadcast joins keep, so that looking at the rows of an id together needs no further sort. The
+    # place keeps the optimizer from dropping the order.
+    shapes = shapes.filter("probe IS NOT NULL").repartition(lanes(df.sparkSession), "id").sortWithinPartitions("id")
+    shapes = shapes.withColumn("place", F.monotonically_increasing_id()).filter("place >= 0").drop("place")
     plain = shapes.select("*", *G.bounds("probe"), *G.ends("probe"))
     return plain.withColumn("probe", F.expr("IF(plain, NULL, probe)"))
 

@@ -291,3 +291,13 @@ def test_mixed_probes_and_repeated_ids_over_points(spark, join_mode):
     for i, _, s in probes:
         gaps.setdefault(i, []).extend(apart(s, t) for _, _, t in items)
     assert got == {i: (pytest.approx(min(g), rel=1e-9, abs=1e-5), sum(x < 40_000 for x in g)) for i, g in gaps.items()}
+
+
+def test_deeper_indexes_need_no_more_sorts(spark):
+    """Probes come in the order of their ids, which is kept from level to level."""
+    left, seen = frame(spark, shapes(51, 30, ("line",))), []
+    for n in (100, 1_500):
+        index = spatial.build_index(frame(spark, shapes(52, n, ("point",))), "geom")
+        text = plan_of(spatial.nearest(left, index, "id", "geom", "m"))
+        seen.append((index.depth, text.count("Window ["), text.count("Sort [")))
+    assert seen[0][0] < seen[1][0] and seen[0][1] < seen[1][1] and seen[0][2] == seen[1][2]
